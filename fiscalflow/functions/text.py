@@ -27,3 +27,14 @@ def block_text(block: str | Column, field: str, default: str = "") -> Column:
 def strip_literal(c: str | Column, literal: str) -> Column:
     """Remove every occurrence of ``literal`` (``Id.replace("NFe", "")``, P3)."""
     return F.replace(_c(c), F.lit(literal), F.lit(""))
+
+
+def parsed_once(expr: Column) -> Column:
+    """Emit ``expr`` through a one-element generator so it is evaluated once per row.
+
+    A filter on a projected expression is pushed below the projection with the
+    expression pasted into every reference, which for a parser (``from_xml``,
+    ``from_json``) means one parse per field the predicate reads.  Predicates on a
+    generator's output stay above it, so the parse runs exactly once.
+    """
+    return F.explode(F.array(expr))

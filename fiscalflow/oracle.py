@@ -159,3 +159,13 @@ SELECT substring(ide_dhEmi, 1, 7) AS ano_mes, COUNT(*) AS total_notas,
   {money_sum('total_vNF')} AS valor_total, {money_avg('total_vNF')} AS valor_medio,
   CAST(MIN({dec('total_vNF')}) AS DOUBLE) AS valor_minimo, CAST(MAX({dec('total_vNF')}) AS DOUBLE) AS valor_maximo
 FROM notas GROUP BY substring(ide_dhEmi, 1, 7)"""
+
+# --- message path round trips ----------------------------------------------------------
+
+ITEM_OUT = "nNF, nItem, cProd, xProd, CFOP, uCom, qCom, vUnCom, vProd, vDesc, vTotTrib"
+
+ORACLE_SQL["json_encode_parse_itens"] = ITENS_CTE + f"\nSELECT {ITEM_OUT} FROM itens"
+ORACLE_SQL["xml_roundtrip_itens"] = ITENS_CTE + f"\nSELECT {ITEM_OUT} FROM itens"
+ORACLE_SQL["json_parse_notas"] = notas_cte(True, True) + """
+SELECT chNFe, ide_nNF, ide_serie, ide_dhEmi, emit_CNPJ, emit_xNome, emit_xFant, emit_UF,
+  total_vProd, total_vDesc, total_vNF, total_vTotTrib, prot_cStat FROM notas"""

@@ -10,7 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import reports
+from pyspark.sql import functions as F
+
+from .operators import normalize, records, reports
+from .schemas import ITEM_PATH_SCHEMA
+from .sources import xml as xml_source
 from .session import configure
 from .sources import star
 
@@ -47,10 +51,43 @@ def q_valor_medio_mensal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.valor_medio_mensal(star.notas(t, with_item_totals=False, with_key=False))
 
 
+# --- message path: records -> JSON / XML -> parse -> flat tables --------------------
+
+ITEM_OUT = ("nNF", "nItem", "cProd", "xProd", "CFOP", "uCom", "qCom", "vUnCom", "vProd", "vDesc", "vTotTrib")
+NOTA_OUT = ("chNFe", "ide_nNF", "ide_serie", "ide_dhEmi", "emit_CNPJ", "emit_xNome", "emit_xFant", "emit_UF",
+            "total_vProd", "total_vDesc", "total_vNF", "total_vTotTrib", "prot_cStat")
+
+
+def q_json_encode_parse_itens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records -> JSON messages -> narrow parse -> exploded items."""
+    t = _tables(spark, sf_dir)
+    msgs = records.to_messages(star.records(t))
+    parsed = normalize.parse_messages(msgs, schema=ITEM_PATH_SCHEMA)
+    return normalize.itens(parsed).select(*ITEM_OUT)
+
+
+def q_json_parse_notas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records -> JSON messages -> full parse -> header table."""
+    t = _tables(spark, sf_dir)
+    parsed = normalize.parse_messages(records.to_messages(star.records(t)))
+    return normalize.notas(parsed).select(*NOTA_OUT)
+
+
+def q_xml_roundtrip_itens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records -> nfeProc XML text -> from_xml -> record -> exploded items."""
+    t = _tables(spark, sf_dir)
+    text = records.to_xml_text(star.records(t)).select(F.lit("table").alias("file"), F.col("xml").alias("raw"))
+    good, _ = xml_source.split_documents(xml_source.parse_xml_text(text))
+    return normalize.itens(good).select(*ITEM_OUT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notas_por_uf": q_notas_por_uf,
     "faturamento_emitente": q_faturamento_emitente,
     "produtos_mais_vendidos": q_produtos_mais_vendidos,
     "tributos_por_nota": q_tributos_por_nota,
     "valor_medio_mensal": q_valor_medio_mensal,
+    "json_encode_parse_itens": q_json_encode_parse_itens,
+    "json_parse_notas": q_json_parse_notas,
+    "xml_roundtrip_itens": q_xml_roundtrip_itens,
 }

@@ -164,3 +164,108 @@ def itens(t: Tables) -> DataFrame:
         F.col("_vtrib").cast("double").alias("vTotTrib"),
         F.col("l_orderkey"),
     )
+
+
+# --- nested invoice records (the message shape) -------------------------------------
+
+CHUNK_TARGET = 800   # items per invoice aimed at when an order must be split (< 990)
+
+
+def _s(c: Column) -> Column:
+    return c.cast("string")
+
+
+def _item_struct() -> Column:
+    return F.struct(
+        _s(F.col("l_linenumber")).alias("nItem"),
+        _s(F.col("l_partkey")).alias("cProd"),
+        F.col("p_name").alias("xProd"),
+        F.lit("").alias("NCM"),
+        F.lit(CFOP_SALE).alias("CFOP"),
+        F.col("p_type").alias("uCom"),
+        _s(dec("l_quantity", 4)).alias("qCom"),
+        _s(dec("p_retailprice", 10)).alias("vUnCom"),
+        _s(F.col("_vprod")).alias("vProd"),
+        _s(F.col("_vdesc")).alias("vDesc"),
+        _s(F.col("_vtrib")).alias("vTotTrib"),
+    )
+
+
+def item_groups(t: Tables, target: int = CHUNK_TARGET, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Items collected per invoice: ``(l_orderkey, chunk, itens, sums)``.
+
+    An order with more than ``target`` items is split into ``ceil(n / target)`` invoices
+    by a hash of the item, so every collected list stays bounded (~target items) even
+    when one order holds a third of all rows.  Only those large orders are looked up
+    (their count is checked before it is broadcast).
+    """
+    li = item_money(t["lineitem"].select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_extendedprice", "l_discount", "l_tax"))
+    p = t["part"].select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_retailprice")
+    li = li.join(p, on="l_partkey", how="inner")
+    big = (t["lineitem"].groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > target))
+    li = lookup_join(li, big, on="l_orderkey", how="left", max_rows=max_broadcast_rows)
+    n_chunks = F.ceil(F.coalesce(F.col("_n"), F.lit(1)) / F.lit(target))
+    chunk = F.when(n_chunks <= 1, F.lit(0)).otherwise(
+        F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"), n_chunks))
+    li = li.withColumn("chunk", chunk.cast("int"))
+    return li.groupBy("l_orderkey", "chunk").agg(
+        F.collect_list(_item_struct()).alias("itens"),
+        F.sum("_vprod").alias("_sum_vprod"),
+        F.sum("_vdesc").alias("_sum_vdesc"),
+        F.sum("_vtrib").alias("_sum_vtrib"),
+        F.max(n_chunks).alias("_chunks"),
+    )
+
+
+def records(t: Tables, target: int = CHUNK_TARGET) -> DataFrame:
+    """One nested invoice record (``INVOICE_SCHEMA``) per order, or per order chunk."""
+    o = t["orders"].select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    hdr = o.join(issuers(t), o.o_custkey == F.col("c_custkey"), "inner")
+    g = item_groups(t, target)
+    j = hdr.join(g, hdr.o_orderkey == g.l_orderkey, "left")
+    chunk = F.coalesce(F.col("chunk"), F.lit(0))
+    zero = F.lit(0).cast("decimal(28,2)")
+    vprod = F.coalesce(F.col("_sum_vprod"), zero)
+    vdesc = F.coalesce(F.col("_sum_vdesc"), zero)
+    vtrib = F.coalesce(F.col("_sum_vtrib"), zero)
+    single = F.coalesce(F.col("_chunks"), F.lit(1)) <= 1
+    vnf = F.when(single, dec("o_totalprice")).otherwise(vprod - vdesc)
+    ok, ck = F.col("o_orderkey"), F.col("c_custkey")
+    cnf = F.pmod(cnf_of(ok, ck) + chunk, F.lit(100_000_000))
+    key = compose_key(F.col("c_nationkey"), F.date_format("o_orderdate", "yyMM"), ck, F.lit(MODEL_NFE),
+                      serie_of(ok), nnf_of(ok), F.lit(EMISSION_NORMAL), cnf)
+    dh = iso_local(F.col("o_orderdate"))
+    empty = F.lit("")
+    addr = lambda uf: F.struct(*[empty.alias(f) for f in ("xLgr", "nro", "xBairro", "cMun", "xMun")],
+                               uf.alias("UF"), empty.alias("CEP"))
+    zero_s = F.lit("0.00")
+    total = F.struct(
+        zero_s.alias("vBC"), zero_s.alias("vICMS"), zero_s.alias("vICMSDeson"), zero_s.alias("vBCST"),
+        zero_s.alias("vST"), _s(vprod).alias("vProd"), zero_s.alias("vFrete"), zero_s.alias("vSeg"),
+        _s(vdesc).alias("vDesc"), zero_s.alias("vII"), zero_s.alias("vIPI"), zero_s.alias("vPIS"),
+        zero_s.alias("vCOFINS"), zero_s.alias("vOutro"), _s(vnf).alias("vNF"), _s(vtrib).alias("vTotTrib"),
+    )
+    rec = F.struct(
+        key.alias("chNFe"),
+        F.lit(LAYOUT_VERSION).alias("versao"),
+        F.struct(
+            F.lpad(_s(F.col("c_nationkey")), 2, "0").alias("cUF"), F.lpad(_s(cnf), 8, "0").alias("cNF"),
+            F.lit(NAT_OP_SALE).alias("natOp"), F.lit(MODEL_NFE).alias("mod"), _s(serie_of(ok)).alias("serie"),
+            _s(nnf_of(ok)).alias("nNF"), dh.alias("dhEmi"), dh.alias("dhSaiEnt"), F.lit("1").alias("tpNF"),
+            empty.alias("cMunFG"),
+        ).alias("ide"),
+        F.struct(
+            F.lpad(_s(ck), 14, "0").alias("CNPJ"), F.col("c_name").alias("xNome"),
+            F.col("c_mktsegment").alias("xFant"), empty.alias("IE"), F.lit("1").alias("CRT"),
+            addr(F.col("n_name")).alias("endereco"),
+        ).alias("emit"),
+        F.struct(empty.alias("CPF"), empty.alias("CNPJ"), empty.alias("xNome"), addr(empty).alias("endereco")).alias("dest"),
+        F.col("itens").alias("itens"),
+        total.alias("total"),
+        F.struct(F.lpad(_s(ok), 15, "0").alias("nProt"), dh.alias("dhRecbto"),
+                 F.lit(AUTHORIZED_STATUS).alias("cStat")).alias("protocolo"),
+    )
+    return j.select(rec.alias("nfe"))
