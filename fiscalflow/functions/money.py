@@ -27,16 +27,23 @@ def money_sum(c: str | Column, scale: int = 2) -> Column:
     return F.sum(dec(c, scale)).cast("double")
 
 
-def rounded_ratio(num_units: Column, den: Column, out_scale: int = 2) -> Column:
-    """``ROUND(num_units / den / 10**out_scale, out_scale)`` half away from zero, exact.
+def rounded_units(num_units: Column, den: Column) -> Column:
+    """``num_units / den`` rounded half away from zero to an integer (exact, decimal(38,0)).
 
-    ``num_units`` is an integral amount already scaled by ``10**out_scale``; ``den`` a
-    positive integer.  The quotient is ``floor((2|n| + d) / (2d))``, taken on integers.
+    ``num_units`` is integral, ``den`` a positive integer; the quotient is
+    ``sign(n) * floor((2|n| + d) / (2d))``, taken with an integer division.
     """
     n = num_units.cast("decimal(38,0)")
     d = den.cast("decimal(38,0)")
-    q = int_div(F.abs(n) * 2 + d, d * 2)
-    return (F.signum(n) * q / F.lit(10 ** out_scale)).cast("double")
+    return F.signum(n).cast("decimal(1,0)") * int_div(F.abs(n) * 2 + d, d * 2)
+
+
+def rounded_ratio(num_units: Column, den: Column, out_scale: int = 2) -> Column:
+    """``ROUND(num_units / den / 10**out_scale, out_scale)`` half away from zero, as double.
+
+    ``num_units`` is an integral amount already scaled by ``10**out_scale``.
+    """
+    return (rounded_units(num_units, den).cast("double") / F.lit(10 ** out_scale)).cast("double")
 
 
 def int_div(a: Column, b: Column) -> Column:

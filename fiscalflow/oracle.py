@@ -88,7 +88,7 @@ NOTAS_BASE = """
     FROM orders o JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 
 
-def notas_cte(with_item_totals: bool = True, with_key: bool = True) -> str:
+def notas_cte(with_item_totals: bool = True, with_key: bool = True, with_itens: bool = False) -> str:
     """``WITH`` clause defining ``notas`` exactly like ``star.notas``."""
     parts = [NOTAS_BASE]
     if with_item_totals:
@@ -111,18 +111,22 @@ def notas_cte(with_item_totals: bool = True, with_key: bool = True) -> str:
       {_lp('c_custkey', 14)} AS emit_CNPJ, c_name AS emit_xNome, c_mktsegment AS emit_xFant,
       n_name AS emit_UF, {vprod} AS total_vProd, {vdesc} AS total_vDesc,
       0.0::DOUBLE AS total_vICMS, 0.0::DOUBLE AS total_vPIS, 0.0::DOUBLE AS total_vCOFINS,
-      o_totalprice AS total_vNF, {vtrib} AS total_vTotTrib, '100' AS prot_cStat
+      o_totalprice AS total_vNF, {vtrib} AS total_vTotTrib, '100' AS prot_cStat, o_orderstatus
     FROM keyed)""")
+    if with_itens:
+        parts.append(ITENS_BODY)
     return "WITH " + ",".join(parts)
 
 
-ITENS_CTE = f"""WITH itens AS (
+ITENS_BODY = f"""
+  itens AS (
     SELECT CAST(l_orderkey % 1000000000 AS VARCHAR) AS nNF, l_linenumber AS nItem,
       CAST(l_partkey AS VARCHAR) AS cProd, p_name AS xProd, '5102' AS CFOP, p_type AS uCom,
       l_quantity AS qCom, p_retailprice AS vUnCom,
       CAST(vprod AS DOUBLE) AS vProd, CAST(vdesc AS DOUBLE) AS vDesc, CAST(vtrib AS DOUBLE) AS vTotTrib,
       l_orderkey
     FROM (SELECT *, {ITEM_MONEY} FROM lineitem) li JOIN part ON l_partkey = p_partkey)"""
+ITENS_CTE = "WITH " + ITENS_BODY
 
 # --- the five reports ------------------------------------------------------------------
 
@@ -169,3 +173,82 @@ ORACLE_SQL["xml_roundtrip_itens"] = ITENS_CTE + f"\nSELECT {ITEM_OUT} FROM itens
 ORACLE_SQL["json_parse_notas"] = notas_cte(True, True) + """
 SELECT chNFe, ide_nNF, ide_serie, ide_dhEmi, emit_CNPJ, emit_xNome, emit_xFant, emit_UF,
   total_vProd, total_vDesc, total_vNF, total_vTotTrib, prot_cStat FROM notas"""
+
+# --- data-quality operators ------------------------------------------------------------
+
+ORACLE_SQL["access_key_parts"] = notas_cte(False, True) + f"""
+SELECT chNFe, {", ".join(key_parts("chNFe"))} FROM notas"""
+
+_DV = check_digit("substr(chNFe, 1, 43)")
+ORACLE_SQL["access_key_check_digit"] = notas_cte(False, True) + f"""
+SELECT chNFe, {_DV} AS dv_expected, TRY_CAST(substr(chNFe, 44, 1) AS INTEGER) AS dv_actual,
+  COALESCE(length(chNFe) = 44 AND {_DV} = TRY_CAST(substr(chNFe, 44, 1) AS INTEGER), false) AS dv_ok
+FROM notas"""
+
+
+def _within(a: str, b: str, tol: str = "0.005") -> str:
+    return f"COALESCE(abs(({a}) - ({b})) <= {tol}, false)"
+
+
+ORACLE_SQL["totals_reconciliation"] = notas_cte(True, False, with_itens=True) + f""",
+  sums AS (SELECT nNF AS _k, COUNT(*) AS n_itens, SUM({dec('vProd')}) AS iv_prod,
+             SUM({dec('vDesc')}) AS iv_desc, SUM({dec('vTotTrib')}) AS iv_trib FROM itens GROUP BY nNF)
+SELECT ide_nNF, COALESCE(n_itens, 0) AS n_itens,
+  CAST(COALESCE(iv_prod, 0) AS DOUBLE) AS itens_vProd, CAST(COALESCE(iv_desc, 0) AS DOUBLE) AS itens_vDesc,
+  CAST(COALESCE(iv_trib, 0) AS DOUBLE) AS itens_vTotTrib,
+  {_within(dec('total_vProd'), 'COALESCE(iv_prod, 0)')} AS vprod_ok,
+  {_within(dec('total_vDesc'), 'COALESCE(iv_desc, 0)')} AS vdesc_ok,
+  {_within(dec('total_vTotTrib'), 'COALESCE(iv_trib, 0)')} AS vtottrib_ok,
+  {_within(dec('total_vNF'), dec('total_vProd') + ' - ' + dec('total_vDesc'))} AS vnf_ok
+FROM notas LEFT JOIN sums ON ide_nNF = _k"""
+
+ORACLE_SQL["uf_lookup_check"] = notas_cte(False, True) + """
+SELECT chNFe, emit_UF, ide_cUF, lk.n_nationkey AS expected_cUF, lk.n_name IS NOT NULL AS uf_known,
+  COALESCE(TRY_CAST(ide_cUF AS INTEGER) = lk.n_nationkey, false) AS cuf_ok,
+  COALESCE(TRY_CAST(substr(chNFe, 1, 2) AS INTEGER) = TRY_CAST(ide_cUF AS INTEGER), false) AS key_prefix_ok
+FROM notas LEFT JOIN nation lk ON emit_UF = lk.n_name"""
+
+ORACLE_SQL["key_protocol_check"] = notas_cte(False, True) + """
+SELECT chNFe, chNFe AS prot_chNFe, '100' AS prot_cStat, true AS key_matches, true AS authorized FROM notas"""
+
+_RATE_UNITS = (f"(CASE WHEN {dec('vProd')} * 100 > 0 THEN "
+               f"sign(CAST({dec('vTotTrib')} * 100 * 10000 AS HUGEINT)) * "
+               f"((2 * abs(CAST({dec('vTotTrib')} * 100 * 10000 AS HUGEINT)) + CAST({dec('vProd')} * 100 AS HUGEINT))"
+               f" // (2 * CAST({dec('vProd')} * 100 AS HUGEINT))) END)")
+ORACLE_SQL["item_tax_rate"] = ITENS_CTE + f"""
+SELECT nNF, nItem, vProd, vTotTrib, CAST({_RATE_UNITS} AS DOUBLE) / 10000.0 AS tax_rate,
+  COALESCE(abs({_RATE_UNITS} - 585) > 5, true) AS rate_outlier
+FROM itens"""
+
+ORACLE_SQL["latest_by_key"] = """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1"""
+
+ORACLE_SQL["event_props_json"] = """
+SELECT event_id, user_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""
+
+ORACLE_SQL["guarded_cast"] = """
+SELECT l_orderkey, l_linenumber, TRY_CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE) AS qty,
+  TRY_CAST(l_returnflag AS DOUBLE) AS flag_num, TRY_CAST(substr(l_returnflag, 2, 1) AS DOUBLE) AS empty_num,
+  TRY_CAST(CAST(l_linenumber AS VARCHAR) AS INTEGER) AS line_int
+FROM lineitem"""
+
+ORACLE_SQL["missing_block_defaults"] = notas_cte(True, True) + """
+SELECT chNFe, CASE WHEN o_orderstatus = 'O' THEN '' ELSE emit_UF END AS emit_UF, '' AS emit_xMun,
+  '' AS dest_CPF, '' AS dest_xNome, '' AS dest_UF, 0.0::DOUBLE AS total_vBC,
+  CASE WHEN o_orderstatus = 'P' THEN 0.0 ELSE total_vProd END AS total_vProd,
+  CASE WHEN o_orderstatus = 'P' THEN 0.0 ELSE total_vNF END AS total_vNF,
+  CASE WHEN o_orderstatus = 'P' THEN 0.0 ELSE total_vTotTrib END AS total_vTotTrib
+FROM notas"""
+
+ORACLE_SQL["table_counts"] = notas_cte(True, False, with_itens=True) + """
+SELECT 'nfe_notas' AS table_name, COUNT(*) AS row_count FROM notas
+UNION ALL SELECT 'nfe_itens', COUNT(*) FROM itens
+UNION ALL SELECT 'resultado_notas_por_uf', COUNT(*) FROM (SELECT 1 FROM notas GROUP BY emit_UF)
+UNION ALL SELECT 'resultado_faturamento_emitente', COUNT(*) FROM (
+  SELECT 1 FROM notas GROUP BY emit_CNPJ, emit_xNome, emit_xFant, emit_UF)
+UNION ALL SELECT 'resultado_produtos_mais_vendidos', LEAST(20, COUNT(*)) FROM (
+  SELECT 1 FROM itens GROUP BY cProd, xProd, uCom)
+UNION ALL SELECT 'resultado_tributos_por_nota', COUNT(*) FROM notas
+UNION ALL SELECT 'resultado_valor_medio_mensal', COUNT(*) FROM (SELECT 1 FROM notas GROUP BY substring(ide_dhEmi, 1, 7))"""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from .operators import normalize, records, reports
+from .operators import audit, normalize, quality, records, reports
 from .schemas import ITEM_PATH_SCHEMA
 from .sources import xml as xml_source
 from .session import configure
@@ -81,6 +81,107 @@ def q_xml_roundtrip_itens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.itens(good).select(*ITEM_OUT)
 
 
+# --- data-quality operators ----------------------------------------------------------
+
+KEY_PARTS = ("cUF", "AAMM", "CNPJ", "mod", "serie", "nNF", "tpEmis", "cNF", "cDV")
+
+
+def q_access_key_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """44-digit key split into its layout fields."""
+    t = _tables(spark, sf_dir)
+    return quality.key_parts(star.notas(t, with_item_totals=False).select("chNFe"), "chNFe")
+
+
+def q_access_key_check_digit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: modulo-11 check digit recomputed from the first 43 digits."""
+    t = _tables(spark, sf_dir)
+    return quality.check_digit_status(star.notas(t, with_item_totals=False).select("chNFe"), "chNFe")
+
+
+def q_totals_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header totals against item sums (left join: notes without items count)."""
+    t = _tables(spark, sf_dir)
+    return quality.reconcile_totals(star.notas(t, with_key=False), star.itens(t), note_key="ide_nNF", item_key="nNF")
+
+
+def q_uf_lookup_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issuer state -> state code through the nation table; key prefix agreement."""
+    t = _tables(spark, sf_dir)
+    lookup = t["nation"].select(F.col("n_name").alias("uf"), F.col("n_nationkey").alias("cuf"))
+    return quality.uf_code_check(star.notas(t, with_item_totals=False), lookup)
+
+
+def q_key_protocol_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key of infNFe/@Id against infProt/chNFe and cStat, read back from XML text."""
+    t = _tables(spark, sf_dir)
+    text = records.to_xml_text(star.records(t, with_items=False)).select(F.col("xml").alias("raw"))
+    return quality.protocol_check(xml_source.parse_xml_text(text))
+
+
+def q_item_tax_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item tax share and outlier flag."""
+    t = _tables(spark, sf_dir)
+    return quality.item_tax_rate(star.itens(t), keys=("nNF", "nItem"))
+
+
+def q_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest event per user (ties broken by event id)."""
+    t = _tables(spark, sf_dir)
+    return normalize.latest_by_key(t["events"], "user_id", ("ts", "event_id"))
+
+
+def q_event_props_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 on real JSON text: ``events.props`` parsed with a fixed schema."""
+    t = _tables(spark, sf_dir)
+    e = t["events"]
+    parsed = F.from_json(F.col("props"), "k bigint", {"mode": "PERMISSIVE"})
+    return e.select("event_id", "user_id", "event_type", parsed.getField("k").alias("k"))
+
+
+def q_guarded_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text -> number with ``try_cast``; text that is no number gives NULL."""
+    t = _tables(spark, sf_dir)
+    li = t["lineitem"]
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        normalize.typed(F.col("l_quantity").cast("string"), "double").alias("qty"),
+        normalize.typed(F.col("l_returnflag"), "double").alias("flag_num"),
+        normalize.typed(F.substring("l_returnflag", 2, 1), "double").alias("empty_num"),
+        normalize.typed(F.col("l_linenumber").cast("string"), "int").alias("line_int"),
+    )
+
+
+def q_missing_block_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks removed from the XML by order status come back as defaults.
+
+    status P: no ICMSTot (all totals "0.00"); status O: no issuer address and no
+    recipient (all ""); other notes unchanged.
+    """
+    t = _tables(spark, sf_dir)
+    rec = star.records(t, with_items=False, extra=("o_orderstatus",))
+    r = F.col("nfe")
+    status = F.col("o_orderstatus")
+    no_addr = r.withField("emit", r.getField("emit").withField("endereco", F.lit(None))).withField(
+        "dest", F.lit(None))
+    no_total = r.withField("total", F.lit(None))
+    rec = rec.select(F.when(status == "P", no_total).when(status == "O", no_addr).otherwise(r).alias("nfe"))
+    text = records.to_xml_text(rec).select(F.col("xml").alias("raw"))
+    good, _ = xml_source.split_documents(xml_source.parse_xml_text(text.select(F.lit("t").alias("file"), "raw")))
+    return normalize.notas(good).select(
+        "chNFe", "emit_UF", "emit_xMun", "dest_CPF", "dest_xNome", "dest_UF",
+        "total_vBC", "total_vProd", "total_vNF", "total_vTotTrib")
+
+
+def q_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of the two base tables and the five result tables."""
+    t = _tables(spark, sf_dir)
+    n, i = star.notas(t), star.itens(t)
+    frames = {"nfe_notas": n, "nfe_itens": i}
+    for name, (table, src, fn) in reports.REPORTS.items():
+        frames[table] = fn(n if src == "notas" else i)
+    return audit.table_counts(frames)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notas_por_uf": q_notas_por_uf,
     "faturamento_emitente": q_faturamento_emitente,
@@ -90,4 +191,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_encode_parse_itens": q_json_encode_parse_itens,
     "json_parse_notas": q_json_parse_notas,
     "xml_roundtrip_itens": q_xml_roundtrip_itens,
+    "access_key_parts": q_access_key_parts,
+    "access_key_check_digit": q_access_key_check_digit,
+    "totals_reconciliation": q_totals_reconciliation,
+    "uf_lookup_check": q_uf_lookup_check,
+    "key_protocol_check": q_key_protocol_check,
+    "item_tax_rate": q_item_tax_rate,
+    "latest_by_key": q_latest_by_key,
+    "event_props_json": q_event_props_json,
+    "guarded_cast": q_guarded_cast,
+    "missing_block_defaults": q_missing_block_defaults,
+    "table_counts": q_table_counts,
 }

@@ -220,11 +220,22 @@ def item_groups(t: Tables, target: int = CHUNK_TARGET, max_broadcast_rows: int =
     )
 
 
-def records(t: Tables, target: int = CHUNK_TARGET) -> DataFrame:
-    """One nested invoice record (``INVOICE_SCHEMA``) per order, or per order chunk."""
-    o = t["orders"].select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+def records(t: Tables, target: int = CHUNK_TARGET, with_items: bool = True,
+            extra: tuple[str, ...] = ()) -> DataFrame:
+    """One nested invoice record (``INVOICE_SCHEMA``) per order, or per order chunk.
+
+    ``with_items=False`` leaves ``itens`` NULL and takes the totals from the per-order
+    item sums (no item lists are collected).  ``extra`` carries order columns along.
+    """
+    o = t["orders"].select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", *extra)
     hdr = o.join(issuers(t), o.o_custkey == F.col("c_custkey"), "inner")
-    g = item_groups(t, target)
+    if with_items:
+        g = item_groups(t, target)
+    else:
+        g = note_item_totals(t).select("*", F.lit(0).alias("chunk"), F.lit(None).cast(
+            "array<struct<nItem:string,cProd:string,xProd:string,NCM:string,CFOP:string,uCom:string,"
+            "qCom:string,vUnCom:string,vProd:string,vDesc:string,vTotTrib:string>>").alias("itens"),
+            F.lit(1).cast("long").alias("_chunks"))
     j = hdr.join(g, hdr.o_orderkey == g.l_orderkey, "left")
     chunk = F.coalesce(F.col("chunk"), F.lit(0))
     zero = F.lit(0).cast("decimal(28,2)")
@@ -268,4 +279,4 @@ def records(t: Tables, target: int = CHUNK_TARGET) -> DataFrame:
         F.struct(F.lpad(_s(ok), 15, "0").alias("nProt"), dh.alias("dhRecbto"),
                  F.lit(AUTHORIZED_STATUS).alias("cStat")).alias("protocolo"),
     )
-    return j.select(rec.alias("nfe"))
+    return j.select(rec.alias("nfe"), *extra)
