@@ -6,7 +6,7 @@ plain arithmetic expression inside whole-stage codegen (no UDF, no lambda).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -29,21 +29,20 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _digit(s: Column, position: int) -> Column:
-    return F.substring(s, position, 1).try_cast("int")
+def check_digit_sql(name: str) -> str:
+    """SQL text of the modulo-11 check digit over the first 43 characters of column
+    ``name`` (a 43-digit body or a full 44-digit key); NULL when a character is no digit
+    or the text is shorter than 43."""
+    col = f"`{name}`"
+    terms = " + ".join(f"try_cast(substring({col}, {p}, 1) AS INT) * {weight(p)}" for p in range(1, BODY_LENGTH + 1))
+    r = f"pmod({terms}, {CHECK_DIGIT_MODULUS})"
+    return (f"CASE WHEN length({col}) < {BODY_LENGTH} THEN CAST(NULL AS INT) "
+            f"WHEN {r} < 2 THEN 0 ELSE {CHECK_DIGIT_MODULUS} - {r} END")
 
 
-def check_digit(body: str | Column) -> Column:
-    """Modulo-11 check digit of a 43-digit key body (NULL if any char is no digit)."""
-    s = _c(body)
-    total = None
-    for p in range(1, BODY_LENGTH + 1):
-        term = _digit(s, p) * F.lit(weight(p))
-        total = term if total is None else total + term
-    r = F.pmod(total, F.lit(CHECK_DIGIT_MODULUS))
-    return F.when(F.length(s) != BODY_LENGTH, F.lit(None).cast("int")).when(r < 2, F.lit(0)).otherwise(
-        F.lit(CHECK_DIGIT_MODULUS) - r
-    )
+def check_digit(name: str) -> Column:
+    """Modulo-11 check digit of column ``name`` (see :func:`check_digit_sql`)."""
+    return F.expr(check_digit_sql(name))
 
 
 def key_part_columns(key: str | Column, prefix: str = "") -> list[Column]:
@@ -65,7 +64,10 @@ def compose_key_body(cuf: Column, aamm: Column, cnpj: Column, mod: Column, serie
     return F.concat(*[F.lpad(c.cast("string"), widths[n], "0") for c, n in parts])
 
 
-def compose_key(*parts: Column) -> Column:
-    """Full 44-digit key: body plus its check digit."""
-    body = compose_key_body(*parts)
-    return F.concat(body, check_digit(body).cast("string"))
+def with_access_key(df: DataFrame, out: str, cuf: Column, aamm: Column, cnpj: Column, mod: Column,
+                    serie: Column, nnf: Column, tpemis: Column, cnf: Column) -> DataFrame:
+    """Add the 44-digit key ``out`` (body plus check digit).  The body is projected
+    first, so the 43-term digit sum reads one column instead of repeating the body."""
+    body = "_key_body"
+    df = df.withColumn(body, compose_key_body(cuf, aamm, cnpj, mod, serie, nnf, tpemis, cnf))
+    return df.withColumn(out, F.concat(F.col(body), check_digit(body).cast("string"))).drop(body)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import AUTHORIZED_STATUS, EMISSION_NORMAL, LAYOUT_VERSION, MODEL_NFE
-from ..functions.keys import compose_key
+from ..functions.keys import with_access_key
 from ..functions.money import dec
 from ..operators.joins import lookup_join
 
@@ -74,10 +74,12 @@ def cnf_of(orderkey: Column, custkey: Column) -> Column:
     return F.pmod(orderkey * 7919 + custkey * 104729, F.lit(100_000_000))
 
 
-def access_key(orderkey: Column, custkey: Column, nationkey: Column, orderdate: Column) -> Column:
-    return compose_key(
-        nationkey, F.date_format(orderdate, "yyMM"), custkey, F.lit(MODEL_NFE), serie_of(orderkey),
-        nnf_of(orderkey), F.lit(EMISSION_NORMAL), cnf_of(orderkey, custkey),
+def add_access_key(df: DataFrame, cnf: Column | None = None) -> DataFrame:
+    """Add ``chNFe`` to a frame holding order, customer and nation columns."""
+    ok, ck = F.col("o_orderkey"), F.col("c_custkey")
+    return with_access_key(
+        df, "chNFe", F.col("c_nationkey"), F.date_format("o_orderdate", "yyMM"), ck, F.lit(MODEL_NFE),
+        serie_of(ok), nnf_of(ok), F.lit(EMISSION_NORMAL), cnf_of(ok, ck) if cnf is None else cnf,
     )
 
 
@@ -119,8 +121,9 @@ def notas(t: Tables, with_item_totals: bool = True, with_key: bool = True) -> Da
         vtrib = F.coalesce(F.col("_sum_vtrib"), zero).cast("double")
     else:
         vprod = vdesc = vtrib = F.lit(None).cast("double")
-    key = (access_key(F.col("o_orderkey"), F.col("c_custkey"), F.col("c_nationkey"), F.col("o_orderdate"))
-           if with_key else F.lit(None).cast("string"))
+    if with_key:
+        hdr = add_access_key(hdr)
+    key = F.col("chNFe") if with_key else F.lit(None).cast("string")
     return hdr.select(
         key.alias("chNFe"),
         F.lit(LAYOUT_VERSION).alias("versao"),
@@ -246,8 +249,8 @@ def records(t: Tables, target: int = CHUNK_TARGET, with_items: bool = True,
     vnf = F.when(single, dec("o_totalprice")).otherwise(vprod - vdesc)
     ok, ck = F.col("o_orderkey"), F.col("c_custkey")
     cnf = F.pmod(cnf_of(ok, ck) + chunk, F.lit(100_000_000))
-    key = compose_key(F.col("c_nationkey"), F.date_format("o_orderdate", "yyMM"), ck, F.lit(MODEL_NFE),
-                      serie_of(ok), nnf_of(ok), F.lit(EMISSION_NORMAL), cnf)
+    j = add_access_key(j, cnf)
+    key = F.col("chNFe")
     dh = iso_local(F.col("o_orderdate"))
     empty = F.lit("")
     addr = lambda uf: F.struct(*[empty.alias(f) for f in ("xLgr", "nro", "xBairro", "cMun", "xMun")],
