@@ -252,3 +252,8 @@ UNION ALL SELECT 'resultado_produtos_mais_vendidos', LEAST(20, COUNT(*)) FROM (
   SELECT 1 FROM itens GROUP BY cProd, xProd, uCom)
 UNION ALL SELECT 'resultado_tributos_por_nota', COUNT(*) FROM notas
 UNION ALL SELECT 'resultado_valor_medio_mensal', COUNT(*) FROM (SELECT 1 FROM notas GROUP BY substring(ide_dhEmi, 1, 7))"""
+
+# --- streaming ---------------------------------------------------------------------------
+
+ORACLE_SQL["stream_available_now"] = notas_cte(True, True) + """
+SELECT chNFe, ide_nNF, emit_UF, total_vProd, total_vNF, total_vTotTrib FROM notas"""

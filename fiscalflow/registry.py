@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .operators import audit, normalize, quality, records, reports
 from .schemas import ITEM_PATH_SCHEMA
 from .sources import xml as xml_source
-from .session import configure
+from .session import checkpoint_dir, configure
 from .sources import star
 
 
@@ -182,6 +182,29 @@ def q_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.table_counts(frames)
 
 
+# --- streaming -----------------------------------------------------------------------
+
+
+def q_stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read as a file stream -> invoice messages -> file log (availableNow,
+    checkpointed), then the log read back and parsed into header rows."""
+    import uuid
+
+    from .sources.messages import FileLog
+    from .streaming.incremental import ingest_available
+
+    t = _tables(spark, sf_dir)
+    stream = (spark.readStream.schema(t["orders"].schema).option("pathGlobFilter", "orders.parquet")
+              .parquet(sf_dir))
+    recs = star.records(t, with_items=False, orders=stream)
+    msgs = recs.select(F.col("nfe.chNFe").alias("key"), F.to_json("nfe").alias("value"))
+    root = f"{checkpoint_dir(spark)}/fiscalflow-stream/{uuid.uuid4().hex}"
+    log = FileLog(f"{root}/log")
+    ingest_available(spark, msgs, log, f"{root}/checkpoint")
+    parsed = normalize.parse_messages(log.read(spark))
+    return normalize.notas(parsed).select("chNFe", "ide_nNF", "emit_UF", "total_vProd", "total_vNF", "total_vTotTrib")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notas_por_uf": q_notas_por_uf,
     "faturamento_emitente": q_faturamento_emitente,
@@ -202,4 +225,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "guarded_cast": q_guarded_cast,
     "missing_block_defaults": q_missing_block_defaults,
     "table_counts": q_table_counts,
+    "stream_available_now": q_stream_available_now,
 }

@@ -31,8 +31,13 @@ class FileLog:
     def path(self) -> str:
         return f"{self.root.rstrip('/')}/topic={self.topic}"
 
-    def write(self, messages: DataFrame, batch: int | None = None) -> int:
-        """Append ``(key, value)`` rows as one batch; returns the batch id."""
+    def write(self, messages: DataFrame, batch: int | None = None, replace_batch: bool = False) -> int:
+        """Append ``(key, value)`` rows as one batch; returns the batch id.
+
+        ``replace_batch=True`` overwrites only that batch's folder (dynamic partition
+        overwrite), so re-running the same batch id -- e.g. a retried streaming epoch --
+        leaves exactly one copy.
+        """
         batch = int(time.time() * 1000) if batch is None else int(batch)
         out = messages.select(
             F.col("key").cast("string").alias("key"),
@@ -42,7 +47,12 @@ class FileLog:
             F.current_timestamp().alias("timestamp"),
             F.lit(batch).cast("long").alias("batch"),
         )
-        out.write.mode("append").partitionBy("batch").parquet(self.path)
+        w = out.write.partitionBy("batch")
+        if replace_batch:
+            w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        else:
+            w = w.mode("append")
+        w.parquet(self.path)
         return batch
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -64,7 +74,7 @@ class KafkaLog:
         return {"kafka.bootstrap.servers": self.bootstrap_servers, "subscribe": self.topic,
                 "startingOffsets": starting, "endingOffsets": ending, **self.extra}
 
-    def write(self, messages: DataFrame, batch: int | None = None) -> int | None:
+    def write(self, messages: DataFrame, batch: int | None = None, replace_batch: bool = False) -> int | None:
         (messages.select(F.col("key").cast("string"), F.col("value").cast("string"))
          .write.format("kafka").options(**self.writer_options()).save())
         return batch

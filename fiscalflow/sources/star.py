@@ -224,13 +224,14 @@ def item_groups(t: Tables, target: int = CHUNK_TARGET, max_broadcast_rows: int =
 
 
 def records(t: Tables, target: int = CHUNK_TARGET, with_items: bool = True,
-            extra: tuple[str, ...] = ()) -> DataFrame:
+            extra: tuple[str, ...] = (), orders: DataFrame | None = None) -> DataFrame:
     """One nested invoice record (``INVOICE_SCHEMA``) per order, or per order chunk.
 
     ``with_items=False`` leaves ``itens`` NULL and takes the totals from the per-order
     item sums (no item lists are collected).  ``extra`` carries order columns along.
+    ``orders`` replaces the orders table, e.g. by a streaming read of it.
     """
-    o = t["orders"].select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", *extra)
+    o = (t["orders"] if orders is None else orders).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", *extra)
     hdr = o.join(issuers(t), o.o_custkey == F.col("c_custkey"), "inner")
     if with_items:
         g = item_groups(t, target)
