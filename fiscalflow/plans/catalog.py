@@ -42,7 +42,8 @@ def save_table(df: DataFrame, name: str, db: str | None = None, partition_by: Se
     """Overwrite table ``name`` with ``df`` (S8); safe when ``df`` reads that table."""
     spark = df.sparkSession
     target = qualified(db, name)
-    if spark.catalog.tableExists(name, db) and _reads_table(df, name, db):
+    exists = spark.catalog.tableExists(f"{db}.{name}" if db else name)
+    if exists and _reads_table(df, name, db):
         tmp = f"{name}__new_{uuid.uuid4().hex[:8]}"
         w = df.write.format(fmt).mode("overwrite")
         if partition_by:
