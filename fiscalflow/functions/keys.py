@@ -29,20 +29,46 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def check_digit_sql(name: str) -> str:
-    """SQL text of the modulo-11 check digit over the first 43 characters of column
-    ``name`` (a 43-digit body or a full 44-digit key); NULL when a character is no digit
-    or the text is shorter than 43."""
-    col = f"`{name}`"
-    terms = " + ".join(f"try_cast(substring({col}, {p}, 1) AS INT) * {weight(p)}" for p in range(1, BODY_LENGTH + 1))
-    r = f"pmod({terms}, {CHECK_DIGIT_MODULUS})"
-    return (f"CASE WHEN length({col}) < {BODY_LENGTH} THEN CAST(NULL AS INT) "
-            f"WHEN {r} < 2 THEN 0 ELSE {CHECK_DIGIT_MODULUS} - {r} END")
+CHUNK_DIGITS = 18   # digits that always fit in a bigint
 
 
-def check_digit(name: str) -> Column:
-    """Modulo-11 check digit of column ``name`` (see :func:`check_digit_sql`)."""
-    return F.expr(check_digit_sql(name))
+def _chunks() -> list[tuple[int, int]]:
+    return [(st, min(CHUNK_DIGITS, BODY_LENGTH - st + 1)) for st in range(1, BODY_LENGTH + 1, CHUNK_DIGITS)]
+
+
+def weighted_remainder_sql(chunk_cols: list[str]) -> str:
+    """SQL of ``(sum of digit x weight) mod 11`` from bigint chunk columns of the body.
+
+    Every digit is ``(chunk div 10^e) % 10``: long arithmetic on column references,
+    which generated code runs without allocating per-digit strings.
+    """
+    terms = []
+    for name, (start, length) in zip(chunk_cols, _chunks()):
+        for p in range(start, start + length):
+            e = start + length - 1 - p
+            digit = f"(`{name}` % 10)" if e == 0 else f"((`{name}` div {10 ** e}) % 10)"
+            terms.append(f"{digit} * {weight(p)}")
+    return f"pmod({' + '.join(terms)}, {CHECK_DIGIT_MODULUS})"
+
+
+def with_check_digit(df: DataFrame, name: str, out: str) -> DataFrame:
+    """Add ``out``: the modulo-11 check digit of the first 43 characters of ``name``
+    (a 43-digit body or a full key); NULL unless those are 43 digits.
+
+    Three small projections: the body is cut into bigint chunks once, the weighted
+    digit sum reads the chunk columns, and the digit reads the remainder once.
+    """
+    cols = [f"_dv_chunk{i}" for i in range(len(_chunks()))]
+    valid, rem = "_dv_valid", "_dv_rem"
+    src = F.col(name)
+    df = df.select("*", *[F.substring(src, st, ln).try_cast("bigint").alias(c)
+                          for c, (st, ln) in zip(cols, _chunks())],
+                   F.coalesce(src.rlike(f"^[0-9]{{{BODY_LENGTH}}}"), F.lit(False)).alias(valid))
+    df = df.withColumn(rem, F.expr(weighted_remainder_sql(cols)).cast("int")).drop(*cols)
+    r = F.col(rem)
+    dv = F.when(~F.col(valid), F.lit(None).cast("int")).when(r < 2, F.lit(0)).otherwise(
+        F.lit(CHECK_DIGIT_MODULUS) - r)
+    return df.withColumn(out, dv).drop(valid, rem)
 
 
 def key_part_columns(key: str | Column, prefix: str = "") -> list[Column]:
@@ -67,7 +93,8 @@ def compose_key_body(cuf: Column, aamm: Column, cnpj: Column, mod: Column, serie
 def with_access_key(df: DataFrame, out: str, cuf: Column, aamm: Column, cnpj: Column, mod: Column,
                     serie: Column, nnf: Column, tpemis: Column, cnf: Column) -> DataFrame:
     """Add the 44-digit key ``out`` (body plus check digit).  The body is projected
-    first, so the 43-term digit sum reads one column instead of repeating the body."""
-    body = "_key_body"
+    first, so the digit sum reads columns instead of repeating the body expression."""
+    body, dv = "_key_body", "_key_dv"
     df = df.withColumn(body, compose_key_body(cuf, aamm, cnpj, mod, serie, nnf, tpemis, cnf))
-    return df.withColumn(out, F.concat(F.col(body), check_digit(body).cast("string"))).drop(body)
+    df = with_check_digit(df, body, dv)
+    return df.withColumn(out, F.concat(F.col(body), F.col(dv).cast("string"))).drop(body, dv)

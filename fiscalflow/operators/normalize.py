@@ -19,8 +19,23 @@ JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUM
 RECORD = "nfe"
 
 
+# text a double cast accepts without any digit in it
+_FLOAT_WORDS = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
+
+
 def typed(c: Column, typ: str) -> Column:
-    return c if typ == "string" else c.try_cast(typ)
+    """``try_cast(c AS typ)`` for message text.
+
+    Text without a digit (``""``, codes, words) cannot be a number except for the
+    float words, so it is mapped to NULL before the cast: a failing cast costs an
+    exception per row, the digit test a byte scan.
+    """
+    if typ == "string":
+        return c
+    maybe = c.rlike("[0-9]")
+    if typ in ("double", "float"):
+        maybe = maybe | F.lower(F.trim(c)).isin(*_FLOAT_WORDS)
+    return F.when(maybe, c.try_cast(typ))
 
 
 def parse_messages(messages: DataFrame, schema=INVOICE_PARSE_SCHEMA, keep: Sequence[str] = ()) -> DataFrame:

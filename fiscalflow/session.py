@@ -22,6 +22,9 @@ SCALE_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # HotSpot does not JIT methods above 8000 bytes of bytecode; beyond that, fall back
+    # from whole-stage codegen to per-operator code instead of running interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -53,9 +53,9 @@ def test_percent_guard(spark):
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.text(alphabet="0123456789", min_size=43, max_size=43), min_size=1, max_size=20))
 def test_check_digit_brute_force(spark, bodies):
-    df = spark.createDataFrame([(b,) for b in bodies], "b string")
-    got = [r.dv for r in df.select(keys.check_digit("b").alias("dv")).collect()]
-    assert got == [int(key_with_dv(b)[-1]) for b in bodies]
+    df = spark.createDataFrame([(b,) for b in bodies] + [("12a" + "0" * 40,), ("1" * 42,)], "b string")
+    got = [r.dv for r in keys.with_check_digit(df, "b", "dv").collect()]
+    assert got == [int(key_with_dv(b)[-1]) for b in bodies] + [None, None]
 
 
 def test_key_parts_and_compose(spark):
