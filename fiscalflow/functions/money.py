@@ -27,31 +27,35 @@ def money_sum(c: str | Column, scale: int = 2) -> Column:
     return F.sum(dec(c, scale)).cast("double")
 
 
-def rounded_units(num_units: Column, den: Column) -> Column:
-    """``num_units / den`` rounded half away from zero to an integer (exact, decimal(38,0)).
+def rounded_units(num_units: Column, den: Column, exact_type: str = "decimal(38,0)") -> Column:
+    """``num_units / den`` rounded half away from zero to an integer, exactly.
 
-    ``num_units`` is integral, ``den`` a positive integer; the quotient is
-    ``sign(n) * floor((2|n| + d) / (2d))``, taken with an integer division.
+    ``num_units`` is integral, ``den`` a positive integer; the result is
+    ``sign(n) * ((2|n| + d) div (2d))``.  Aggregates pass decimal(38,0) (sums of any
+    size); per-row amounts in cents pass ``bigint`` (long arithmetic, much faster).
     """
-    n = num_units.cast("decimal(38,0)")
-    d = den.cast("decimal(38,0)")
-    return F.signum(n).cast("decimal(1,0)") * int_div(F.abs(n) * 2 + d, d * 2)
+    n = num_units.cast(exact_type)
+    d = den.cast(exact_type)
+    q = int_div(F.abs(n) * 2 + d, d * 2)
+    return F.when(n < 0, -q).otherwise(q)
 
 
-def rounded_ratio(num_units: Column, den: Column, out_scale: int = 2) -> Column:
+def rounded_ratio(num_units: Column, den: Column, out_scale: int = 2, exact_type: str = "decimal(38,0)") -> Column:
     """``ROUND(num_units / den / 10**out_scale, out_scale)`` half away from zero, as double.
 
     ``num_units`` is an integral amount already scaled by ``10**out_scale``.
     """
-    return (rounded_units(num_units, den).cast("double") / F.lit(10 ** out_scale)).cast("double")
+    return rounded_units(num_units, den, exact_type).cast("double") / F.lit(float(10 ** out_scale))
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Exact floor division of non-negative integral decimals: ``(a - a mod b) / b``.
+    """Exact integral division (SQL ``div``); floor for non-negative operands."""
+    return F.call_function("div", a, b)
 
-    The dividend is an exact multiple of ``b``, so the decimal division is exact.
-    """
-    return ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
+
+def cents(c: str | Column) -> Column:
+    """Amount in integer cents (bigint), through the exact decimal form."""
+    return (dec(c) * 100).cast("bigint")
 
 
 def money_avg(c: str | Column, in_scale: int = 2, out_scale: int = 2) -> Column:
@@ -76,7 +80,6 @@ def percent_of(part: str | Column, whole: str | Column, out_scale: int = 2) -> C
     Both amounts are taken in cents; a NULL ``whole`` takes the ELSE branch as in the
     reference (N11).
     """
-    p = dec(part) * 100
-    w = dec(whole) * 100
-    pct = rounded_ratio(p * F.lit(100 * 10 ** out_scale), w, out_scale)
+    p, w = cents(part), cents(whole)
+    pct = rounded_ratio(p * F.lit(100 * 10 ** out_scale), w, out_scale, exact_type="bigint")
     return F.when(w > 0, pct).otherwise(F.lit(0.0))
