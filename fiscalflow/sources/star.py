@@ -213,7 +213,10 @@ def item_groups(t: Tables, target: int = CHUNK_TARGET, max_broadcast_rows: int =
     n_chunks = F.ceil(F.coalesce(F.col("_n"), F.lit(1)) / F.lit(target))
     chunk = F.when(n_chunks <= 1, F.lit(0)).otherwise(
         F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"), n_chunks))
-    li = li.withColumn("chunk", chunk.cast("int"))
+    # Shuffle the item rows on (order, chunk) before collecting: the lists are then built
+    # once on the reduce side instead of being built map-side and shuffled as arrays,
+    # and a split hot order spreads over as many tasks as it has chunks.
+    li = li.withColumn("chunk", chunk.cast("int")).repartition("l_orderkey", "chunk")
     return li.groupBy("l_orderkey", "chunk").agg(
         F.collect_list(_item_struct()).alias("itens"),
         F.sum("_vprod").alias("_sum_vprod"),
