@@ -111,7 +111,7 @@ def notas_cte(with_item_totals: bool = True, with_key: bool = True, with_itens:
       {_lp('c_custkey', 14)} AS emit_CNPJ, c_name AS emit_xNome, c_mktsegment AS emit_xFant,
       n_name AS emit_UF, {vprod} AS total_vProd, {vdesc} AS total_vDesc,
       0.0::DOUBLE AS total_vICMS, 0.0::DOUBLE AS total_vPIS, 0.0::DOUBLE AS total_vCOFINS,
-      o_totalprice AS total_vNF, {vtrib} AS total_vTotTrib, '100' AS prot_cStat, o_orderstatus
+      o_totalprice AS total_vNF, {vtrib} AS total_vTotTrib, '100' AS prot_cStat, o_orderstatus, o_orderpriority
     FROM keyed)""")
     if with_itens:
         parts.append(ITENS_BODY)
@@ -257,3 +257,15 @@ UNION ALL SELECT 'resultado_valor_medio_mensal', COUNT(*) FROM (SELECT 1 FROM no
 
 ORACLE_SQL["stream_available_now"] = notas_cte(True, True) + """
 SELECT chNFe, ide_nNF, emit_UF, total_vProd, total_vNF, total_vTotTrib FROM notas"""
+
+# --- rejects, republication and the persisted pipeline ------------------------------------
+
+ORACLE_SQL["xml_rejects"] = notas_cte(False, True) + """
+SELECT chNFe AS key, CASE o_orderpriority WHEN '1-URGENT' THEN 'malformed' WHEN '2-HIGH' THEN 'missing_ide'
+  ELSE 'no_invoice' END AS reason
+FROM notas WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
+
+ORACLE_SQL["republish_latest"] = notas_cte(False, True) + """
+SELECT chNFe, total_vNF, CAST(2 AS BIGINT) AS batch FROM notas"""
+
+ORACLE_SQL["persisted_notas_por_uf"] = ORACLE_SQL["notas_por_uf"]

@@ -37,25 +37,38 @@ def _reads_table(df: DataFrame, name: str, db: str | None) -> bool:
     return target in plan.replace("`", "")
 
 
+def table_location(spark: SparkSession, name: str, db: str | None = None) -> str:
+    """Folder of a table: ``<warehouse>/<db>.db/<name>`` (the managed-table layout)."""
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{root}/{db}.db/{name}" if db else f"{root}/{name}"
+
+
 def save_table(df: DataFrame, name: str, db: str | None = None, partition_by: Sequence[str] = (),
-               fmt: str = "parquet") -> str:
-    """Overwrite table ``name`` with ``df`` (S8); safe when ``df`` reads that table."""
+               fmt: str = "parquet", location: str | None = None) -> str:
+    """Overwrite table ``name`` with ``df`` (S8); safe when ``df`` reads that table.
+
+    The table is written to an explicit location (by default where a managed table
+    would live), so an overwrite also succeeds when the folder outlived a catalog that
+    forgot the table (e.g. the in-memory catalog of a new session).
+    """
     spark = df.sparkSession
     target = qualified(db, name)
     exists = spark.catalog.tableExists(f"{db}.{name}" if db else name)
-    if exists and _reads_table(df, name, db):
-        tmp = f"{name}__new_{uuid.uuid4().hex[:8]}"
-        w = df.write.format(fmt).mode("overwrite")
+
+    def write(tbl: str, path: str) -> None:
+        w = df.write.format(fmt).mode("overwrite").option("path", path)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.saveAsTable(qualified(db, tmp))
+        w.saveAsTable(tbl)
+
+    path = location or table_location(spark, name, db)
+    if exists and _reads_table(df, name, db):
+        tmp = f"{name}__new_{uuid.uuid4().hex[:8]}"
+        write(qualified(db, tmp), f"{path}__{uuid.uuid4().hex[:8]}")
         drop_table(spark, name, db)
         spark.sql(f"ALTER TABLE {qualified(db, tmp)} RENAME TO {target}")
         return target
-    w = df.write.format(fmt).mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(target)
+    write(target, path)
     return target
 
 

@@ -182,6 +182,66 @@ def q_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.table_counts(frames)
 
 
+# --- rejects, republication and the persisted pipeline -----------------------------
+
+
+def q_xml_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents damaged by order priority are routed to the rejects.
+
+    1-URGENT: text cut after 200 characters (malformed); 2-HIGH: no ``ide`` block;
+    3-MEDIUM: ``CTe`` instead of ``NFe`` (no invoice).  Other documents pass.
+    """
+    t = _tables(spark, sf_dir)
+    rec = star.records(t, with_items=False, extra=("o_orderpriority",))
+    r, pr = F.col("nfe"), F.col("o_orderpriority")
+    rec = rec.select(F.when(pr == "2-HIGH", r.withField("ide", F.lit(None))).otherwise(r).alias("nfe"), pr)
+    xml = F.to_xml(records.record_to_document(F.col("nfe")), {"rowTag": "nfeProc"})
+    raw = (F.when(pr == "1-URGENT", F.substring(xml, 1, 200))
+           .when(pr == "3-MEDIUM", F.replace(F.replace(xml, F.lit("<NFe>"), F.lit("<CTe>")),
+                                             F.lit("</NFe>"), F.lit("</CTe>")))
+           .otherwise(xml))
+    text = rec.select(F.col("nfe.chNFe").alias("file"), raw.alias("raw"))
+    _, bad = xml_source.split_documents(xml_source.parse_xml_text(text))
+    return bad.select(F.col("file").alias("key"), "reason")
+
+
+def q_republish_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every invoice published twice to the file log; the newest
+    message per key is kept before parsing."""
+    import uuid
+
+    from .sources.messages import FileLog
+
+    t = _tables(spark, sf_dir)
+    msgs = records.to_messages(star.records(t, with_items=False))
+    log = FileLog(f"{checkpoint_dir(spark)}/fiscalflow-log/{uuid.uuid4().hex}")
+    log.write(msgs, batch=1)
+    log.write(msgs, batch=2)
+    latest = normalize.latest_messages(log.read(spark))
+    parsed = normalize.parse_messages(latest, keep=("batch",))
+    return parsed.select(F.col("nfe.chNFe").alias("chNFe"), normalize.typed(F.col("nfe.total.vNF"), "double")
+                         .alias("total_vNF"), "batch")
+
+
+PIPELINE_DB = "fiscalflow_check"
+
+
+def q_persisted_notas_por_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records -> message log -> persist (staged snapshot, two tables)
+    -> five saved reports; the notes-per-state table read back from the catalog."""
+    import uuid
+
+    from .plans import pipeline
+    from .sources.messages import FileLog
+
+    t = _tables(spark, sf_dir)
+    log = FileLog(f"{checkpoint_dir(spark)}/fiscalflow-log/{uuid.uuid4().hex}")
+    log.write(records.to_messages(star.records(t)))
+    pipeline.run_persist(spark, log, db=PIPELINE_DB)
+    pipeline.run_reports(spark, PIPELINE_DB)
+    return pipeline.read_report(spark, "resultado_notas_por_uf", PIPELINE_DB)
+
+
 # --- streaming -----------------------------------------------------------------------
 
 
@@ -226,4 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_block_defaults": q_missing_block_defaults,
     "table_counts": q_table_counts,
     "stream_available_now": q_stream_available_now,
+    "xml_rejects": q_xml_rejects,
+    "republish_latest": q_republish_latest,
+    "persisted_notas_por_uf": q_persisted_notas_por_uf,
 }
