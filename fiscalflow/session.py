@@ -29,8 +29,18 @@ SCALE_CONF: dict[str, str] = {
 }
 
 
-def configure(spark: SparkSession, extra: dict[str, str] | None = None) -> SparkSession:
-    for k, v in {**SCALE_CONF, **(extra or {})}.items():
+# Added on a shared, busy cluster (``configure(spark, cluster=True)``): coalesce shuffle
+# partitions to the advisory size instead of to the core count, and start from enough
+# shuffle partitions that AQE only ever merges (100 TB / 128 MB is about 800k map outputs).
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+}
+
+
+def configure(spark: SparkSession, extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    conf = {**SCALE_CONF, **(CLUSTER_CONF if cluster else {}), **(extra or {})}
+    for k, v in conf.items():
         spark.conf.set(k, v)
     return spark
 

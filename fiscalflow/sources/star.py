@@ -31,6 +31,7 @@ from ..constants import AUTHORIZED_STATUS, EMISSION_NORMAL, LAYOUT_VERSION, MODE
 from ..functions.keys import with_access_key
 from ..functions.money import dec
 from ..operators.joins import lookup_join
+from ..session import checkpoint_dir
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -209,6 +210,10 @@ def item_groups(t: Tables, target: int = CHUNK_TARGET, max_broadcast_rows: int =
     li = li.join(p, on="l_partkey", how="inner")
     big = (t["lineitem"].groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > target))
+    # computed once into the shared checkpoint folder: the size check and the join then
+    # read the (small) result instead of aggregating lineitem twice
+    checkpoint_dir(t.spark)
+    big = big.checkpoint(eager=True)
     li = lookup_join(li, big, on="l_orderkey", how="left", max_rows=max_broadcast_rows)
     n_chunks = F.ceil(F.coalesce(F.col("_n"), F.lit(1)) / F.lit(target))
     chunk = F.when(n_chunks <= 1, F.lit(0)).otherwise(
