@@ -195,7 +195,7 @@ def q_xml_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = star.records(t, with_items=False, extra=("o_orderpriority",))
     r, pr = F.col("nfe"), F.col("o_orderpriority")
     rec = rec.select(F.when(pr == "2-HIGH", r.withField("ide", F.lit(None))).otherwise(r).alias("nfe"), pr)
-    xml = F.to_xml(records.record_to_document(F.col("nfe")), {"rowTag": "nfeProc"})
+    xml = F.to_xml(records.record_to_document(F.col("nfe")), records.XML_WRITE_OPTIONS)
     raw = (F.when(pr == "1-URGENT", F.substring(xml, 1, 200))
            .when(pr == "3-MEDIUM", F.replace(F.replace(xml, F.lit("<NFe>"), F.lit("<CTe>")),
                                              F.lit("</NFe>"), F.lit("</CTe>")))
