@@ -34,6 +34,9 @@ SCALE_CONF: dict[str, str] = {
 # shuffle partitions that AQE only ever merges (100 TB / 128 MB is about 800k map outputs).
 CLUSTER_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # invoice XML files are a few KB: at the default 4 MB open cost a 128 MB scan task
+    # would hold ~32 files; 64 KB packs ~2,000 per task
+    "spark.sql.files.openCostInBytes": "65536",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
 }
 
