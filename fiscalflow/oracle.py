@@ -65,9 +65,9 @@ def _lp(x: str, n: int) -> str:
 
 
 KEY_BODY = (
-    f"{_lp('c_nationkey', 2)} || strftime(o_orderdate, '%y%m') || {_lp('c_custkey', 14)} || '55' || "
+    f"{_lp('c_nationkey', 2)} || strftime(o_orderdate, '%y%m') || {_lp('o_custkey', 14)} || '55' || "
     f"{_lp('(o_orderkey // 1000000000 + 1)', 3)} || {_lp('(o_orderkey % 1000000000)', 9)} || '1' || "
-    f"{_lp('((o_orderkey * 7919 + c_custkey * 104729) % 100000000)', 8)}"
+    f"{_lp('((o_orderkey * 7919 + o_custkey * 104729) % 100000000)', 8)}"
 )
 
 # --- star-schema mapping ---------------------------------------------------------------
@@ -85,7 +85,7 @@ NOTE_TOTALS = f"""
 NOTAS_BASE = """
   hdr AS (
     SELECT o.*, c_custkey, c_name, c_mktsegment, c_nationkey, n_name
-    FROM orders o JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
+    FROM orders o LEFT JOIN (customer LEFT JOIN nation ON c_nationkey = n_nationkey) ON o_custkey = c_custkey)"""
 
 
 def notas_cte(with_item_totals: bool = True, with_key: bool = True, with_itens: bool = False) -> str:
@@ -108,7 +108,7 @@ def notas_cte(with_item_totals: bool = True, with_key: bool = True, with_itens:
       CAST(o_orderkey % 1000000000 AS VARCHAR) AS ide_nNF, 'VENDA DE MERCADORIA' AS ide_natOp,
       CAST(o_orderkey // 1000000000 + 1 AS VARCHAR) AS ide_serie,
       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '-03:00' AS ide_dhEmi,
-      {_lp('c_custkey', 14)} AS emit_CNPJ, c_name AS emit_xNome, c_mktsegment AS emit_xFant,
+      {_lp('o_custkey', 14)} AS emit_CNPJ, c_name AS emit_xNome, c_mktsegment AS emit_xFant,
       n_name AS emit_UF, {vprod} AS total_vProd, {vdesc} AS total_vDesc,
       0.0::DOUBLE AS total_vICMS, 0.0::DOUBLE AS total_vPIS, 0.0::DOUBLE AS total_vCOFINS,
       o_totalprice AS total_vNF, {vtrib} AS total_vTotTrib, '100' AS prot_cStat, o_orderstatus, o_orderpriority
@@ -125,7 +125,7 @@ ITENS_BODY = f"""
       l_quantity AS qCom, p_retailprice AS vUnCom,
       CAST(vprod AS DOUBLE) AS vProd, CAST(vdesc AS DOUBLE) AS vDesc, CAST(vtrib AS DOUBLE) AS vTotTrib,
       l_orderkey
-    FROM (SELECT *, {ITEM_MONEY} FROM lineitem) li JOIN part ON l_partkey = p_partkey)"""
+    FROM (SELECT *, {ITEM_MONEY} FROM lineitem) li LEFT JOIN part ON l_partkey = p_partkey)"""
 ITENS_CTE = "WITH " + ITENS_BODY
 
 # --- the five reports ------------------------------------------------------------------

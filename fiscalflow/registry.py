@@ -48,7 +48,7 @@ def q_tributos_por_nota(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_valor_medio_mensal(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
-    return reports.valor_medio_mensal(star.notas(t, with_item_totals=False, with_key=False))
+    return reports.valor_medio_mensal(star.notas(t, with_item_totals=False, with_key=False, with_issuer=False))
 
 
 # --- message path: records -> JSON / XML -> parse -> flat tables --------------------
@@ -101,7 +101,8 @@ def q_access_key_check_digit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_totals_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header totals against item sums (left join: notes without items count)."""
     t = _tables(spark, sf_dir)
-    return quality.reconcile_totals(star.notas(t, with_key=False), star.itens(t), note_key="ide_nNF", item_key="nNF")
+    notas = star.notas(t, with_key=False, with_issuer=False)
+    return quality.reconcile_totals(notas, star.itens(t, with_product=False), note_key="ide_nNF", item_key="nNF")
 
 
 def q_uf_lookup_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +122,7 @@ def q_key_protocol_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_item_tax_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item tax share and outlier flag."""
     t = _tables(spark, sf_dir)
-    return quality.item_tax_rate(star.itens(t), keys=("nNF", "nItem"))
+    return quality.item_tax_rate(star.itens(t, with_product=False), keys=("nNF", "nItem"))
 
 
 def q_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:

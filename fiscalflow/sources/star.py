@@ -77,7 +77,7 @@ def cnf_of(orderkey: Column, custkey: Column) -> Column:
 
 def add_access_key(df: DataFrame, cnf: Column | None = None) -> DataFrame:
     """Add ``chNFe`` to a frame holding order, customer and nation columns."""
-    ok, ck = F.col("o_orderkey"), F.col("c_custkey")
+    ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     return with_access_key(
         df, "chNFe", F.col("c_nationkey"), F.date_format("o_orderdate", "yyMM"), ck, F.lit(MODEL_NFE),
         serie_of(ok), nnf_of(ok), F.lit(EMISSION_NORMAL), cnf_of(ok, ck) if cnf is None else cnf,
@@ -106,13 +106,19 @@ def issuers(t: Tables) -> DataFrame:
     """customer + its nation (the state); nation is broadcast after a size check."""
     c = t["customer"].select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     n = t["nation"].select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return lookup_join(c, n, on="c_nationkey", how="inner")
+    return lookup_join(c, n, on="c_nationkey", how="left")
 
 
-def notas(t: Tables, with_item_totals: bool = True, with_key: bool = True) -> DataFrame:
-    """Invoice header frame (the ``nfe_notas`` columns the reports use)."""
+def notas(t: Tables, with_item_totals: bool = True, with_key: bool = True, with_issuer: bool = True) -> DataFrame:
+    """Invoice header frame (the ``nfe_notas`` columns the reports use).
+
+    Every order is a note; issuer columns come from a LEFT join on the customer's
+    primary key, so leaving them out (``with_issuer=False``, no key) drops the join
+    without changing the rows.
+    """
     o = t["orders"].select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
-    hdr = o.join(issuers(t), o.o_custkey == F.col("c_custkey"), "inner")
+    with_issuer = with_issuer or with_key
+    hdr = o.join(issuers(t), o.o_custkey == F.col("c_custkey"), "left") if with_issuer else o
     if with_item_totals:
         tot = note_item_totals(t)
         hdr = hdr.join(tot, hdr.o_orderkey == tot.l_orderkey, "left")
@@ -125,18 +131,22 @@ def notas(t: Tables, with_item_totals: bool = True, with_key: bool = True) -> Da
     if with_key:
         hdr = add_access_key(hdr)
     key = F.col("chNFe") if with_key else F.lit(None).cast("string")
+
+    def issuer(c: Column) -> Column:
+        return c if with_issuer else F.lit(None).cast("string")
+
     return hdr.select(
         key.alias("chNFe"),
         F.lit(LAYOUT_VERSION).alias("versao"),
-        F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("ide_cUF"),
+        issuer(F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("ide_cUF"),
         nnf_of(F.col("o_orderkey")).cast("string").alias("ide_nNF"),
         F.lit(NAT_OP_SALE).alias("ide_natOp"),
         serie_of(F.col("o_orderkey")).cast("string").alias("ide_serie"),
         iso_local(F.col("o_orderdate")).alias("ide_dhEmi"),
-        F.lpad(F.col("c_custkey").cast("string"), 14, "0").alias("emit_CNPJ"),
-        F.col("c_name").alias("emit_xNome"),
-        F.col("c_mktsegment").alias("emit_xFant"),
-        F.col("n_name").alias("emit_UF"),
+        F.lpad(F.col("o_custkey").cast("string"), 14, "0").alias("emit_CNPJ"),
+        issuer(F.col("c_name")).alias("emit_xNome"),
+        issuer(F.col("c_mktsegment")).alias("emit_xFant"),
+        issuer(F.col("n_name")).alias("emit_UF"),
         vprod.alias("total_vProd"),
         vdesc.alias("total_vDesc"),
         F.lit(0.0).alias("total_vICMS"),
@@ -148,21 +158,30 @@ def notas(t: Tables, with_item_totals: bool = True, with_key: bool = True) -> Da
     )
 
 
-def itens(t: Tables) -> DataFrame:
-    """Invoice item frame (the ``nfe_itens`` columns the reports use), without the key."""
+def itens(t: Tables, with_product: bool = True) -> DataFrame:
+    """Invoice item frame (the ``nfe_itens`` columns the reports use), without the key.
+
+    Every lineitem is an item; product columns come from a LEFT join on the part's
+    primary key, skipped with ``with_product=False``.
+    """
     li = item_money(t["lineitem"].select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"))
-    p = t["part"].select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_retailprice")
-    j = li.join(p, on="l_partkey", how="inner")
-    return j.select(
+    if with_product:
+        p = t["part"].select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_retailprice")
+        li = li.join(p, on="l_partkey", how="left")
+
+    def product(name: str, typ: str = "string") -> Column:
+        return F.col(name) if with_product else F.lit(None).cast(typ)
+
+    return li.select(
         nnf_of(F.col("l_orderkey")).cast("string").alias("nNF"),
         F.col("l_linenumber").alias("nItem"),
         F.col("l_partkey").cast("string").alias("cProd"),
-        F.col("p_name").alias("xProd"),
+        product("p_name").alias("xProd"),
         F.lit(CFOP_SALE).alias("CFOP"),
-        F.col("p_type").alias("uCom"),
+        product("p_type").alias("uCom"),
         F.col("l_quantity").alias("qCom"),
-        F.col("p_retailprice").alias("vUnCom"),
+        product("p_retailprice", "double").alias("vUnCom"),
         F.col("_vprod").cast("double").alias("vProd"),
         F.col("_vdesc").cast("double").alias("vDesc"),
         F.col("_vtrib").cast("double").alias("vTotTrib"),
@@ -207,7 +226,7 @@ def item_groups(t: Tables, target: int = CHUNK_TARGET, max_broadcast_rows: int =
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax"))
     p = t["part"].select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_retailprice")
-    li = li.join(p, on="l_partkey", how="inner")
+    li = li.join(p, on="l_partkey", how="left")
     big = (t["lineitem"].groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > target))
     # computed once into the shared checkpoint folder: the size check and the join then
@@ -240,7 +259,7 @@ def records(t: Tables, target: int = CHUNK_TARGET, with_items: bool = True,
     ``orders`` replaces the orders table, e.g. by a streaming read of it.
     """
     o = (t["orders"] if orders is None else orders).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", *extra)
-    hdr = o.join(issuers(t), o.o_custkey == F.col("c_custkey"), "inner")
+    hdr = o.join(issuers(t), o.o_custkey == F.col("c_custkey"), "left")
     if with_items:
         g = item_groups(t, target)
     else:
@@ -256,7 +275,7 @@ def records(t: Tables, target: int = CHUNK_TARGET, with_items: bool = True,
     vtrib = F.coalesce(F.col("_sum_vtrib"), zero)
     single = F.coalesce(F.col("_chunks"), F.lit(1)) <= 1
     vnf = F.when(single, dec("o_totalprice")).otherwise(vprod - vdesc)
-    ok, ck = F.col("o_orderkey"), F.col("c_custkey")
+    ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     cnf = F.pmod(cnf_of(ok, ck) + chunk, F.lit(100_000_000))
     j = add_access_key(j, cnf)
     key = F.col("chNFe")
