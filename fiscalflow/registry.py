@@ -27,26 +27,31 @@ def _tables(spark: SparkSession, sf_dir: str) -> star.Tables:
 # --- E1-E5: the five reports -------------------------------------------------------
 
 def q_notas_por_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes per issuer state (header frame: orders + issuer + state)."""
     t = _tables(spark, sf_dir)
     return reports.notas_por_uf(star.notas(t, with_item_totals=False, with_key=False))
 
 
 def q_faturamento_emitente(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue per issuer (header frame with per-note item totals)."""
     t = _tables(spark, sf_dir)
     return reports.faturamento_emitente(star.notas(t, with_key=False), sort=False)
 
 
 def q_produtos_mais_vendidos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-20 products by quantity (item frame: lineitem + part)."""
     t = _tables(spark, sf_dir)
     return reports.produtos_mais_vendidos(star.itens(t))
 
 
 def q_tributos_por_nota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Taxes and tax percentage per note (header frame with key and item totals)."""
     t = _tables(spark, sf_dir)
     return reports.tributos_por_nota(star.notas(t), sort=False)
 
 
 def q_valor_medio_mensal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5: value statistics per emission month (orders only: no issuer column is used)."""
     t = _tables(spark, sf_dir)
     return reports.valor_medio_mensal(star.notas(t, with_item_totals=False, with_key=False, with_issuer=False))
 
