@@ -46,10 +46,15 @@ def parse_xml_text(df: DataFrame, text_col: str = "raw") -> DataFrame:
 
 
 def read_xml_rows(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
-    """``xml`` source with ``rowTag=nfeProc``: one row per invoice element."""
-    opts = {k: v for k, v in XML_OPTIONS.items()}
-    df = (spark.read.format("xml").option("rowTag", "nfeProc").options(**opts)
-          .option("pathGlobFilter", glob).schema(XML_SCHEMA).load(path))
+    """``xml`` source with ``rowTag=nfeProc``: one row per invoice element.
+
+    Each file must be one XML document (e.g. a batch root around many ``nfeProc``);
+    the source parses a file as one stream, so concatenated roots would turn the rest
+    of the file into one corrupt record.  Sub-folders are read recursively.
+    """
+    df = (spark.read.format("xml").option("rowTag", "nfeProc").options(**XML_OPTIONS)
+          .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+          .schema(XML_SCHEMA).load(path))
     cols = [F.col(c) for c in df.columns]
     return df.select(F.col("_metadata.file_path").alias("file"), F.struct(*cols).alias(DOC),
                      F.col(CORRUPT_COLUMN).alias("raw"))

@@ -133,3 +133,23 @@ def test_xml_rowtag_source_reads_same_invoices(spark, run, tmp_path):
     good, bad = split_documents(read_xml_rows(spark, str(d)))
     assert {r.nfe.chNFe for r in good.collect()} == set(KEYS.values())
     assert bad.count() == 0
+
+
+def test_ingest_many_documents_per_file(spark, tmp_path):
+    """E8 on files holding many invoices each (splittable xml source)."""
+    from conftest import SF_SMALL
+    from pyspark.sql import functions as F
+
+    from fiscalflow.sources import star
+    from tools.xml_batches import write_xml_batches
+
+    t = star.Tables(spark, SF_SMALL)
+    recs = star.records(t)
+    d = str(tmp_path / "bulk")
+    assert write_xml_batches(recs, d, docs_per_file=500) == 3
+    log = FileLog(str(tmp_path / "log"))
+    res = pipeline.run_ingest(spark, d, log, glob="*.txt", many_per_file=True)
+    assert res.messages == t["orders"].count()
+    assert res.rejects.count() == 0
+    want = {r.k for r in recs.select(F.col("nfe.chNFe").alias("k")).collect()}
+    assert {r.key for r in log.read(spark).collect()} == want
