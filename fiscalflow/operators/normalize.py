@@ -51,12 +51,13 @@ def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.filter(~bad), parsed.filter(bad)
 
 
-def notas(parsed: DataFrame, record: str = RECORD) -> DataFrame:
-    """Invoice header table, 34 columns."""
-    return parsed.select(*[typed(F.col(f"{record}.{path}"), typ).alias(name) for name, path, typ in NOTAS_COLUMNS])
+def notas(parsed: DataFrame, record: str = RECORD, keep: Sequence[str] = ()) -> DataFrame:
+    """Invoice header table, 34 columns (P10-P12); ``keep`` carries extra columns."""
+    return parsed.select(*keep, *[typed(F.col(f"{record}.{path}"), typ).alias(name)
+                                  for name, path, typ in NOTAS_COLUMNS])
 
 
-def itens(parsed: DataFrame, record: str = RECORD, outer: bool = False) -> DataFrame:
+def itens(parsed: DataFrame, record: str = RECORD, outer: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Invoice item table, one row per array element, 13 columns.
 
     ``explode`` drops notes whose item list is NULL or empty, as the reference does
@@ -65,11 +66,12 @@ def itens(parsed: DataFrame, record: str = RECORD, outer: bool = False) -> DataF
     gen = F.explode_outer if outer else F.explode
     r = F.col(record)
     exploded = parsed.select(
+        *keep,
         r.getField("chNFe").alias("chNFe"),
         r.getField("ide").getField("nNF").alias("nNF"),
         gen(r.getField("itens")).alias("item"),
     )
-    return exploded.select("chNFe", "nNF",
+    return exploded.select(*keep, "chNFe", "nNF",
                            *[typed(F.col(path), typ).alias(name) for name, path, typ in ITENS_COLUMNS])
 
 

@@ -269,3 +269,6 @@ ORACLE_SQL["republish_latest"] = notas_cte(False, True) + """
 SELECT chNFe, total_vNF, CAST(2 AS BIGINT) AS batch FROM notas"""
 
 ORACLE_SQL["persisted_notas_por_uf"] = ORACLE_SQL["notas_por_uf"]
+
+ORACLE_SQL["incremental_persist_latest"] = notas_cte(True, True) + """
+SELECT chNFe, ide_nNF, emit_UF, total_vNF, total_vTotTrib FROM notas"""

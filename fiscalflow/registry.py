@@ -19,7 +19,7 @@ from .session import checkpoint_dir, configure
 from .sources import star
 from .sources import xml as xml_source
 from .sources.messages import FileLog
-from .streaming.incremental import ingest_available
+from .streaming.incremental import ingest_available, latest_notas, persist_available
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> star.Tables:
@@ -260,6 +260,20 @@ def q_stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.notas(parsed).select("chNFe", "ide_nNF", "emit_UF", "total_vProd", "total_vNF", "total_vTotTrib")
 
 
+def q_incremental_persist_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5, E9 incremental: invoices published twice to the log; a checkpointed availableNow
+    stream parses the new batches into appended header rows; the newest version per note
+    is picked at read time."""
+    t = _tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/fiscalflow-incremental/{uuid.uuid4().hex}"
+    log = FileLog(f"{root}/log")
+    msgs = records.to_messages(star.records(t, with_items=False))
+    log.write(msgs, batch=1)
+    log.write(msgs, batch=2)
+    persist_available(spark, log, f"{root}/tables", f"{root}/checkpoint")
+    return latest_notas(spark, f"{root}/tables").select("chNFe", "ide_nNF", "emit_UF", "total_vNF", "total_vTotTrib")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notas_por_uf": q_notas_por_uf,
     "faturamento_emitente": q_faturamento_emitente,
@@ -284,4 +298,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_rejects": q_xml_rejects,
     "republish_latest": q_republish_latest,
     "persisted_notas_por_uf": q_persisted_notas_por_uf,
+    "incremental_persist_latest": q_incremental_persist_latest,
 }
