@@ -153,3 +153,16 @@ def test_ingest_many_documents_per_file(spark, tmp_path):
     assert res.rejects.count() == 0
     want = {r.k for r in recs.select(F.col("nfe.chNFe").alias("k")).collect()}
     assert {r.key for r in log.read(spark).collect()} == want
+
+
+def test_all_rejected_and_empty_folders(spark, tmp_path):
+    """No good file, or no file at all, gives empty results with the full schema."""
+    bad_dir = write_fixtures(str(tmp_path / "bad"), list(REJECTS))
+    res = pipeline.run_ingest(spark, bad_dir, FileLog(str(tmp_path / "log1")))
+    assert res.messages == 0 and res.rejects.count() == len(REJECTS)
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    res = pipeline.run_ingest(spark, str(empty), FileLog(str(tmp_path / "log2")))
+    assert res.messages == 0 and res.rejects.count() == 0
+    res = pipeline.run_ingest(spark, str(empty), FileLog(str(tmp_path / "log3")), many_per_file=True)
+    assert res.messages == 0
