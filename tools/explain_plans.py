@@ -33,7 +33,20 @@ def main() -> None:
     spark = local_session(8, 8)
     out = ["# Physical plans (automatic broadcast off: large-table shapes)", "",
            "Generated by `tools/explain_plans.py`.  `Exchange` = shuffle; `BroadcastExchange` appears only",
-           "where the code broadcast a side after proving its size (`operators/joins.fits`).", ""]
+           "where the code broadcast a side after proving its size (`operators/joins.fits`).", "",
+           "Reading notes:", "",
+           "* Reports aggregate with `HashAggregate` partial/final pairs on exact decimals (map-side combine).",
+           "* Issuer and product lookups are LEFT joins on primary keys and are left out when no column is used",
+           "  (`valor_medio_mensal`, `totals_reconciliation`, `item_tax_rate`).",
+           "* Joins of orders to customer are sort-merge joins: AQE skew-join splitting applies because the",
+           "  following aggregate re-partitions on other keys.",
+           "* `latest_by_key` is a sort-based partial/final `max_by` (no window): a hot key is combined per",
+           "  map task before its single shuffle.",
+           "* In the record builder, item lists are collected on `(order, chunk)` -- salted, so a hot order",
+           "  spreads over many tasks -- and then joined to the header on the order key, which costs one more",
+           "  shuffle of the (bounded) lists.  Partitioning by order alone would remove it but would send a hot",
+           "  order's rows to a single task.",
+           "* `from_json` / `from_xml` appear once per plan (`functions/text.parsed_once`).", ""]
     for name in NAMES:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         df = registry.QUERIES[name](spark, sf)
