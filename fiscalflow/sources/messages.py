@@ -17,10 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_LOG_PARTITIONS, DEFAULT_TOPIC
+from ..schemas import MESSAGE_LOG_DDL
 
 LOG_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp", "batch")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists (one file-system metadata call on the driver)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 @dataclass(frozen=True)
 class FileLog:
     root: str
@@ -56,6 +64,10 @@ class FileLog:
         return batch
 
     def read(self, spark: SparkSession) -> DataFrame:
+        """Every message of the log; an empty frame while nothing was written yet."""
+        if not _exists(spark, self.path):
+            return spark.createDataFrame([], MESSAGE_LOG_DDL).withColumn("topic", F.lit(self.topic)) \
+                .select(*LOG_COLUMNS)
         df = spark.read.parquet(self.path)
         return df.select("key", "value", F.lit(self.topic).alias("topic"), "partition", "offset",
                          "timestamp", F.col("batch").cast("long").alias("batch"))
