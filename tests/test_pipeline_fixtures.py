@@ -20,7 +20,7 @@ def run(spark, tmp_path_factory):
     xml_dir = write_fixtures(os.path.join(base, "xmls"))
     log = FileLog(os.path.join(base, "log"))
     db = "nfe_" + uuid.uuid4().hex[:6]
-    ing = pipeline.run_ingest(spark, xml_dir, log)
+    ing = pipeline.run_ingest(spark, xml_dir, log, db=db)
     per = pipeline.run_persist(spark, log, db=db)
     summary = {r.table_name: r.row_count for r in pipeline.run_reports(spark, db).collect()}
     return {"base": base, "xml_dir": xml_dir, "log": log, "db": db, "ingest": ing, "persist": per,
@@ -31,6 +31,11 @@ def rows(spark, run, table):
     return pipeline.read_report(spark, table, run["db"]).collect()
 
 
+def test_rejects_table(spark, run):
+    saved = {os.path.basename(r.file): r.reason for r in read_table(spark, "nfe_rejeitos", run["db"]).collect()}
+    assert saved == REJECTS
+
+
 def test_ingest_counts_and_rejects(run):
     ing = run["ingest"]
     assert ing.messages == len(GOOD) == 10
