@@ -26,6 +26,12 @@ SCALE_CONF: dict[str, str] = {
     # from whole-stage codegen to per-operator code instead of running interpreted
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
+    # broadcast only what is proven small: no plan-time broadcast from file-size estimates
+    # (compressed Parquet can be far larger in memory); AQE still converts a join to a
+    # broadcast at runtime from the measured shuffle size, and fiscalflow.operators.joins
+    # broadcasts a side after counting it.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
 }
 
 
