@@ -60,6 +60,18 @@ def document_to_record(doc: Column) -> Column:
     )
 
 
+def document_items(doc: Column) -> Column:
+    """Parsed document -> ``(chNFe, ide.nNF, itens)``: the item-path record (the shape
+    of ``schemas.ITEM_PATH_SCHEMA``), enough for :func:`normalize.itens`.  Works on the
+    full or the narrow (``XML_ITEM_SCHEMA``) parse."""
+    inf = doc.getField("NFe").getField("infNFe")
+    return F.struct(
+        strip_literal(text_or_empty(inf.getField("_Id")), KEY_PREFIX).alias("chNFe"),
+        F.struct(text_or_empty(inf.getField("ide").getField("nNF")).alias("nNF")).alias("ide"),
+        F.coalesce(F.transform(inf.getField("det"), _item), F.array()).alias("itens"),
+    )
+
+
 def reject_reason(doc: Column, corrupt: Column) -> Column:
     """Why a document cannot become a record, or NULL when it can."""
     inf = doc.getField("NFe").getField("infNFe")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .operators import audit, normalize, quality, records, reports
 from .plans import pipeline
-from .schemas import ITEM_PATH_SCHEMA
+from .schemas import ITEM_PATH_SCHEMA, XML_ITEM_SCHEMA
 from .session import checkpoint_dir, configure
 from .sources import star
 from .sources import xml as xml_source
@@ -85,7 +85,8 @@ def q_xml_roundtrip_itens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records -> nfeProc XML text -> from_xml -> record -> exploded items."""
     t = _tables(spark, sf_dir)
     text = records.to_xml_text(star.records(t)).select(F.lit("table").alias("file"), F.col("xml").alias("raw"))
-    good, _ = xml_source.split_documents(xml_source.parse_xml_text(text))
+    docs = xml_source.parse_xml_text(text, schema=XML_ITEM_SCHEMA)      # only key, nNF and items
+    good, _ = xml_source.split_documents(docs, to_record=records.document_items)
     return normalize.itens(good).select(*ITEM_OUT)
 
 

@@ -95,6 +95,21 @@ XML_SCHEMA = T.StructType(
     ]
 )
 
+# Narrow XML read schema for item-only consumers: key, note number and items.  The
+# parser skips everything else, about a third faster than the full schema.
+XML_ITEM_SCHEMA = T.StructType(
+    [
+        T.StructField("NFe", T.StructType([T.StructField("infNFe", T.StructType(
+            _strings("_Id")
+            + [
+                T.StructField("ide", T.StructType(_strings("nNF"))),
+                T.StructField("det", T.ArrayType(XML_DET)),
+            ]
+        ))])),
+        T.StructField(CORRUPT_COLUMN, S),
+    ]
+)
+
 # ---------------------------------------------------------------------------
 # Flat tables: (column, path in the parsed message, type)
 # ---------------------------------------------------------------------------

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import parsed_once
 from ..operators.records import DOC, RECORD, document_to_record, reject_reason
@@ -39,10 +40,13 @@ def read_xml_documents(spark: SparkSession, path: str, glob: str = "*.xml",
     return parse_xml_text(text.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw")))
 
 
-def parse_xml_text(df: DataFrame, text_col: str = "raw") -> DataFrame:
-    """Add the parsed document column ``doc`` to a frame holding XML text."""
+def parse_xml_text(df: DataFrame, text_col: str = "raw", schema: StructType = XML_SCHEMA) -> DataFrame:
+    """Add the parsed document column ``doc`` to a frame holding XML text.
+
+    ``schema=XML_ITEM_SCHEMA`` parses only what the item table needs.
+    """
     keep = [c for c in df.columns if c != DOC]
-    return df.select(*keep, parsed_once(F.from_xml(F.col(text_col), XML_SCHEMA, XML_OPTIONS)).alias(DOC))
+    return df.select(*keep, parsed_once(F.from_xml(F.col(text_col), schema, XML_OPTIONS)).alias(DOC))
 
 
 def read_xml_rows(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
@@ -60,12 +64,13 @@ def read_xml_rows(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFr
                      F.col(CORRUPT_COLUMN).alias("raw"))
 
 
-def split_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records, rejects).  Records carry ``file`` and the invoice record ``nfe``;
-    rejects carry ``file``, ``reason`` and the raw text when it was malformed (R6)."""
+def split_documents(docs: DataFrame, to_record=document_to_record) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects).  Records carry ``file`` and the invoice record ``nfe``
+    (``to_record=document_items`` for the item-path record of a narrow parse); rejects
+    carry ``file``, ``reason`` and the raw text when it was malformed (R6)."""
     doc = F.col(DOC)
     tagged = docs.withColumn("reason", reject_reason(doc, doc.getField(CORRUPT_COLUMN)))
-    good = tagged.filter(F.col("reason").isNull()).select("file", document_to_record(doc).alias(RECORD))
+    good = tagged.filter(F.col("reason").isNull()).select("file", to_record(doc).alias(RECORD))
     bad = tagged.filter(F.col("reason").isNotNull()).select(
         "file", "reason", doc.getField(CORRUPT_COLUMN).alias("raw"))
     return good, bad
