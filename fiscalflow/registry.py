@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .operators import audit, normalize, quality, records, reports
 from .plans import pipeline
-from .schemas import ITEM_PATH_SCHEMA, XML_ITEM_SCHEMA
+from .schemas import ITEM_PATH_SCHEMA, XML_ITEM_SCHEMA, XML_PROTOCOL_SCHEMA
 from .session import checkpoint_dir, configure
 from .sources import star
 from .sources import xml as xml_source
@@ -125,7 +125,7 @@ def q_key_protocol_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key of infNFe/@Id against infProt/chNFe and cStat, read back from XML text."""
     t = _tables(spark, sf_dir)
     text = records.to_xml_text(star.records(t, with_items=False)).select(F.col("xml").alias("raw"))
-    return quality.protocol_check(xml_source.parse_xml_text(text))
+    return quality.protocol_check(xml_source.parse_xml_text(text, schema=XML_PROTOCOL_SCHEMA))
 
 
 def q_item_tax_rate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,6 +110,15 @@ XML_ITEM_SCHEMA = T.StructType(
     ]
 )
 
+# Narrow XML read schema for the key/protocol check.
+XML_PROTOCOL_SCHEMA = T.StructType(
+    [
+        T.StructField("NFe", T.StructType([T.StructField("infNFe", T.StructType(_strings("_Id")))])),
+        T.StructField("protNFe", T.StructType([T.StructField("infProt", T.StructType(_strings("chNFe", "cStat")))])),
+        T.StructField(CORRUPT_COLUMN, S),
+    ]
+)
+
 # ---------------------------------------------------------------------------
 # Flat tables: (column, path in the parsed message, type)
 # ---------------------------------------------------------------------------
