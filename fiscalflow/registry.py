@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .operators import audit, normalize, quality, records, reports
 from .plans import pipeline
-from .schemas import ITEM_PATH_SCHEMA, XML_ITEM_SCHEMA, XML_PROTOCOL_SCHEMA
+from .schemas import ITEM_PATH_SCHEMA, XML_CHECK_SCHEMA, XML_ITEM_SCHEMA, XML_PROTOCOL_SCHEMA
 from .session import checkpoint_dir, configure
 from .sources import star
 from .sources import xml as xml_source
@@ -211,7 +211,9 @@ def q_xml_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              F.lit("</NFe>"), F.lit("</CTe>")))
            .otherwise(xml))
     text = rec.select(F.col("nfe.chNFe").alias("file"), raw.alias("raw"))
-    _, bad = xml_source.split_documents(xml_source.parse_xml_text(text))
+    # only the rejects are used: the good side keeps the (narrow) parsed document as is
+    _, bad = xml_source.split_documents(xml_source.parse_xml_text(text, schema=XML_CHECK_SCHEMA),
+                                        to_record=lambda doc: doc)
     return bad.select(F.col("file").alias("key"), "reason")
 
 

@@ -110,6 +110,21 @@ XML_ITEM_SCHEMA = T.StructType(
     ]
 )
 
+# Narrow XML read schema for reject routing only (R6): what the reject reasons test.
+XML_CHECK_SCHEMA = T.StructType(
+    [
+        T.StructField("NFe", T.StructType([T.StructField("infNFe", T.StructType(
+            _strings("_Id")
+            + [
+                T.StructField("ide", T.StructType(_strings("nNF"))),
+                T.StructField("det", T.ArrayType(T.StructType([
+                    T.StructField("prod", T.StructType(_strings("cProd")))]))),
+            ]
+        ))])),
+        T.StructField(CORRUPT_COLUMN, S),
+    ]
+)
+
 # Narrow XML read schema for the key/protocol check.
 XML_PROTOCOL_SCHEMA = T.StructType(
     [

@@ -189,3 +189,7 @@ def test_narrow_item_parse_matches_full(spark, run):
     as_set = lambda df: sorted(map(repr, df.collect()))
     assert as_set(normalize.itens(narrow_good)) == as_set(normalize.itens(full_good))
     assert as_set(narrow_bad.select("file", "reason")) == as_set(full_bad.select("file", "reason"))
+    from fiscalflow.schemas import XML_CHECK_SCHEMA
+
+    _, check_bad = xs.split_documents(xs.parse_xml_text(text, schema=XML_CHECK_SCHEMA), to_record=lambda d: d)
+    assert as_set(check_bad.select("file", "reason")) == as_set(full_bad.select("file", "reason"))
