@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+from conftest_llm import documents
+from pyspark.sql import functions as F
+
+from fiscalflow.llm import mixing
+
+
+def check(rows, n, block_rows, source="source"):
+    """Whole, in order, each block inside its window, less than a block off the target."""
+    assert len(rows) == n
+    slots = defaultdict(set)
+    blocks = defaultdict(lambda: defaultdict(list))
+    weight = {}
+    for r in rows:
+        slots[r["slot"]].add((r[source], r["block"]))
+        blocks[r[source]][r["block"]].append(r["in_block"])
+        weight[r[source]] = r["weight"]
+        assert r["release"] <= r["slot"] < r["due"]
+    assert sorted(slots) == list(range(len(slots))) and all(len(x) == 1 for x in slots.values())
+    for s, own in blocks.items():
+        assert sorted(own) == list(range(len(own)))
+        assert all(sorted(x) == list(range(len(x))) for x in own.values())
+        assert all(len(own[b]) == block_rows for b in list(own) if b < len(own) - 1)
+    # blocks of a source keep their order, and no prefix of the first round strays by a block
+    total = sum(weight.values())
+    had = Counter()
+    full = min(len(blocks[s]) // weight[s] for s in blocks) if blocks else 0
+    for t in range(full * total):
+        (s, b), = slots[t]
+        assert b == had[s]
+        had[s] += 1
+        for x in weight:
+            assert abs(had[x] - Fraction(weight[x] * (t + 1), total)) < 1
+
+
+def test_documents_default_and_given_weights(spark):
+    d = documents(spark, "sf0.01").select("doc_id", "source")
+    check(mixing.mix(d).collect(), 1000, 16)
+    w = {f"src{i}": 1 + i % 3 for i in range(20)}
+    rows = mixing.mix(d, weights=w, block_rows=2).collect()
+    check(rows, 1000, 2)
+    assert {r["source"]: r["weight"] for r in rows} == {s: w[s] for s in {r["source"] for r in rows}}
+
+
+def test_sources_that_run_out_and_odd_rows(spark, odd_documents, no_documents):
+    rows = [("a", i) for i in range(70)] + [("b", i) for i in range(9)] + [(None, i) for i in range(5)] + [("", 1)]
+    d = spark.createDataFrame(rows, "source string, x int")
+    check(mixing.mix(d, weights={"a": 3, "b": 2, None: 1, "gone": 5}, block_rows=1).collect(), len(rows), 1)
+    check(mixing.mix(odd_documents.select("doc_id", "source", "shard")).collect(), odd_documents.count(), 16)
+    assert mixing.mix(no_documents.select("doc_id", "source")).count() == 0
+
+
+def test_mixed_order_keeps_rows(spark, odd_documents, scratch):
+    path = f"{scratch}/docs"
+    odd_documents.write.parquet(path)
+    d = spark.read.parquet(path)
+    out = mixing.mixed_order(d)
+    assert out.columns == d.columns
+    key = F.xxhash64(*d.columns)
+    assert sorted(r[0] for r in out.select(key).collect()) == sorted(r[0] for r in d.select(key).collect())
