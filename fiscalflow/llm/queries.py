@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalflow.llm import decontam, mixing, quality_js, sharding, simhash_vp
+from fiscalflow.llm import decontam, license_scan, mixing, quality_js, sharding, simhash_vp, site_style_tree, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,22 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.new_folder(spark)
+    index = warc.write_archives(table(spark, sf_dir, "pages"), folder, least_bytes=0)
+    return warc.read_records(index, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents")).withColumn("n_spans", F.size("spans")).drop("spans")
+
+
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = site_style_tree.extract(table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     c = F.col("__contamination")
@@ -43,6 +59,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_simhash": op3_simhash,
+    "op4_warc": op4_warc,
+    "op5_licenses": op5_licenses,
+    "op7_main_text": op7_main_text,
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,

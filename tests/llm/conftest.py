@@ -22,3 +22,18 @@ def odd_documents(spark):
 @pytest.fixture()
 def no_documents(odd_documents):
     return odd_documents.limit(0)
+
+
+@pytest.fixture()
+def odd_pages(spark):
+    """Nulls in every column, equal payloads, repeated rows, broken markup and clashing columns."""
+    rows = [(i, f"https://h{i % 2}.example/p/{i}?q=%20é", t) for i, t in enumerate(
+        [None, "", "", "<p>x", "<p>x", "<p>x", "no markup & more", "<div><div><article><p>a<p>b&nbsp;&amp;c", "<script>var x='</p>'",
+         "<" * 500, "<div>" * 3000 + "deep", "é" * 30_000, "a > b < c", "<!-- open", "<p>one<br>two</p><nav>menu</nav>"])]
+    rows += [(None, None, None), (None, None, "<p>x"), (3, "https://h1.example/p/3", "<p>x"), (3, "https://h1.example/p/3", "<p>x"), (99, "::bad url[", "<p>y")]
+    return spark.createDataFrame([r + ("f", 1, 2) for r in rows], "page_id long, url string, html string, file string, page long, text int")
+
+
+@pytest.fixture()
+def no_pages(odd_pages):
+    return odd_pages.limit(0)

@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import re
+
+from conftest_llm import documents
+
+from fiscalflow.llm import license_scan as ls
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(t):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+
+
+def brute_base(t):
+    w = words(t)
+    at, labels = [], set()
+    for phrase, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")):
+        p = phrase.split()
+        own = [i for i in range(len(w)) if w[i:i + len(p)] == p]
+        at += own
+        labels |= {label} if own else set()
+    return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
+
+
+def edit_distance_to_best_part(pattern, text):
+    """Least edits between the pattern and any part of the text (a row of the table a character)."""
+    col = list(range(len(pattern) + 1))
+    best = col[-1]
+    for c in text:
+        old, col[0] = col[0], 0
+        for i, p in enumerate(pattern, 1):
+            old, col[i] = col[i], min(old + (p != c), col[i] + 1, col[i - 1] + 1)
+        best = min(best, col[-1])
+    return best
+
+
+def check(df):
+    rows = {r["doc_id"]: r for r in ls.scan_licenses(df).collect()}
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    assert set(rows) == set(texts)
+    for i, r in rows.items():
+        assert tuple(r)[1:6] == brute_base(texts[i])
+        assert 0 <= r["score"] <= 1 and set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
+        assert r["labels"].split(",") == sorted(set(r["labels"].split(",")))
+        text = " ".join(words(texts[i]))
+        for s in r["spans"]:
+            notice = next(t for t, x in ls.NOTICES if x == s["label"])
+            assert edit_distance_to_best_part(notice, text[s["first"]:s["end"]]) <= s["edits"] <= ls.allowed_errors(notice)
+    return rows
+
+
+def test_documents(spark):
+    rows = check(documents(spark, "sf0.01"))
+    assert sum("cc-by-nc-4.0" in r["labels"] for r in rows.values()) >= 1
+
+
+def test_edited_notices_are_found_as_by_brute_force(spark):
+    texts = ["Licensed under the Apche Licence, Version 2.0!", "relesed under MIT license", "Permision is herby granted, free of charge, to any person obtaining a copy of ths software",
+             "All right reserved", "all writes reserved", "licensed under cc by nc 4 0 licensed under cc by 4 0", "This work is licenced under GNU General Public Licence version 3",
+             "gnu leser general public license", "nothing here", "lllicensed under ccby 40", "the software is provided as-is, without warranty of any kind, express or implied" * 3]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = check(df)
+    for i, t in enumerate(texts):
+        text = " ".join(words(t))
+        want = {x for n, x in ls.NOTICES if edit_distance_to_best_part(n, text) <= ls.allowed_errors(n)}
+        assert {s["label"] for s in rows[i]["spans"]} == want
+
+
+def test_odd_rows(odd_documents, no_documents):
+    check(odd_documents.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    assert ls.scan_licenses(odd_documents).count() == odd_documents.count()
+    assert ls.scan_licenses(no_documents).count() == 0
