@@ -4,10 +4,9 @@ A *window* is ``size`` consecutive words of a benchmark item (all its words if i
 fewer).  Finding a window in a document is a containment join at overlap 1: every
 word of the window has to occur, so of its words ordered by rarity a prefix of one, the
 rarest, is enough to find all candidates.  Rarity is the number of times a word occurs in
-all documents.  Documents' words are joined with the windows' rarest words only; each meeting
-fixes where the window would start, and the positional and length bounds (start >= 0,
-start + length <= words of the document) drop it or keep it as a candidate.  Candidates are
-then compared word for word with the document.
+all items, longer words first among equals.  Documents' words are joined with the windows' rarest
+words only; each meeting fixes where the window would start, and the positional and length
+bounds (start >= 0, start + length <= words of the document) drop it or keep it as a candidate.  Candidates are then compared word for word with the document.
 
 Candidates are keyed by a hash of the document's text, so copies share them; the comparison
 with the real text makes a hash collision harmless.  Word counts and candidates are
@@ -37,6 +36,14 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(t, GAP), "")
 
 
+def folded_words_of(text: Column) -> Column:
+    """As many words as ``words_of``, with all letters lower-cased, which costs far less.
+
+    Texts whose words agree also agree here, so this is enough to find candidates.
+    """
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), GAP), "")
+
+
 def windows_of(items: DataFrame, item_id: str, text: str, size: int) -> DataFrame:
     """(window: array of words, items: ids) for the distinct windows of all items."""
     w = items.select(F.col(item_id).cast("string").alias("item"), words_of(F.col(text)).alias("w")).where(F.size("w") > 0)
@@ -45,16 +52,16 @@ def windows_of(items: DataFrame, item_id: str, text: str, size: int) -> DataFram
     return w.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
-def rarest_words(docs_words: DataFrame, windows: DataFrame, rows: int) -> DataFrame:
-    """windows plus rare (the word) and at (its first place in the window)."""
-    seen = windows.select(F.explode("window").alias("word")).distinct()
-    times = (docs_words.select(F.explode("w").alias("word")).join(small(saved(seen), rows), "word")
-             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
-    placed = windows.select("id", F.posexplode("window").alias("at", "word"))
-    ranked = placed.join(saved(times), "word", "left").groupBy("id").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("r"))
-    return windows.join(ranked, "id").select("id", "window", "items", F.col("r.word").alias("rare"), F.col("r.at").alias("at"),
-                                             F.col("r.n").alias("n"))
+def rarest_words(windows: DataFrame, items_words: DataFrame, rows: int) -> DataFrame:
+    """windows plus rare (the word) and at (its first place in the window).
+
+    ``items_words``: word; a row for each word of each item.
+    """
+    times = saved(items_words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    placed = windows.select("id", F.posexplode("folded").alias("at", "word"))
+    ranked = placed.join(small(times, rows), "word").groupBy("id").agg(
+        F.min(F.struct("n", (-F.octet_length("word")).alias("short"), "word", "at")).alias("r"))
+    return windows.join(ranked, "id").select("id", "window", "items", "folded", F.col("r.word").alias("rare"), F.col("r.at").alias("at"))
 
 
 def union_length(spans: Column) -> Column:
@@ -77,31 +84,39 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     ``broadcast_rows`` bounds the windows that are broadcast; more are joined by shuffle.
     """
     d = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    words = d.select("__key", words_of(F.col(text)).alias("w"))
-    windows = windows_of(items, item_id, item_text, size)
-    windows = saved(windows.withColumn("id", F.xxhash64("window", F.lit(size))))
-    rare = saved(rarest_words(words, windows, broadcast_rows).where("n > 0"))
+    windows = windows_of(items, item_id, item_text, size).withColumn("folded", F.transform("window", F.lower))
+    windows = saved(windows.withColumn("id", F.monotonically_increasing_id()))
+    spoken = items.select(F.explode(folded_words_of(F.col(item_text))).alias("word"))
+    rare = saved(rarest_words(windows, spoken, broadcast_rows))
     probe = small(rare.select(F.col("rare").alias("word"), "id", "at", F.size("window").alias("len")), broadcast_rows)
-    met = (words.select("__key", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word")).join(probe, "word")
+    # the number of words is a column of its own, or each word would carry the whole array
+    met = (d.select("__key", folded_words_of(F.col(text)).alias("w")).select("__key", "w", F.size("w").alias("n"))
+           .select("__key", "n", F.posexplode("w").alias("pos", "word")).join(probe, "word")
            .withColumn("start", F.col("pos") - F.col("at")).where("start >= 0 and start + len <= n"))
-    found = met.select("__key", "start", "id").distinct()
-    text_of = small(rare.select("id", "window", "items"), broadcast_rows)
-    listed = saved(found.join(text_of, "id").groupBy("__key").agg(
-        F.array_sort(F.collect_list(F.struct("start", "window", "items"))).alias("__cand")))
+    found = met.groupBy("__key").agg(F.collect_set(F.struct("start", "id")).alias("c"))
+    text_of = small(rare.select("id", "window", "folded", "items"), broadcast_rows)
+    listed = saved(found.select("__key", F.inline("c")).join(text_of, "id").groupBy("__key").agg(
+        F.array_sort(F.collect_list(F.struct("start", "window", "folded", "items"))).alias("__cand")))
     joined = d.join(listed, "__key", "left")
-    joined = joined.withColumn("__w", words_of(F.col(text)))
-    real = F.filter(F.coalesce("__cand", F.array().cast(listed.schema["__cand"].dataType)),
-                    lambda c: F.slice("__w", c["start"] + 1, F.size(c["window"])) == c["window"])
-    joined = joined.withColumn("__hits", F.when(F.col("__cand").isNotNull(), real))
+
+    def same(w: Column, part: str):
+        return lambda c: F.slice(w, c["start"] + 1, F.size(c["window"])) == c[part]
+
+    # the words are the argument of an outer lambda: computed once a document, not once a candidate
+    near = F.transform(F.array(folded_words_of(F.col(text))), lambda w: F.struct(
+        F.size(w).cast("long").alias("n"), F.filter(F.col("__cand"), same(w, "folded")).alias("c")))[0]
+    joined = joined.withColumn("__near", near).withColumn("__n", F.col("__near.n"))
+    real = F.transform(F.array(words_of(F.col(text))), lambda w: F.filter(F.col("__near.c"), same(w, "window")))[0]
+    joined = joined.withColumn("__hits", F.when(F.size("__near.c") > 0, real))
     spans = F.array_sort(F.array_distinct(F.transform("__hits", lambda c: F.struct(
         c["start"].cast("long").alias("first"), (c["start"] + F.size(c["window"])).cast("long").alias("end")))))
     spans = F.coalesce(spans, F.array().cast("array<struct<first:bigint,end:bigint>>"))
     items_hit = F.coalesce(F.array_sort(F.array_distinct(F.flatten(F.transform("__hits", lambda c: c["items"])))),
                            F.array().cast("array<string>"))
-    joined = joined.withColumn("__spans", spans).withColumn("__n", F.size("__w").cast("long"))
+    joined = joined.withColumn("__spans", spans)
     n_hit = union_length(F.col("__spans"))
     joined = joined.withColumn("__hit", n_hit)
     return joined.withColumn(out, F.struct(
         F.col("__n").alias("n_words"), F.col("__hit").alias("n_hit"), items_hit.alias("items"), F.col("__spans").alias("spans"),
         ((F.col("__hit") > 0) & (F.lit(share) * F.col("__hit") >= F.col("__n"))).alias("contaminated"),
-    )).drop("__key", "__cand", "__w", "__hits", "__spans", "__n", "__hit")
+    )).drop("__key", "__cand", "__near", "__hits", "__spans", "__n", "__hit")
