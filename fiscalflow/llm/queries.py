@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalflow.llm import decontam, license_scan, mixing, quality_js, sharding, simhash_vp, site_style_tree, suffix_dedup, warc
+from fiscalflow.llm import (
+    brown_lm,
+    decontam,
+    license_scan,
+    mixing,
+    quality_js,
+    sharding,
+    simhash_vp,
+    site_style_tree,
+    suffix_dedup,
+    warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +49,10 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).withColumn("n_spans", F.size("spans")).drop("spans")
 
 
+def op6_class_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = site_style_tree.extract(table(spark, sf_dir, "pages"))
     return out.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -67,6 +82,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_warc": op4_warc,
     "op5_licenses": op5_licenses,
+    "op6_class_bigrams": op6_class_bigrams,
     "op7_main_text": op7_main_text,
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
