@@ -23,7 +23,7 @@ from pyspark.sql import SparkSession
 
 from .constants import DEFAULT_TOPIC
 from .plans import pipeline
-from .session import checkpoint_dir, configure
+from .session import configure
 from .sources.messages import FileLog, KafkaLog
 
 
@@ -56,11 +56,11 @@ def main(argv: list[str] | None = None) -> int:
     if args.job in ("ingest", "all"):
         if not args.xml_dir:
             sys.exit("--xml-dir is required")
-        res = pipeline.run_ingest(spark, args.xml_dir, _log(args), args.glob, many_per_file=args.many_per_file)
-        out["ingest"] = {"batch": res.batch, "messages": res.messages, "audit": res.audit.rows()}
+        res = pipeline.run_ingest(spark, args.xml_dir, _log(args), args.glob, many_per_file=args.many_per_file, db=args.db)
+        out["ingest"] = {"batch": res.batch, "messages": res.messages, "rejects": res.rejects.count(), "audit": res.audit.rows()}
     if args.job in ("persist", "all"):
         res = pipeline.run_persist(spark, _log(args), db=args.db, dedup=args.dedup)
-        out["persist"] = {"notas": res.notas, "itens": res.itens}
+        out["persist"] = {"notas": res.notas, "itens": res.itens, "rejects": res.rejects.count()}
     if args.job == "persist-incremental":
         from .streaming.incremental import persist_available
 
@@ -69,7 +69,7 @@ def main(argv: list[str] | None = None) -> int:
         log = _log(args)
         if not isinstance(log, FileLog):
             sys.exit("persist-incremental reads a file message log")
-        persist_available(spark, log, args.tables, f"{checkpoint_dir(spark)}/fiscalflow-persist-{args.topic}")
+        persist_available(spark, log, args.tables)
         out["tables"] = args.tables
     if args.job in ("reports", "all"):
         out["reports"] = {r.table_name: r.row_count for r in pipeline.run_reports(spark, args.db).collect()}

@@ -42,3 +42,7 @@ TOTALS_TOLERANCE = "0.005"
 # --- fixed values: message-log / topic defaults -------------------------------------
 DEFAULT_TOPIC = "nfe-json"
 DEFAULT_LOG_PARTITIONS = 3
+
+# fixed values: operation of a sale (text and code)
+NAT_OP_SALE = "VENDA DE MERCADORIA"
+CFOP_SALE = "5102"

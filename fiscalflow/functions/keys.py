@@ -83,11 +83,15 @@ def key_part_columns(key: str | Column, prefix: str = "") -> list[Column]:
 
 def compose_key_body(cuf: Column, aamm: Column, cnpj: Column, mod: Column, serie: Column,
                      nnf: Column, tpemis: Column, cnf: Column) -> Column:
-    """43-digit key body from its parts, each left-padded with zeros to its width."""
+    """43-digit key body from its parts, each left-padded with zeros to its width.
+
+    NULL if a part is longer than its field: a key is never cut.
+    """
     widths = dict(ACCESS_KEY_LAYOUT)
     parts = [(cuf, "cUF"), (aamm, "AAMM"), (cnpj, "CNPJ"), (mod, "mod"), (serie, "serie"),
              (nnf, "nNF"), (tpemis, "tpEmis"), (cnf, "cNF")]
-    return F.concat(*[F.lpad(c.cast("string"), widths[n], "0") for c, n in parts])
+    texts = [(c.cast("string"), widths[n]) for c, n in parts]
+    return F.concat(*[F.when(F.length(c) <= w, F.lpad(c, w, "0")) for c, w in texts])
 
 
 def with_access_key(df: DataFrame, out: str, cuf: Column, aamm: Column, cnpj: Column, mod: Column,

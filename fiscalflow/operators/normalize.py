@@ -44,10 +44,28 @@ def parse_messages(messages: DataFrame, schema=INVOICE_PARSE_SCHEMA, keep: Seque
     return messages.select(*keep, parsed_once(parsed).alias(RECORD))
 
 
+def message_reason(value: Column, record: Column) -> Column:
+    """Why a message cannot become table rows, or NULL when it can."""
+    return (F.when(value.isNull() | (F.trim(value.cast("string")) == ""), F.lit("empty"))
+            .when(record.isNull() | record.getField(CORRUPT_COLUMN).isNotNull(), F.lit("malformed"))
+            .when(F.coalesce(F.trim(record.getField("chNFe")), F.lit("")) == "", F.lit("missing_key")))
+
+
+def tagged_messages(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` columns, the record ``nfe``, ``reason`` and, for rejects, the text ``raw``.
+
+    One rule for batch and stream; each message is parsed once.
+    """
+    parsed = parse_messages(messages, keep=(*keep, "value"))
+    reason = message_reason(F.col("value"), F.col(RECORD))
+    tagged = parsed.select(*keep, RECORD, reason.alias("reason"), F.col("value").cast("string").alias("raw"))
+    return tagged.withColumn("raw", F.when(F.col("reason").isNotNull(), F.col("raw")))
+
+
 def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, rejects): text that is no JSON object, or an empty value."""
+    """(good, rejects) of parsed messages whose text isn't at hand: no JSON object, or no key."""
     r = F.col(RECORD)
-    bad = r.isNull() | r.getField(CORRUPT_COLUMN).isNotNull() | r.getField("chNFe").isNull()
+    bad = r.isNull() | r.getField(CORRUPT_COLUMN).isNotNull() | (F.coalesce(F.trim(r.getField("chNFe")), F.lit("")) == "")
     return parsed.filter(~bad), parsed.filter(bad)
 
 
@@ -94,5 +112,16 @@ MESSAGE_ORDER = ("timestamp", "batch", "partition", "offset")
 
 
 def latest_messages(log_rows: DataFrame) -> DataFrame:
-    """Newest message per key from a message log (de-duplicates re-publication, N15)."""
-    return latest_by_key(log_rows, "key", MESSAGE_ORDER)
+    """Newest message per key from a message log (de-duplicates re-publication, N15).
+
+    The newest position per key is found on narrow columns (a hash aggregate that combines
+    before the shuffle); only then are the messages joined to it, so text is shuffled once and
+    never sorted or compared.  Messages without a key are kept: nothing says they are the same.
+    """
+    keyed = F.coalesce(F.trim("key"), F.lit("")) != ""
+    winners = (log_rows.where(keyed).groupBy("key").agg(F.max(F.struct(*MESSAGE_ORDER)).alias("_w"))
+               .select(F.col("key").alias("_k"), *[F.col(f"_w.{c}").alias(f"_{c}") for c in MESSAGE_ORDER]))
+    same = F.col("key") == F.col("_k")
+    for c in MESSAGE_ORDER:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return log_rows.where(keyed).join(winners, same, "left_semi").unionByName(log_rows.where(~keyed))

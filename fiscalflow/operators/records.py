@@ -80,6 +80,7 @@ def reject_reason(doc: Column, corrupt: Column) -> Column:
         F.when(corrupt.isNotNull(), F.lit("malformed"))
         .when(doc.getField("NFe").isNull() | inf.isNull(), F.lit("no_invoice"))
         .when(inf.getField("ide").isNull(), F.lit("missing_ide"))
+        .when(strip_literal(text_or_empty(inf.getField("_Id")), KEY_PREFIX) == "", F.lit("missing_key"))
         .when(F.coalesce(F.exists(det, lambda d: d.getField("prod").isNull()), F.lit(False)), F.lit("item_without_prod"))
     )
 

@@ -1,7 +1,7 @@
 """The five reports (E1-E5) as pure functions ``(notas | itens) -> DataFrame``.
 
 Column names and meanings follow the reference's result tables.  Money is summed as
-decimals and averages/percentages are rounded half-up exactly (see
+decimals, rounded once after the sum, and averages/percentages are rounded half-up exactly (see
 ``fiscalflow.functions.money``), so results do not depend on partitioning.
 
 ``sort`` keeps the reference's ORDER BY.  A table written from a sorted frame has no
@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import dec, money_avg, money_max, money_min, money_sum, percent_of
+from ..functions.money import money_avg, money_max, money_min, money_sum, percent_of
 
 TOP_PRODUCTS = 20
 
@@ -49,7 +49,7 @@ def faturamento_emitente(notas: DataFrame, sort: bool = True) -> DataFrame:
     return out.orderBy(F.desc("valor_total_nf"), "cnpj_emitente") if sort else out
 
 
-def produtos_mais_vendidos(itens: DataFrame, k: int = TOP_PRODUCTS, unit_price_scale: int = 10) -> DataFrame:
+def produtos_mais_vendidos(itens: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
     """Top-k products by quantity, ties broken by the group keys.
 
     ``orderBy(...).limit(k)`` plans as ``TakeOrderedAndProject``: each partition keeps
@@ -61,14 +61,14 @@ def produtos_mais_vendidos(itens: DataFrame, k: int = TOP_PRODUCTS, unit_price_s
         F.col("uCom").alias("unidade"),
     ).agg(
         F.count(F.lit(1)).alias("qtd_vendas"),
-        F.sum(dec("qCom", 4)).alias("_qty"),
+        money_sum("qCom", 4).alias("_qty"),
         money_sum("vProd").alias("valor_total"),
-        money_avg("vUnCom", in_scale=unit_price_scale).alias("preco_medio_unitario"),
+        money_avg("vUnCom").alias("preco_medio_unitario"),
     )
     top = agg.orderBy(F.desc("_qty"), "codigo_produto", "descricao_produto", "unidade").limit(k)
     return top.select(
         "codigo_produto", "descricao_produto", "unidade", "qtd_vendas",
-        F.col("_qty").cast("double").alias("quantidade_total"), "valor_total", "preco_medio_unitario",
+        F.col("_qty").alias("quantidade_total"), "valor_total", "preco_medio_unitario",
     )
 
 

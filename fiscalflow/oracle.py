@@ -1,9 +1,8 @@
 """DuckDB SQL for the registered queries (the independent correctness oracle).
 
-The SQL repeats the star-schema mapping of ``fiscalflow.sources.star`` and the exact
-money arithmetic of ``fiscalflow.functions.money``: decimal sums, and half-up rounding
-from integer units with a HUGEINT integer division (DuckDB's ``//`` on DECIMAL would
-go through DOUBLE).
+The SQL repeats the star-schema mapping of ``fiscalflow.sources.star``.  Money is summed
+as wide decimals and rounded after the sum; averages and percentages are rounded half-up
+from the digits of the sum, as integers.
 """
 
 from __future__ import annotations
@@ -14,12 +13,13 @@ from .functions.keys import BODY_LENGTH, weight
 # --- exact money helpers ---------------------------------------------------------------
 
 
-def dec(x: str, scale: int = 2) -> str:
-    return f"TRY_CAST({x} AS DECIMAL(18,{scale}))"
+def dec(x: str, scale: int = 10) -> str:
+    """Through text, so that a double keeps the places it was written with."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,{scale}))"
 
 
 def money_sum(x: str, scale: int = 2) -> str:
-    return f"CAST(SUM({dec(x, scale)}) AS DOUBLE)"
+    return f"CAST(ROUND(SUM({dec(x)}), {scale}) AS DOUBLE)"
 
 
 def rounded_ratio(units: str, den: str, out_scale: int = 2) -> str:
@@ -29,18 +29,15 @@ def rounded_ratio(units: str, den: str, out_scale: int = 2) -> str:
     return f"(CAST(sign({n}) * {q} AS DOUBLE) / {10 ** out_scale}.0)"
 
 
-def money_avg(x: str, in_scale: int = 2, out_scale: int = 2) -> str:
-    units = f"(SUM({dec(x, in_scale)}) * {10 ** in_scale})"
-    n = f"COUNT({dec(x, in_scale)})"
-    den = f"({n} * {10 ** (in_scale - out_scale)})"
-    return f"(CASE WHEN {n} > 0 THEN {rounded_ratio(units, den, out_scale)} END)"
+def money_avg(x: str, out_scale: int = 2) -> str:
+    units = f"CAST(replace(CAST(SUM({dec(x)}) AS VARCHAR), '.', '') AS HUGEINT)"
+    return f"(CASE WHEN COUNT({x}) > 0 THEN {rounded_ratio(units, f'(COUNT({x}) * {10 ** (10 - out_scale)})', out_scale)} END)"
 
 
 def percent_of(part: str, whole: str, out_scale: int = 2) -> str:
-    p = f"({dec(part)} * 100)"
-    w = f"({dec(whole)} * 100)"
+    p, w = (f"CAST(replace(CAST({dec(x)} AS VARCHAR), '.', '') AS HUGEINT)" for x in (part, whole))
     pct = rounded_ratio(f"({p} * {100 * 10 ** out_scale})", w, out_scale)
-    return f"(CASE WHEN {dec(whole)} > 0 THEN {pct} ELSE 0.0 END)"
+    return f"(CASE WHEN {whole} > 0 THEN {pct} ELSE 0.0 END)"
 
 
 # --- access key ------------------------------------------------------------------------
@@ -111,7 +108,7 @@ def notas_cte(with_item_totals: bool = True, with_key: bool = True, with_itens:
       {_lp('o_custkey', 14)} AS emit_CNPJ, c_name AS emit_xNome, c_mktsegment AS emit_xFant,
       n_name AS emit_UF, {vprod} AS total_vProd, {vdesc} AS total_vDesc,
       0.0::DOUBLE AS total_vICMS, 0.0::DOUBLE AS total_vPIS, 0.0::DOUBLE AS total_vCOFINS,
-      o_totalprice AS total_vNF, {vtrib} AS total_vTotTrib, '100' AS prot_cStat, o_orderstatus, o_orderpriority
+      o_totalprice AS total_vNF, {vtrib} AS total_vTotTrib, '100' AS prot_cStat, o_orderstatus, o_orderpriority, o_orderkey
     FROM keyed)""")
     if with_itens:
         parts.append(ITENS_BODY)
@@ -120,7 +117,8 @@ def notas_cte(with_item_totals: bool = True, with_key: bool = True, with_itens:
 
 ITENS_BODY = f"""
   itens AS (
-    SELECT CAST(l_orderkey % 1000000000 AS VARCHAR) AS nNF, l_linenumber AS nItem,
+    SELECT CAST(l_orderkey // 1000000000 + 1 AS VARCHAR) AS serie,
+      CAST(l_orderkey % 1000000000 AS VARCHAR) AS nNF, l_linenumber AS nItem,
       CAST(l_partkey AS VARCHAR) AS cProd, p_name AS xProd, '5102' AS CFOP, p_type AS uCom,
       l_quantity AS qCom, p_retailprice AS vUnCom,
       CAST(vprod AS DOUBLE) AS vProd, CAST(vdesc AS DOUBLE) AS vDesc, CAST(vtrib AS DOUBLE) AS vTotTrib,
@@ -146,10 +144,10 @@ FROM notas GROUP BY emit_CNPJ, emit_xNome, emit_xFant, emit_UF"""
 
 ORACLE_SQL["produtos_mais_vendidos"] = ITENS_CTE + f"""
 SELECT cProd AS codigo_produto, xProd AS descricao_produto, uCom AS unidade, COUNT(*) AS qtd_vendas,
-  CAST(SUM({dec('qCom', 4)}) AS DOUBLE) AS quantidade_total, {money_sum('vProd')} AS valor_total,
-  {money_avg('vUnCom', 10)} AS preco_medio_unitario
+  {money_sum('qCom', 4)} AS quantidade_total, {money_sum('vProd')} AS valor_total,
+  {money_avg('vUnCom')} AS preco_medio_unitario
 FROM itens GROUP BY cProd, xProd, uCom
-ORDER BY SUM({dec('qCom', 4)}) DESC, codigo_produto, descricao_produto, unidade
+ORDER BY quantidade_total DESC, codigo_produto, descricao_produto, unidade
 LIMIT 20"""
 
 ORACLE_SQL["tributos_por_nota"] = notas_cte(True, True) + f"""
@@ -161,7 +159,7 @@ FROM notas"""
 ORACLE_SQL["valor_medio_mensal"] = notas_cte(False, False) + f"""
 SELECT substring(ide_dhEmi, 1, 7) AS ano_mes, COUNT(*) AS total_notas,
   {money_sum('total_vNF')} AS valor_total, {money_avg('total_vNF')} AS valor_medio,
-  CAST(MIN({dec('total_vNF')}) AS DOUBLE) AS valor_minimo, CAST(MAX({dec('total_vNF')}) AS DOUBLE) AS valor_maximo
+  ROUND(MIN(total_vNF), 2) AS valor_minimo, ROUND(MAX(total_vNF), 2) AS valor_maximo
 FROM notas GROUP BY substring(ide_dhEmi, 1, 7)"""
 
 # --- message path round trips ----------------------------------------------------------
@@ -180,10 +178,12 @@ ORACLE_SQL["access_key_parts"] = notas_cte(False, True) + f"""
 SELECT chNFe, {", ".join(key_parts("chNFe"))} FROM notas"""
 
 _DV = check_digit("substr(chNFe, 1, 43)")
-ORACLE_SQL["access_key_check_digit"] = notas_cte(False, True) + f"""
+ORACLE_SQL["access_key_check_digit"] = notas_cte(False, True) + f""",
+  damaged AS (SELECT CASE WHEN o_orderstatus = 'P' THEN substr(chNFe, 1, 43) ||
+    CAST((CAST(substr(chNFe, 44, 1) AS INTEGER) + 1) % 10 AS VARCHAR) ELSE chNFe END AS chNFe FROM notas)
 SELECT chNFe, {_DV} AS dv_expected, TRY_CAST(substr(chNFe, 44, 1) AS INTEGER) AS dv_actual,
   COALESCE(length(chNFe) = 44 AND {_DV} = TRY_CAST(substr(chNFe, 44, 1) AS INTEGER), false) AS dv_ok
-FROM notas"""
+FROM damaged"""
 
 
 def _within(a: str, b: str, tol: str = "0.005") -> str:
@@ -191,33 +191,35 @@ def _within(a: str, b: str, tol: str = "0.005") -> str:
 
 
 ORACLE_SQL["totals_reconciliation"] = notas_cte(True, False, with_itens=True) + f""",
-  sums AS (SELECT nNF AS _k, COUNT(*) AS n_itens, SUM({dec('vProd')}) AS iv_prod,
-             SUM({dec('vDesc')}) AS iv_desc, SUM({dec('vTotTrib')}) AS iv_trib FROM itens GROUP BY nNF)
-SELECT ide_nNF, COALESCE(n_itens, 0) AS n_itens,
+  sums AS (SELECT serie AS _s, nNF AS _k, COUNT(*) AS n_itens, SUM({dec('vProd')}) AS iv_prod,
+             SUM({dec('vDesc')}) AS iv_desc, SUM({dec('vTotTrib')}) AS iv_trib FROM itens GROUP BY serie, nNF)
+SELECT ide_serie, ide_nNF, COALESCE(n_itens, 0) AS n_itens,
   CAST(COALESCE(iv_prod, 0) AS DOUBLE) AS itens_vProd, CAST(COALESCE(iv_desc, 0) AS DOUBLE) AS itens_vDesc,
   CAST(COALESCE(iv_trib, 0) AS DOUBLE) AS itens_vTotTrib,
   {_within(dec('total_vProd'), 'COALESCE(iv_prod, 0)')} AS vprod_ok,
   {_within(dec('total_vDesc'), 'COALESCE(iv_desc, 0)')} AS vdesc_ok,
   {_within(dec('total_vTotTrib'), 'COALESCE(iv_trib, 0)')} AS vtottrib_ok,
   {_within(dec('total_vNF'), dec('total_vProd') + ' - ' + dec('total_vDesc'))} AS vnf_ok
-FROM notas LEFT JOIN sums ON ide_nNF = _k"""
+FROM notas LEFT JOIN sums ON ide_nNF = _k AND ide_serie = _s"""
 
-ORACLE_SQL["uf_lookup_check"] = notas_cte(False, True) + """
+ORACLE_SQL["uf_lookup_check"] = notas_cte(False, True) + """,
+  damaged AS (SELECT chNFe, CASE WHEN o_orderstatus = 'P' THEN '77' ELSE ide_cUF END AS ide_cUF,
+    CASE WHEN o_orderstatus = 'O' THEN 'XX' ELSE emit_UF END AS emit_UF FROM notas)
 SELECT chNFe, emit_UF, ide_cUF, lk.n_nationkey AS expected_cUF, lk.n_name IS NOT NULL AS uf_known,
   COALESCE(TRY_CAST(ide_cUF AS INTEGER) = lk.n_nationkey, false) AS cuf_ok,
   COALESCE(TRY_CAST(substr(chNFe, 1, 2) AS INTEGER) = TRY_CAST(ide_cUF AS INTEGER), false) AS key_prefix_ok
-FROM notas LEFT JOIN nation lk ON emit_UF = lk.n_name"""
+FROM damaged LEFT JOIN nation lk ON emit_UF = lk.n_name"""
 
 ORACLE_SQL["key_protocol_check"] = notas_cte(False, True) + """
-SELECT chNFe, chNFe AS prot_chNFe, '100' AS prot_cStat, true AS key_matches, true AS authorized FROM notas"""
+SELECT chNFe, CASE WHEN o_orderstatus = 'O' THEN 'X' || substr(chNFe, 2) ELSE chNFe END AS prot_chNFe,
+  CASE WHEN o_orderstatus = 'P' THEN '301' ELSE '100' END AS prot_cStat,
+  o_orderstatus <> 'O' AS key_matches, o_orderstatus <> 'P' AS authorized FROM notas"""
 
-_RATE_UNITS = (f"(CASE WHEN {dec('vProd')} * 100 > 0 THEN "
-               f"sign(CAST({dec('vTotTrib')} * 100 * 10000 AS HUGEINT)) * "
-               f"((2 * abs(CAST({dec('vTotTrib')} * 100 * 10000 AS HUGEINT)) + CAST({dec('vProd')} * 100 AS HUGEINT))"
-               f" // (2 * CAST({dec('vProd')} * 100 AS HUGEINT))) END)")
+_UNITS = {x: f"CAST(replace(CAST({dec(x)} AS VARCHAR), '.', '') AS HUGEINT)" for x in ("vProd", "vTotTrib")}
+_RATE = f"(CASE WHEN vProd > 0 THEN {rounded_ratio(_UNITS['vTotTrib'] + ' * 10000', _UNITS['vProd'], 4)} END)"
 ORACLE_SQL["item_tax_rate"] = ITENS_CTE + f"""
-SELECT nNF, nItem, vProd, vTotTrib, CAST({_RATE_UNITS} AS DOUBLE) / 10000.0 AS tax_rate,
-  COALESCE(abs({_RATE_UNITS} - 585) > 5, true) AS rate_outlier
+SELECT nNF, nItem, vProd, vTotTrib, {_RATE} AS tax_rate,
+  COALESCE(abs(round({_RATE} * 10000) - 585) > 5, true) AS rate_outlier
 FROM itens"""
 
 ORACLE_SQL["latest_by_key"] = """
@@ -272,3 +274,44 @@ ORACLE_SQL["persisted_notas_por_uf"] = ORACLE_SQL["notas_por_uf"]
 
 ORACLE_SQL["incremental_persist_latest"] = notas_cte(True, True) + """
 SELECT chNFe, ide_nNF, emit_UF, total_vNF, total_vTotTrib FROM notas"""
+
+
+# --- damaged messages and files: by order priority ---------------------------------------
+
+_GOOD = "o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"
+_REASON = """CASE o_orderpriority WHEN '1-URGENT' THEN '{0}' WHEN '2-HIGH' THEN '{1}' ELSE '{2}' END"""
+_MESSAGE_REASON = _REASON.format("empty", "malformed", "missing_key")
+
+ORACLE_SQL["persisted_notas"] = notas_cte(True, True) + f"""
+SELECT chNFe, versao, ide_cUF, ide_nNF, ide_natOp, ide_serie, ide_dhEmi, ide_dhEmi AS ide_dhSaiEnt, '1' AS ide_tpNF,
+  '' AS ide_cMunFG, emit_CNPJ, emit_xNome, emit_xFant, '' AS emit_IE, '1' AS emit_CRT, '' AS emit_xMun, emit_UF,
+  '' AS dest_CPF, '' AS dest_CNPJ, '' AS dest_xNome, '' AS dest_xMun, '' AS dest_UF,
+  0.0::DOUBLE AS total_vBC, total_vICMS, total_vProd, 0.0::DOUBLE AS total_vFrete, total_vDesc, total_vPIS, total_vCOFINS,
+  total_vNF, total_vTotTrib, {_lp('o_orderkey', 15)} AS prot_nProt, ide_dhEmi AS prot_dhRecbto, prot_cStat
+FROM notas WHERE {_GOOD}"""
+
+ORACLE_SQL["persisted_itens"] = notas_cte(False, True, with_itens=True) + f"""
+SELECT n.chNFe, i.nNF, nItem, cProd, xProd, '' AS NCM, CFOP, uCom, qCom, vUnCom, vProd, vDesc, vTotTrib
+FROM itens i JOIN notas n ON i.l_orderkey = n.o_orderkey WHERE {_GOOD}"""
+
+ORACLE_SQL["persisted_rejects"] = f"""
+SELECT 'order ' || o_orderkey AS key, {_MESSAGE_REASON} AS reason FROM orders WHERE NOT ({_GOOD})"""
+
+_PLACED = "SELECT '{0}' AS table_name, row_number() OVER (ORDER BY {1}) AS place, {2} AS name FROM ({3})"
+ORACLE_SQL["report_job"] = " UNION ALL ".join("(" + _PLACED.format(*x) + ")" for x in (
+    ("resultado_notas_por_uf", "total_notas DESC, uf_emitente", "uf_emitente", ORACLE_SQL["notas_por_uf"]),
+    ("resultado_faturamento_emitente", "valor_total_nf DESC, cnpj_emitente", "cnpj_emitente", ORACLE_SQL["faturamento_emitente"]),
+    ("resultado_produtos_mais_vendidos", "quantidade_total DESC, codigo_produto, descricao_produto, unidade", "codigo_produto",
+     ORACLE_SQL["produtos_mais_vendidos"]),
+    ("resultado_valor_medio_mensal", "ano_mes", "ano_mes", ORACLE_SQL["valor_medio_mensal"])))
+
+ORACLE_SQL["ctas_and_drop"] = "SELECT n_nationkey + 100 AS n_nationkey, n_name FROM nation"
+
+ORACLE_SQL["xml_files_ingest"] = notas_cte(False, True) + f"""
+SELECT chNFe AS key, CASE WHEN {_GOOD} THEN 'message' ELSE {_REASON.format('malformed', 'missing_ide', 'no_invoice')} END AS outcome
+FROM notas"""
+
+ORACLE_SQL["stream_persist_rejects"] = notas_cte(False, True) + f"""
+SELECT chNFe AS key, 'note' AS outcome FROM notas WHERE {_GOOD}
+UNION ALL SELECT chNFe, 'item' FROM notas JOIN lineitem ON l_orderkey = o_orderkey WHERE {_GOOD}
+UNION ALL SELECT 'order ' || o_orderkey, {_MESSAGE_REASON} FROM notas, (VALUES (1), (2)) AS batches(b) WHERE NOT ({_GOOD})"""

@@ -1,8 +1,9 @@
 """Catalog helpers (S8-S12, S15): databases, table writes, reads and counts.
 
-Tables are written as Parquet through the session catalog.  ``save_table`` never
-overwrites a table that the frame being written reads: it writes a new table and swaps
-it in (drop + rename), which is also what "drop if exists, then overwrite" amounts to.
+Tables are managed Parquet tables of the session catalog, in their database's location.
+``save_table`` never overwrites files that the frame being written may read: it writes a new
+table and swaps it in by renaming, which is also what "drop if exists, then overwrite"
+amounts to.
 """
 
 from __future__ import annotations
@@ -15,11 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.audit import table_counts
 
 
-def ensure_database(spark: SparkSession, db: str, use: bool = True) -> None:
-    """``CREATE DATABASE IF NOT EXISTS`` and optionally ``USE`` it."""
+def ensure_database(spark: SparkSession, db: str) -> None:
+    """``CREATE DATABASE IF NOT EXISTS`` (S12); the caller's current database stays."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-    if use:
-        spark.catalog.setCurrentDatabase(db)
+
+
+def drop_database(spark: SparkSession, db: str) -> None:
+    """Drop a database with its tables and their files."""
+    spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
 
 
 def qualified(db: str | None, name: str) -> str:
@@ -27,48 +31,36 @@ def qualified(db: str | None, name: str) -> str:
 
 
 def drop_table(spark: SparkSession, name: str, db: str | None = None) -> None:
-    """``DROP TABLE IF EXISTS``."""
+    """``DROP TABLE IF EXISTS`` (S11); a managed table's files go with it."""
     spark.sql(f"DROP TABLE IF EXISTS {qualified(db, name)}")
 
 
-def _reads_table(df: DataFrame, name: str, db: str | None) -> bool:
-    target = f"{db}.{name}".lower() if db else name.lower()
-    plan = df._jdf.queryExecution().analyzed().toString().lower()
-    return target in plan.replace("`", "")
-
-
-def table_location(spark: SparkSession, name: str, db: str | None = None) -> str:
-    """Folder of a table: ``<warehouse>/<db>.db/<name>`` (the managed-table layout)."""
-    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    return f"{root}/{db}.db/{name}" if db else f"{root}/{name}"
-
-
 def save_table(df: DataFrame, name: str, db: str | None = None, partition_by: Sequence[str] = (),
-               fmt: str = "parquet", location: str | None = None) -> str:
-    """Overwrite table ``name`` with ``df`` (S8); safe when ``df`` reads that table.
+               fmt: str = "parquet") -> str:
+    """Overwrite managed table ``name`` of database ``db`` (default: the current one).
 
-    The table is written to an explicit location (by default where a managed table
-    would live), so an overwrite also succeeds when the folder outlived a catalog that
-    forgot the table (e.g. the in-memory catalog of a new session).
+    An existing table is replaced by writing a new one first and then renaming, so ``df``
+    may read the table, by name or by path, and a failed write leaves the old one.
     """
     spark = df.sparkSession
+    db = db or spark.catalog.currentDatabase()
     target = qualified(db, name)
-    exists = spark.catalog.tableExists(f"{db}.{name}" if db else name)
 
-    def write(tbl: str, path: str) -> None:
-        w = df.write.format(fmt).mode("overwrite").option("path", path)
+    def write(table: str) -> None:
+        w = df.write.format(fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.saveAsTable(tbl)
-
-    path = location or table_location(spark, name, db)
-    if exists and _reads_table(df, name, db):
-        tmp = f"{name}__new_{uuid.uuid4().hex[:8]}"
-        write(qualified(db, tmp), f"{path}__{uuid.uuid4().hex[:8]}")
-        drop_table(spark, name, db)
-        spark.sql(f"ALTER TABLE {qualified(db, tmp)} RENAME TO {target}")
+        w.saveAsTable(table)
+
+    if not spark.catalog.tableExists(f"{db}.{name}"):
+        write(target)
         return target
-    write(target, path)
+    mark = uuid.uuid4().hex[:8]
+    new, old = (qualified(db, f"{name}__{x}_{mark}") for x in ("new", "old"))
+    write(new)
+    spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {target}")
+    spark.sql(f"DROP TABLE {old}")
     return target
 
 

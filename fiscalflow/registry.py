@@ -8,25 +8,31 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .operators import audit, normalize, quality, records, reports
-from .plans import pipeline
+from .operators import normalize, quality, records, reports
+from .plans import catalog, pipeline
 from .schemas import ITEM_PATH_SCHEMA, XML_CHECK_SCHEMA, XML_ITEM_SCHEMA, XML_PROTOCOL_SCHEMA
-from .session import checkpoint_dir, configure
+from .session import checkpoint_dir, remove_folder
 from .sources import star
 from .sources import xml as xml_source
 from .sources.messages import FileLog
-from .streaming.incremental import ingest_available, latest_notas, persist_available
+from .streaming.incremental import all_rejects, ingest_available, latest_itens, latest_notas, persist_available
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> star.Tables:
-    configure(spark)
     return star.Tables(spark, sf_dir)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A result that outlives the folders and tables it was made from."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 # --- E1-E5: the five reports -------------------------------------------------------
 
 def q_notas_por_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,27 +110,41 @@ def q_access_key_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_access_key_check_digit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: modulo-11 check digit recomputed from the first 43 digits."""
     t = _tables(spark, sf_dir)
-    return quality.check_digit_status(star.notas(t, with_item_totals=False).select("chNFe"), "chNFe")
+    keys = star.notas(t, with_item_totals=False).select("chNFe", "o_orderstatus")
+    # the last digit of notes with status P is moved up by one, so that it is wrong
+    digit = F.pmod(F.substring("chNFe", 44, 1).cast("int") + 1, F.lit(10)).cast("string")
+    damaged = F.when(F.col("o_orderstatus") == "P", F.concat(F.substring("chNFe", 1, 43), digit)).otherwise(F.col("chNFe"))
+    return quality.check_digit_status(keys.select(damaged.alias("chNFe")), "chNFe")
 
 
 def q_totals_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header totals against item sums (left join: notes without items count)."""
     t = _tables(spark, sf_dir)
     notas = star.notas(t, with_key=False, with_issuer=False)
-    return quality.reconcile_totals(notas, star.itens(t, with_product=False), note_key="ide_nNF", item_key="nNF")
+    return quality.reconcile_totals(notas, star.itens(t, with_product=False), ("ide_serie", "ide_nNF"), ("serie", "nNF"))
 
 
 def q_uf_lookup_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Issuer state -> state code through the nation table; key prefix agreement."""
     t = _tables(spark, sf_dir)
     lookup = t["nation"].select(F.col("n_name").alias("uf"), F.col("n_nationkey").alias("cuf"))
-    return quality.uf_code_check(star.notas(t, with_item_totals=False), lookup)
+    notas = star.notas(t, with_item_totals=False)
+    # status P: the code of another state; status O: a state that isn't in the lookup
+    notas = notas.withColumn("ide_cUF", F.when(F.col("o_orderstatus") == "P", F.lit("77")).otherwise(F.col("ide_cUF")))
+    notas = notas.withColumn("emit_UF", F.when(F.col("o_orderstatus") == "O", F.lit("XX")).otherwise(F.col("emit_UF")))
+    return quality.uf_code_check(notas, lookup)
 
 
 def q_key_protocol_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key of infNFe/@Id against infProt/chNFe and cStat, read back from XML text."""
     t = _tables(spark, sf_dir)
-    text = records.to_xml_text(star.records(t, with_items=False)).select(F.col("xml").alias("raw"))
+    rec = star.records(t, with_items=False, extra=("o_orderstatus",))
+    # status P: a protocol that was denied; status O: the protocol of another key
+    r, status = F.col("nfe"), F.col("o_orderstatus")
+    denied = r.withField("protocolo", r.getField("protocolo").withField("cStat", F.lit("301")))
+    xml = F.to_xml(records.record_to_document(F.when(status == "P", denied).otherwise(r)), records.XML_WRITE_OPTIONS)
+    other = F.regexp_replace(xml, "<chNFe>[0-9]", "<chNFe>X")
+    text = rec.select(F.when(status == "O", other).otherwise(xml).alias("raw"))
     return quality.protocol_check(xml_source.parse_xml_text(text, schema=XML_PROTOCOL_SCHEMA))
 
 
@@ -183,13 +203,9 @@ def q_missing_block_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of the two base tables and the five result tables."""
-    t = _tables(spark, sf_dir)
-    n, i = star.notas(t), star.itens(t)
-    frames = {"nfe_notas": n, "nfe_itens": i}
-    for name, (table, src, fn) in reports.REPORTS.items():
-        frames[table] = fn(n if src == "notas" else i)
-    return audit.table_counts(frames)
+    """Row counts of the saved base tables and the five saved result tables."""
+    names = [pipeline.NOTAS_TABLE, pipeline.ITENS_TABLE, *(table for table, _, _ in reports.REPORTS.values())]
+    return _persisted(spark, sf_dir, False, lambda db: catalog.counts(spark, names, db), reports_too=True)
 
 
 # --- rejects, republication and the persisted pipeline -----------------------------
@@ -231,18 +247,130 @@ def q_republish_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
                          .alias("total_vNF"), "batch")
 
 
-PIPELINE_DB = "fiscalflow_check"
+def _damaged_messages(t: star.Tables, with_items: bool) -> DataFrame:
+    """Invoice messages of all orders, of which some are damaged by order priority:
+    1-URGENT: no value; 2-HIGH: text cut after 100 characters; 3-MEDIUM: no key."""
+    rec = star.records(t, with_items=with_items, extra=("o_orderpriority", "o_orderkey"))
+    pr, r = F.col("o_orderpriority"), F.col("nfe")
+    rec = rec.select(F.when(pr == "3-MEDIUM", r.withField("chNFe", F.lit(""))).otherwise(r).alias("nfe"), pr, "o_orderkey")
+    value = F.to_json("nfe")
+    value = F.when(pr == "1-URGENT", F.lit(None)).when(pr == "2-HIGH", F.substring(value, 1, 100)).otherwise(value)
+    return rec.select(F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("key"), value.alias("value"))
+
+
+def _persisted(spark: SparkSession, sf_dir: str, damaged: bool, result: Callable[[str], DataFrame],
+               with_items: bool = True, reports_too: bool = False) -> DataFrame:
+    """Messages -> log -> persisted tables (-> reports) in a database and folder of its own,
+    which are dropped once ``result`` has been read."""
+    t = _tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/fiscalflow-log/{uuid.uuid4().hex}"
+    db = "fiscalflow_" + uuid.uuid4().hex[:12]
+    log = FileLog(root)
+    log.write(_damaged_messages(t, with_items) if damaged else records.to_messages(star.records(t, with_items=with_items)))
+    pipeline.run_persist(spark, log, db=db)
+    if reports_too:
+        pipeline.run_reports(spark, db)
+    out = _kept(result(db))
+    catalog.drop_database(spark, db)
+    remove_folder(spark, root)
+    return out
 
 
 def q_persisted_notas_por_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records -> message log -> persist (staged snapshot, two tables)
+    """Records -> message log -> persist (staged snapshot, tables)
     -> five saved reports; the notes-per-state table read back from the catalog."""
+    return _persisted(spark, sf_dir, False, lambda db: pipeline.read_report(spark, "resultado_notas_por_uf", db), reports_too=True)
+
+
+def q_persisted_notas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 34 columns of the saved header table, with damaged messages in the log."""
+    return _persisted(spark, sf_dir, True, lambda db: catalog.read_table(spark, pipeline.NOTAS_TABLE, db), with_items=False)
+
+
+def q_persisted_itens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 13 columns of the saved item table, with damaged messages in the log."""
+    return _persisted(spark, sf_dir, True, lambda db: catalog.read_table(spark, pipeline.ITENS_TABLE, db))
+
+
+def q_persisted_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The saved rejects of damaged messages, with reason."""
+    return _persisted(spark, sf_dir, True, lambda db: catalog.read_table(spark, pipeline.MESSAGE_REJECTS_TABLE, db)
+                      .select("key", "reason"), with_items=False)
+
+
+def q_report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of four saved result tables in their order: a row number and the first column."""
+    def result(db: str) -> DataFrame:
+        parts = []
+        for table, order in reports.REPORT_ORDER.items():
+            if table == "resultado_tributos_por_nota":
+                continue  # one row a note: its order is a distributed sort, not a numbering
+            df = catalog.read_table(spark, table, db)
+            by = Window.orderBy(*[F.col(c).desc() if d else F.col(c).asc() for c, d in order])
+            parts.append(df.select(F.lit(table).alias("table_name"), F.row_number().over(by).cast("long").alias("place"),
+                                   F.col(df.columns[0]).alias("name")))
+        return reduce(DataFrame.union, parts)
+
+    return _persisted(spark, sf_dir, False, result, reports_too=True)
+
+
+def q_ctas_and_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved, dropped, created by CTAS and overwritten from itself."""
     t = _tables(spark, sf_dir)
-    log = FileLog(f"{checkpoint_dir(spark)}/fiscalflow-log/{uuid.uuid4().hex}")
-    log.write(records.to_messages(star.records(t)))
-    pipeline.run_persist(spark, log, db=PIPELINE_DB)
-    pipeline.run_reports(spark, PIPELINE_DB)
-    return pipeline.read_report(spark, "resultado_notas_por_uf", PIPELINE_DB)
+    db = "fiscalflow_" + uuid.uuid4().hex[:12]
+    catalog.ensure_database(spark, db)
+    catalog.save_table(t["nation"].select("n_nationkey", "n_name"), "n", db)
+    catalog.drop_table(spark, "n", db)
+    catalog.save_table(t["nation"].select("n_nationkey", "n_name", "n_regionkey"), "src", db)
+    catalog.create_table_as_select(spark, "n", f"SELECT n_nationkey, n_name FROM `{db}`.src", db)
+    again = catalog.read_table(spark, "n", db)
+    catalog.save_table(again.withColumn("n_nationkey", F.col("n_nationkey") + 100), "n", db)
+    out = _kept(catalog.read_table(spark, "n", db))
+    catalog.drop_database(spark, db)
+    return out
+
+
+def q_xml_files_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All invoices written as batch XML files, read back through the ingest job;
+    the messages' keys and, for documents damaged by order priority, the rejects."""
+    t = _tables(spark, sf_dir)
+    rec = star.records(t, with_items=False, extra=("o_orderpriority",))
+    pr = F.col("o_orderpriority")
+    r = F.col("nfe")
+    rec = rec.select(F.when(pr == "2-HIGH", r.withField("ide", F.lit(None))).otherwise(r).alias("nfe"), pr)
+    xml = F.to_xml(records.record_to_document(r), records.XML_WRITE_OPTIONS)
+    broken = F.regexp_replace(xml, "</?NFe>", "")
+    text = rec.select(F.when(pr == "1-URGENT", F.replace(xml, F.lit("</emit>"), F.lit(""))).when(pr == "3-MEDIUM", broken).otherwise(xml).alias("value"))
+    root = f"{checkpoint_dir(spark)}/fiscalflow-xml/{uuid.uuid4().hex}"
+    text.write.text(f"{root}/files")
+    log = FileLog(f"{root}/log")
+    db = "fiscalflow_" + uuid.uuid4().hex[:12]
+    res = pipeline.run_ingest(spark, f"{root}/files", log, glob="*.txt", many_per_file=True, db=db)
+    good = log.read(spark).select("key", F.lit("message").alias("outcome"))
+    bad = res.rejects.select(F.regexp_extract("raw", 'Id="NFe([0-9]+)"', 1).alias("key"), F.col("reason").alias("outcome"))
+    out = _kept(good.union(bad))
+    catalog.drop_database(spark, db)
+    remove_folder(spark, root)
+    return out
+
+
+def q_stream_persist_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged messages persisted by the stream, read again after a lost checkpoint;
+    notes and rejects count once."""
+    t = _tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/fiscalflow-incremental/{uuid.uuid4().hex}"
+    log = FileLog(f"{root}/log")
+    msgs = _damaged_messages(t, True)
+    log.write(msgs, batch=1)
+    persist_available(spark, log, f"{root}/tables", f"{root}/checkpoint-1")
+    log.write(msgs, batch=2)
+    persist_available(spark, log, f"{root}/tables", f"{root}/checkpoint-2")
+    notes = latest_notas(spark, f"{root}/tables").select(F.col("chNFe").alias("key"), F.lit("note").alias("outcome"))
+    items = latest_itens(spark, f"{root}/tables").select(F.col("chNFe").alias("key"), F.lit("item").alias("outcome"))
+    bad = all_rejects(spark, f"{root}/tables").select("key", F.col("reason").alias("outcome"))
+    out = _kept(notes.union(items).union(bad))
+    remove_folder(spark, root)
+    return out
 
 
 # --- streaming -----------------------------------------------------------------------
@@ -302,4 +430,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "republish_latest": q_republish_latest,
     "persisted_notas_por_uf": q_persisted_notas_por_uf,
     "incremental_persist_latest": q_incremental_persist_latest,
+    "persisted_notas": q_persisted_notas,
+    "persisted_itens": q_persisted_itens,
+    "persisted_rejects": q_persisted_rejects,
+    "report_job": q_report_job,
+    "ctas_and_drop": q_ctas_and_drop,
+    "xml_files_ingest": q_xml_files_ingest,
+    "stream_persist_rejects": q_stream_persist_rejects,
 }

@@ -4,11 +4,12 @@ Library functions never build a session; callers pass theirs.  ``configure`` app
 the runtime SQL settings that make the plans scale (AQE with skew-join splitting and
 partition coalescing, UTC session time); ``checkpoint_dir`` reads the shared
 folder the cluster names in ``spark.checkpoint.dir`` and only falls back to a scratch
-folder when nothing is configured (tests).
+folder in local mode (tests).
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,9 +56,11 @@ def configure(spark: SparkSession, extra: dict[str, str] | None = None, cluster:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a scratch folder only when none is configured."""
+    """The shared checkpoint folder; a scratch folder only in local mode with none configured."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="fiscalflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -65,6 +68,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library made, in whatever file system holds it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "fiscalflow",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """Local session for tests and the bench (never used inside the library)."""

@@ -102,11 +102,3 @@ def normalize_kafka(df: DataFrame) -> DataFrame:
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
         "topic", "partition", "offset", "timestamp", F.lit(None).cast("long").alias("batch"),
     )
-
-
-def write_messages(messages: DataFrame, log: FileLog | KafkaLog, batch: int | None = None):
-    return log.write(messages, batch)
-
-
-def read_messages(spark: SparkSession, log: FileLog | KafkaLog) -> DataFrame:
-    return log.read(spark)

@@ -27,11 +27,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import AUTHORIZED_STATUS, EMISSION_NORMAL, LAYOUT_VERSION, MODEL_NFE
+from ..constants import AUTHORIZED_STATUS, CFOP_SALE, EMISSION_NORMAL, LAYOUT_VERSION, MODEL_NFE, NAT_OP_SALE
 from ..functions.keys import with_access_key
-from ..functions.money import dec
+from ..functions.money import wide
 from ..operators.joins import lookup_join
-from ..session import checkpoint_dir
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -39,8 +38,6 @@ TABLES = (
 )
 
 NNF_SPLIT = 1_000_000_000
-CFOP_SALE = "5102"
-NAT_OP_SALE = "VENDA DE MERCADORIA"
 
 
 class Tables:
@@ -86,10 +83,11 @@ def add_access_key(df: DataFrame, cnf: Column | None = None) -> DataFrame:
 
 def item_money(li: DataFrame) -> DataFrame:
     """Per-item cent amounts (exact decimals) next to the lineitem columns."""
-    price = dec("l_extendedprice")
+    # a price of the source tables that is beyond 16 digits raises: it is never dropped
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
     return li.withColumn("_vprod", price).withColumn(
-        "_vdesc", F.round(price * dec("l_discount"), 2).cast("decimal(18,2)")
-    ).withColumn("_vtrib", F.round(price * dec("l_tax"), 2).cast("decimal(18,2)"))
+        "_vdesc", F.round(price * F.col("l_discount").cast("decimal(18,4)"), 2).cast("decimal(18,2)")
+    ).withColumn("_vtrib", F.round(price * F.col("l_tax").cast("decimal(18,4)"), 2).cast("decimal(18,2)"))
 
 
 def note_item_totals(t: Tables) -> DataFrame:
@@ -155,6 +153,7 @@ def notas(t: Tables, with_item_totals: bool = True, with_key: bool = True, with_
         F.col("o_totalprice").alias("total_vNF"),
         vtrib.alias("total_vTotTrib"),
         F.lit(AUTHORIZED_STATUS).alias("prot_cStat"),
+        "o_orderstatus",
     )
 
 
@@ -174,6 +173,7 @@ def itens(t: Tables, with_product: bool = True) -> DataFrame:
         return F.col(name) if with_product else F.lit(None).cast(typ)
 
     return li.select(
+        serie_of(F.col("l_orderkey")).cast("string").alias("serie"),
         nnf_of(F.col("l_orderkey")).cast("string").alias("nNF"),
         F.col("l_linenumber").alias("nItem"),
         F.col("l_partkey").cast("string").alias("cProd"),
@@ -191,13 +191,15 @@ def itens(t: Tables, with_product: bool = True) -> DataFrame:
 
 # --- nested invoice records (the message shape) -------------------------------------
 
-CHUNK_TARGET = 800   # items per invoice aimed at when an order must be split (< 990)
-
-
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def money(name: str) -> Column:
+    """Amount as written in a message: all its places, or the number as it is if it is too large."""
+    return F.coalesce(_s(wide(name)), _s(F.col(name)))
+
+
 def _item_struct() -> Column:
     return F.struct(
         _s(F.col("l_linenumber")).alias("nItem"),
@@ -206,53 +208,36 @@ def _item_struct() -> Column:
         F.lit("").alias("NCM"),
         F.lit(CFOP_SALE).alias("CFOP"),
         F.col("p_type").alias("uCom"),
-        _s(dec("l_quantity", 4)).alias("qCom"),
-        _s(dec("p_retailprice", 10)).alias("vUnCom"),
+        _s(money("l_quantity")).alias("qCom"),
+        _s(money("p_retailprice")).alias("vUnCom"),
         _s(F.col("_vprod")).alias("vProd"),
         _s(F.col("_vdesc")).alias("vDesc"),
         _s(F.col("_vtrib")).alias("vTotTrib"),
     )
 
 
-def item_groups(t: Tables, target: int = CHUNK_TARGET, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Items collected per invoice: ``(l_orderkey, chunk, itens, sums)``.
+def item_groups(t: Tables) -> DataFrame:
+    """Items of each order as a list: ``(l_orderkey, itens, sums)``.
 
-    An order with more than ``target`` items is split into ``ceil(n / target)`` invoices
-    by a hash of the item, so every collected list stays bounded (~target items) even
-    when one order holds a third of all rows.  Only those large orders are looked up
-    (their count is checked before it is broadcast).
+    An invoice is one message that holds all its items, as in the reference, so the list
+    is as long as the invoice.  Item rows are shuffled by order first: the lists are then
+    built once on the reduce side instead of being built map-side and shuffled as arrays.
     """
     li = item_money(t["lineitem"].select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax"))
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"))
     p = t["part"].select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_retailprice")
-    li = li.join(p, on="l_partkey", how="left")
-    big = (t["lineitem"].groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > target))
-    # computed once into the shared checkpoint folder: the size check and the join then
-    # read the (small) result instead of aggregating lineitem twice
-    checkpoint_dir(t.spark)
-    big = big.checkpoint(eager=True)
-    li = lookup_join(li, big, on="l_orderkey", how="left", max_rows=max_broadcast_rows)
-    n_chunks = F.ceil(F.coalesce(F.col("_n"), F.lit(1)) / F.lit(target))
-    chunk = F.when(n_chunks <= 1, F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"), n_chunks))
-    # Shuffle the item rows on (order, chunk) before collecting: the lists are then built
-    # once on the reduce side instead of being built map-side and shuffled as arrays,
-    # and a split hot order spreads over as many tasks as it has chunks.
-    li = li.withColumn("chunk", chunk.cast("int")).repartition("l_orderkey", "chunk")
-    return li.groupBy("l_orderkey", "chunk").agg(
+    li = li.join(p, on="l_partkey", how="left").repartition("l_orderkey")
+    return li.groupBy("l_orderkey").agg(
         F.collect_list(_item_struct()).alias("itens"),
         F.sum("_vprod").alias("_sum_vprod"),
         F.sum("_vdesc").alias("_sum_vdesc"),
         F.sum("_vtrib").alias("_sum_vtrib"),
-        F.max(n_chunks).alias("_chunks"),
     )
 
 
-def records(t: Tables, target: int = CHUNK_TARGET, with_items: bool = True,
-            extra: tuple[str, ...] = (), orders: DataFrame | None = None) -> DataFrame:
-    """One nested invoice record (``INVOICE_SCHEMA``) per order, or per order chunk.
+def records(t: Tables, with_items: bool = True, extra: tuple[str, ...] = (),
+            orders: DataFrame | None = None) -> DataFrame:
+    """One nested invoice record (``INVOICE_SCHEMA``) per order, the note of :func:`notas`.
 
     ``with_items=False`` leaves ``itens`` NULL and takes the totals from the per-order
     item sums (no item lists are collected).  ``extra`` carries order columns along.
@@ -261,23 +246,19 @@ def records(t: Tables, target: int = CHUNK_TARGET, with_items: bool = True,
     o = (t["orders"] if orders is None else orders).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", *extra)
     hdr = o.join(issuers(t), o.o_custkey == F.col("c_custkey"), "left")
     if with_items:
-        g = item_groups(t, target)
+        g = item_groups(t)
     else:
-        g = note_item_totals(t).select("*", F.lit(0).alias("chunk"), F.lit(None).cast(
+        g = note_item_totals(t).withColumn("itens", F.lit(None).cast(
             "array<struct<nItem:string,cProd:string,xProd:string,NCM:string,CFOP:string,uCom:string,"
-            "qCom:string,vUnCom:string,vProd:string,vDesc:string,vTotTrib:string>>").alias("itens"),
-            F.lit(1).cast("long").alias("_chunks"))
+            "qCom:string,vUnCom:string,vProd:string,vDesc:string,vTotTrib:string>>"))
     j = hdr.join(g, hdr.o_orderkey == g.l_orderkey, "left")
-    chunk = F.coalesce(F.col("chunk"), F.lit(0))
     zero = F.lit(0).cast("decimal(28,2)")
     vprod = F.coalesce(F.col("_sum_vprod"), zero)
     vdesc = F.coalesce(F.col("_sum_vdesc"), zero)
     vtrib = F.coalesce(F.col("_sum_vtrib"), zero)
-    single = F.coalesce(F.col("_chunks"), F.lit(1)) <= 1
-    vnf = F.when(single, dec("o_totalprice")).otherwise(vprod - vdesc)
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
-    cnf = F.pmod(cnf_of(ok, ck) + chunk, F.lit(100_000_000))
-    j = add_access_key(j, cnf)
+    cnf = cnf_of(ok, ck)
+    j = add_access_key(j)
     key = F.col("chNFe")
     dh = iso_local(F.col("o_orderdate"))
     empty = F.lit("")
@@ -288,7 +269,7 @@ def records(t: Tables, target: int = CHUNK_TARGET, with_items: bool = True,
         zero_s.alias("vBC"), zero_s.alias("vICMS"), zero_s.alias("vICMSDeson"), zero_s.alias("vBCST"),
         zero_s.alias("vST"), _s(vprod).alias("vProd"), zero_s.alias("vFrete"), zero_s.alias("vSeg"),
         _s(vdesc).alias("vDesc"), zero_s.alias("vII"), zero_s.alias("vIPI"), zero_s.alias("vPIS"),
-        zero_s.alias("vCOFINS"), zero_s.alias("vOutro"), _s(vnf).alias("vNF"), _s(vtrib).alias("vTotTrib"),
+        zero_s.alias("vCOFINS"), zero_s.alias("vOutro"), _s(money("o_totalprice")).alias("vNF"), _s(vtrib).alias("vTotTrib"),
     )
     rec = F.struct(
         key.alias("chNFe"),

@@ -4,8 +4,8 @@ Default form: ``spark.read.text(dir, wholetext=True)`` gives one row per file an
 ``from_xml`` parses it on the executors in PERMISSIVE mode, so a malformed file becomes
 a row with ``_corrupt_record`` set instead of failing the job, and a file with the wrong
 root becomes a row without ``NFe``.  Both land in the rejects with the file path.
-For files that hold many invoices, ``read_xml_rows`` uses the ``xml`` source with
-``rowTag=nfeProc`` (it splits large files, but silently skips files without the tag).
+For files that hold many invoices, ``read_xml_rows`` cuts the text at the closing tags, which
+splits large files across tasks, and parses each piece like a file.
 
 The directory is passed whole with ``pathGlobFilter`` rather than as an expanded glob,
 which would start a listing job per path.
@@ -50,18 +50,22 @@ def parse_xml_text(df: DataFrame, text_col: str = "raw", schema: StructType = XM
 
 
 def read_xml_rows(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
-    """``xml`` source with ``rowTag=nfeProc``: one row per invoice element.
+    """Files that hold many ``nfeProc`` documents: one row per document, ``raw`` its text.
 
-    Each file must be one XML document (e.g. a batch root around many ``nfeProc``);
-    the source parses a file as one stream, so concatenated roots would turn the rest
-    of the file into one corrupt record.  Sub-folders are read recursively.
+    Text is read with the closing tag as line separator, so large files are split across
+    tasks (the ``xml`` source reads a file in one task).  What stands before ``<nfeProc`` is
+    the batch root's own markup.  A piece without ``<nfeProc`` is the end of a file: closing
+    tags, comments and blanks are dropped, anything else goes on as a document, to be
+    rejected with its reason.  Sub-folders are read recursively.
     """
-    df = (spark.read.format("xml").option("rowTag", "nfeProc").options(**XML_OPTIONS)
-          .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-          .schema(XML_SCHEMA).load(path))
-    cols = [F.col(c) for c in df.columns]
-    return df.select(F.col("_metadata.file_path").alias("file"), F.struct(*cols).alias(DOC),
-                     F.col(CORRUPT_COLUMN).alias("raw"))
+    opening, closing = "<nfeProc", "</nfeProc>"
+    text = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+            .option("lineSep", closing).text(path))
+    v = F.col("value")
+    tail = v.rlike(r"^(\s|</[^<>]*>|<!--[\s\S]*?-->)*$")
+    pieces = text.select(F.col("_metadata.file_path").alias("file"), v).where(v.contains(opening) | ~tail)
+    raw = F.when(v.contains(opening), F.concat(F.expr(f"substring(value, locate('{opening}', value))"), F.lit(closing))).otherwise(v)
+    return parse_xml_text(pieces.select("file", raw.alias("raw")))
 
 
 def split_documents(docs: DataFrame, to_record=document_to_record) -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,7 @@ from fiscalflow.sources.messages import FileLog, KafkaLog, normalize_kafka
 
 def test_save_table_overwrites_itself(spark):
     db = "cat_" + uuid.uuid4().hex[:6]
-    catalog.ensure_database(spark, db, use=False)
+    catalog.ensure_database(spark, db)
     catalog.save_table(spark.range(5).withColumn("v", F.col("id") * 2), "t", db)
     src = catalog.read_table(spark, "t", db)
     catalog.save_table(src.withColumn("v", F.col("v") + 1), "t", db)        # reads its own target
@@ -24,7 +24,7 @@ def test_save_table_overwrites_itself(spark):
 
 def test_ctas_if_not_exists_and_drop(spark):
     db = "cat_" + uuid.uuid4().hex[:6]
-    catalog.ensure_database(spark, db, use=False)
+    catalog.ensure_database(spark, db)
     catalog.create_table_as_select(spark, "c", "SELECT 1 AS x", db)
     catalog.create_table_as_select(spark, "c", "SELECT 2 AS x", db)          # exists: unchanged
     assert [r.x for r in catalog.read_table(spark, "c", db).collect()] == [1]
@@ -33,9 +33,35 @@ def test_ctas_if_not_exists_and_drop(spark):
     assert not spark.catalog.tableExists(f"{db}.c")
 
 
+def test_databases_keep_their_own_tables(spark, tmp_path):
+    """Locations, drops, CTAS after a drop, and frames that read the table's folder by path."""
+    a, b = ("cat_" + uuid.uuid4().hex[:6] for _ in range(2))
+    spark.sql(f"CREATE DATABASE `{a}` LOCATION '{tmp_path}/elsewhere'")
+    catalog.ensure_database(spark, b)
+    before = spark.catalog.currentDatabase()
+    catalog.save_table(spark.range(3), "t", a)
+    catalog.save_table(spark.range(7), "t", b)
+    assert catalog.read_table(spark, "t", a).count() == 3
+    assert (tmp_path / "elsewhere" / "t").is_dir()
+    by_path = spark.read.parquet(str(tmp_path / "elsewhere" / "t"))
+    catalog.save_table(by_path.selectExpr("id + 10 AS id"), "t", a)
+    assert sorted(r.id for r in catalog.read_table(spark, "t", a).collect()) == [10, 11, 12]
+    catalog.drop_table(spark, "t", a)
+    assert not (tmp_path / "elsewhere" / "t").exists()
+    catalog.create_table_as_select(spark, "t", "SELECT 5 AS id", a)
+    assert [r.id for r in catalog.read_table(spark, "t", a).collect()] == [5]
+    assert spark.catalog.currentDatabase() == before
+    try:
+        spark.catalog.setCurrentDatabase(b)
+        catalog.save_table(spark.range(2), "t")                              # the current database
+        assert catalog.read_table(spark, "t", b).count() == 2
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 def test_counts_union(spark):
     db = "cat_" + uuid.uuid4().hex[:6]
-    catalog.ensure_database(spark, db, use=False)
+    catalog.ensure_database(spark, db)
     catalog.save_table(spark.range(3), "a", db)
     catalog.save_table(spark.range(7), "b", db)
     got = {r.table_name: r.row_count for r in catalog.counts(spark, ["a", "b"], db).collect()}

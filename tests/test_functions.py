@@ -8,7 +8,7 @@ from decimal import ROUND_HALF_UP, Decimal
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from xml_fixtures import key_with_dv
+from xml_fixtures import KEYS
 
 from fiscalflow.functions import keys, money
 
@@ -50,21 +50,45 @@ def test_percent_guard(spark):
     assert got == [5.87, 0.0, 0.0, None, 33.33]
 
 
+def weighted(digits: str) -> int:
+    """Digits times 2, 3, ..., 9, 2, ... from the right, summed."""
+    return sum(int(c) * (2 + i % 8) for i, c in enumerate(digits[::-1]))
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.text(alphabet="0123456789", min_size=43, max_size=43), min_size=1, max_size=20))
-def test_check_digit_brute_force(spark, bodies):
+def test_check_digit_completes_the_sum(spark, bodies):
+    """With its check digit a key's weighted sum leaves 0, or 0 or 1 when the digit is 0."""
     df = spark.createDataFrame([(b,) for b in bodies] + [("12a" + "0" * 40,), ("1" * 42,)], "b string")
     got = [r.dv for r in keys.with_check_digit(df, "b", "dv").collect()]
-    assert got == [int(key_with_dv(b)[-1]) for b in bodies] + [None, None]
+    assert got[-2:] == [None, None]
+    for b, dv in zip(bodies, got):
+        assert 0 <= dv <= 9 and (weighted(b) + dv) % 11 in ((0,) if dv else (0, 1))
+
+
+def test_check_digit_of_known_keys(spark):
+    df = spark.createDataFrame([(k,) for k in KEYS.values()], "b string")
+    assert [r.dv for r in keys.with_check_digit(df, "b", "dv").collect()] == [int(k[-1]) for k in KEYS.values()]
 
 
 def test_key_parts_and_compose(spark):
-    df = spark.createDataFrame([(35, "2401", 11111111000191, 1, 101, 12345678)],
+    df = spark.createDataFrame([(35, "2401", 11111111000191, 1, 101, 12345678), (35, "2401", 11111111000191, 1234, 101, 1)],
                                "cuf int, aamm string, cnpj long, serie int, nnf long, cnf long")
     out = keys.with_access_key(df, "k", F.col("cuf"), F.col("aamm"), F.col("cnpj"), F.lit("55"), F.col("serie"),
                                F.col("nnf"), F.lit("1"), F.col("cnf"))
-    k = out.first().k
-    assert k == key_with_dv("35" + "2401" + "11111111000191" + "55" + "001" + "000000101" + "1" + "12345678")
+    k, too_long = (r.k for r in out.collect())
+    assert k == KEYS["ok_1"] and too_long is None   # a series of four digits is not cut to three
     parts = out.select(*keys.key_part_columns("k")).first().asDict()
     assert parts == {"cUF": "35", "AAMM": "2401", "CNPJ": "11111111000191", "mod": "55", "serie": "001",
                      "nNF": "000000101", "tpEmis": "1", "cNF": "12345678", "cDV": k[-1]}
+
+
+def test_no_amount_is_dropped_or_rounded_before_the_sum(spark):
+    df = spark.createDataFrame([("a", 0.004), ("a", 0.004), ("a", 0.004), ("b", 5.0), ("b", 200_000_000.0), ("c", 1e20), ("c", 1.0),
+                                ("d", float("nan")), ("d", 1.0), ("e", None)], "g string, v double")
+    got = {r.g: r for r in df.groupBy("g").agg(money.money_sum("v").alias("s"), money.money_avg("v").alias("a"),
+                                               money.money_max("v").alias("x")).collect()}
+    assert got["a"].s == 0.01 and got["b"].a == 100_000_002.5 and got["c"].s == 1e20 and got["c"].x == 1e20
+    assert got["d"].s != got["d"].s and got["e"].s is None and got["e"].a is None
+    pct = spark.createDataFrame([(1e15, 1e16), (1e19, 1e20), (0.004, 0.03)], "p double, w double")
+    assert [r.x for r in pct.select(money.percent_of("p", "w").alias("x")).collect()] == [10.0, 10.0, 13.33]

@@ -128,7 +128,7 @@ def test_reports_rerun_idempotent(spark, run):
     assert again == first
 
 
-def test_xml_rowtag_source_reads_same_invoices(spark, run, tmp_path):
+def test_batch_reader_reads_same_invoices(spark, run, tmp_path):
     from fiscalflow.sources.xml import read_xml_rows, split_documents
 
     d = tmp_path / "good"
@@ -141,7 +141,7 @@ def test_xml_rowtag_source_reads_same_invoices(spark, run, tmp_path):
 
 
 def test_ingest_many_documents_per_file(spark, tmp_path):
-    """E8 on files holding many invoices each (splittable xml source)."""
+    """E8 on files holding many invoices each (split across tasks)."""
     from conftest import SF_SMALL
     from pyspark.sql import functions as F
 
@@ -193,3 +193,69 @@ def test_narrow_item_parse_matches_full(spark, run):
 
     _, check_bad = xs.split_documents(xs.parse_xml_text(text, schema=XML_CHECK_SCHEMA), to_record=lambda d: d)
     assert as_set(check_bad.select("file", "reason")) == as_set(full_bad.select("file", "reason"))
+
+
+def test_one_large_file_is_read_by_several_tasks(spark, tmp_path):
+    from conftest import SF_SMALL
+
+    from fiscalflow.sources import star
+    from fiscalflow.sources.xml import read_xml_rows
+    from tools.xml_batches import write_xml_batches
+
+    d = str(tmp_path / "bulk")
+    write_xml_batches(star.records(star.Tables(spark, SF_SMALL), with_items=False), d, docs_per_file=100_000)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+        docs = read_xml_rows(spark, d, "*.txt")
+        assert docs.rdd.getNumPartitions() > 4 and docs.where("doc._corrupt_record is not null").count() == 0
+        assert docs.count() == 1500
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_persist_rules_and_staging(spark, tmp_path):
+    """Empty, broken and keyless messages are rejects; notes without a key never replace each other."""
+    import glob
+
+    from conftest import SF_SMALL
+
+    from fiscalflow.operators import records
+    from fiscalflow.session import checkpoint_dir
+    from fiscalflow.sources import star
+
+    log = FileLog(str(tmp_path / "log"))
+    good = records.to_messages(star.records(star.Tables(spark, SF_SMALL), with_items=False)).limit(3)
+    bad = spark.createDataFrame([(None, None), ("", '{"chNFe":"1","versao":"a"}'), ("", '{"chNFe":"2","versao":"b"}'), ("k", "{"), ("k", ""),
+                                 ("m", '{"versao":"x"}')], "key string, value string")
+    log.write(good.unionByName(bad))
+    db = "nfe_" + uuid.uuid4().hex[:6]
+    root = checkpoint_dir(spark).removeprefix("file://").removeprefix("file:")
+    before = glob.glob(f"{root}/fiscalflow-stage/*")
+    res = pipeline.run_persist(spark, log, db=db)
+    assert res.notas == 5      # the two records with an empty message key have keys of their own
+    assert sorted(r.reason for r in res.rejects.collect()) in (["empty", "empty", "missing_key"], ["empty", "malformed", "missing_key"])
+    assert pipeline.run_persist(spark, log, db=db, dedup="none").rejects.count() == 4
+    assert glob.glob(f"{root}/fiscalflow-stage/*") == before      # staged data is gone after each job
+
+
+def test_shared_folder_is_required_on_a_cluster(spark):
+    import pytest as pt
+
+    from fiscalflow.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pt.raises(ValueError):
+        checkpoint_dir(Session())
