@@ -17,6 +17,7 @@ from fiscalflow.llm import (
     suffix_dedup,
     warc,
 )
+from fiscalflow.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,5 +89,3 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
 }
-
-ORACLE_SQL: dict[str, str] = {}
