@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # rows of one input partition that are numbered together, as a power of two
-CHUNK_BITS = 12
+CHUNK_BITS = 10
 
 
 def shared_dir(spark: SparkSession) -> str:
