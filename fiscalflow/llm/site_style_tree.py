@@ -12,8 +12,8 @@ of its own.  Over the m pages that have a node:
 
 Branches below ``least`` composite importance on at least ``least_pages`` different pages are
 noise and are removed from each page.  Besides, elements that say what they are (nav, footer,
-aside, form, role and class names of menus, adverts, notices, comments ...) are always removed,
-and where a page has an article or main element, only that is read, and its plain
+aside, form, role and class names of menus, adverts, notices, comments ...) are always removed.
+Where a page has an article (or else a main) element, only that is read, and its plain
 paragraphs and headings stay whatever their importance, since articles may repeat.
 
 Copies of a page count once in the statistics.  Statistics are partial aggregates on
@@ -52,6 +52,10 @@ NOISE_NAMES = frozenset("nav navbar navigation menu menubar breadcrumb breadcrum
                         "recommended share sharing social ad ads advert adverts advertisement advertising promo promotion sponsor sponsored "
                         "banner cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login "
                         "search comment comments disqus respond reply replies pagination pager copyright legal disclaimer toolbar".split())
+# names that mark noise wherever they stand; other names may only describe the layout of what they wrap
+STRONG_NAMES = frozenset("comment comments disqus respond reply replies ad ads advert adverts advertisement advertising promo promotion sponsor sponsored "
+                         "related recommended cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login".split())
+MODIFIER = re.compile(r"^(has|with|no|without|is|js)[-_]")
 # an element of the key closes open elements of the value, up to their parent
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "body": {"head"}}
@@ -63,16 +67,20 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "plain", "inside", "children", "text")
+    __slots__ = ("tag", "path", "noise", "soft", "plain", "inside", "children")
 
-    def __init__(self, tag: str, path: str, noise: bool, plain: bool, inside: bool):
-        self.tag, self.path, self.noise, self.plain, self.inside = tag, path, noise, plain, inside
+    def __init__(self, tag: str, path: str, noise: bool, soft: bool, plain: bool, inside: bool):
+        self.tag, self.path, self.noise, self.soft, self.plain, self.inside = tag, path, noise, soft, plain, inside
         self.children: list[Node | str] = []
 
 
 def parse(page: str) -> Node:
-    """Element tree; ``inside`` is set below an article or main element."""
-    root = Node("", "", False, True, False)
+    """Element tree; ``inside`` is set below an article or main element.
+
+    ``soft`` noise is only named like noise (or a form) and turns out to be layout if it wraps
+    an article or main element.
+    """
+    root = Node("", "", False, False, True, False)
     open_ = [root]
     at, end = 0, len(page)
     lower = None
@@ -110,15 +118,22 @@ def parse(page: str) -> Node:
             for name, value in ATTRIBUTE.findall(m[3]):
                 name, value = name.lower(), value.strip("\"'").lower()
                 if name in ("class", "id"):
-                    names.update(NAME_PART.findall(value))
+                    names.update(x for part in value.split() if not MODIFIER.match(part) for x in NAME_PART.findall(part))
                     if name == "class" and value:
                         label = f"{tag}.{'.'.join(sorted(value.split()))}"
                 elif name == "role":
                     role = value
         inside = up.inside or tag in ("article", "main")
-        noise = (tag in NOISE_TAGS or tag == "header" and not up.inside or role in NOISE_ROLES
-                 or bool(names & NOISE_NAMES) and tag not in ("html", "body", "article", "main"))
-        node = Node(tag, f"{up.path}/{label}", noise, tag in PLAIN and label == tag, inside)
+        if tag in ("article", "main"):
+            noise, soft = tag == "article" and bool(names & STRONG_NAMES), False
+        else:
+            named = bool(names & NOISE_NAMES) and tag not in ("html", "body")
+            noise = tag in NOISE_TAGS or tag == "header" and not up.inside or role in NOISE_ROLES or named
+            soft = noise and not names & STRONG_NAMES and (tag == "form" or tag not in NOISE_TAGS and tag != "header" and role not in NOISE_ROLES)
+        node = Node(tag, f"{up.path}/{label}", noise, soft, tag in PLAIN and label == tag, inside)
+        if tag in ("article", "main") and not noise:
+            for n in open_:
+                n.noise = n.noise and not n.soft
         up.children.append(node)
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK and tag not in RAW:
             continue
@@ -138,9 +153,12 @@ def squeezed(text: str) -> str:
 
 
 def walk(root: Node) -> Iterator[Node]:
+    """The nodes that aren't in noise, in page order."""
     todo = [root]
     while todo:
         n = todo.pop()
+        if n.noise:
+            continue
         yield n
         todo += [c for c in reversed(n.children) if isinstance(c, Node)]
 
@@ -168,7 +186,7 @@ def page_rows(url: str | None, page: str | None) -> list[tuple[int, int, int, in
     count: dict[str, int] = defaultdict(int)
     prunable: dict[str, bool] = {}
     for n in walk(parse(page)):
-        if not n.path or n.noise or n.tag in ("html", "body"):
+        if not n.path or n.tag in ("html", "body"):
             continue
         kids = [c.tag for c in n.children if isinstance(c, Node)]
         styles[n.path].append(",".join(kids))
@@ -229,8 +247,9 @@ def main_text(page: str | None, removed: set[int]) -> str:
     if not page:
         return ""
     root = parse(page)
-    tops = [n for n in walk(root) if n.tag in ("article", "main") and not n.noise]
-    only = bool(tops)
+    tags = {n.tag for n in walk(root)}
+    main = next((t for t in ("article", "main") if t in tags), "")
+    only = bool(main)
 
     def blocks(removed: set[int]) -> list[str]:
         out, words = [], []
@@ -252,7 +271,7 @@ def main_text(page: str | None, removed: set[int]) -> str:
             elif n.noise:
                 continue
             else:
-                on = on or n.inside
+                on = on or n.tag == main
                 if removed and not (n.inside and (n.plain or n.tag in ("article", "main"))) and h64("n", n.path) in removed:
                     if n.tag in BLOCK:
                         flush()

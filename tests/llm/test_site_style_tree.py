@@ -63,6 +63,18 @@ def test_noise_of_many_kinds(spark):
     assert st.extract(df).first()["text"] == "Title & more\nFirst bold text.\nSecond line\none\ntwo\nsaid"
 
 
+def test_layout_names_and_comments(spark):
+    pages = {
+        1: "<form><div class='page has-sidebar header'><div class='sidebar'>links</div><article><p>Body</p><div id=comments><article><p>Nice</p></article></div></article></div></form>",
+        2: "<main><h1>Title</h1><p>Text</p><section class='reader-comments'><article class=comment>Me too</article></section></main>",
+        3: "<aside><article>Teaser</article></aside><article class='post'><h2>Real</h2></article><article class='comment'>First!</article>",
+        4: "<div class='with-sidebar'><p>Plain page</p></div><div class='site-header'>Logo</div>",
+    }
+    df = spark.createDataFrame([(k, None, v) for k, v in pages.items()], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in st.extract(df).collect()}
+    assert got == {1: "Body", 2: "Title\nText", 3: "Real", 4: "Plain page"}
+
+
 def test_odd_rows(odd_pages, no_pages):
     rows = st.extract(odd_pages).collect()
     assert len(rows) == odd_pages.count() and all(r["text"] is not None for r in rows)
