@@ -198,9 +198,8 @@ def induce(group: np.ndarray, left: list[bytes], right: list[bytes], length: int
     reach = np.fromiter(map(len, left), np.int64, m)  # the greatest distance of a start
     near = length - np.fromiter(map(len, right), np.int64, m)  # the least
     most = int(reach.max(initial=0))
-    before = np.zeros((m, most + 1), np.int64)  # the byte at distance a + 1
-    flat = np.frombuffer(b"".join(x[::-1].ljust(most + 1, b"\0") for x in left), np.uint8).reshape(m, most + 1)
-    before[:] = flat
+    # the byte at distance a + 1
+    before = np.frombuffer(b"".join(x[::-1].ljust(most + 1, b"\0") for x in left), np.uint8).reshape(m, most + 1)
     repeated = np.zeros((m, most + 1), bool)
     queue = np.array(sorted(range(m), key=lambda i: (group[i], right[i])), np.int64)
     lcp = common_prefixes([right[i] for i in queue], length)
@@ -213,7 +212,7 @@ def induce(group: np.ndarray, left: list[bytes], right: list[bytes], length: int
         on = np.nonzero((reach[queue] > a) & (best + most - a >= length))[0]
         if len(on) < 2:
             break
-        key = group[queue[on]] * 256 + before[queue[on], a]
+        key = group[queue[on]] * 256 + before[queue[on], a].astype(np.int64)
         rank = on[np.argsort(key, kind="stable")]
         after = np.sort(key, kind="stable")
         same = after[1:] == after[:-1]

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import re
 
-from conftest_llm import benchmark, documents
+from llm.tables import benchmark, documents
 
 from fiscalflow.llm import decontam
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import re
 
-from conftest_llm import documents
+from llm.tables import documents
 
 from fiscalflow.llm import license_scan as ls
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from fractions import Fraction
 
-from conftest_llm import documents
+from llm.tables import documents
 from pyspark.sql import functions as F
 
 from fiscalflow.llm import mixing

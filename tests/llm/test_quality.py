@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
-from conftest_llm import documents
+from llm.tables import documents
 
 from fiscalflow.llm import quality_js as q
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 
-from conftest_llm import documents
+from llm.tables import documents
 
 from fiscalflow.llm import sharding
 

@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import xxhash
-from conftest_llm import documents
+from llm.tables import documents
 
 from fiscalflow.llm import simhash_vp as sv
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import html
 import re
 
-from conftest_llm import pages
+from llm.tables import pages
 
 from fiscalflow.llm import site_style_tree as st
 

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest_llm import documents
+from llm.tables import documents
 
 from fiscalflow.llm import suffix_dedup as sd
 

@@ -6,7 +6,7 @@ import gzip
 import hashlib
 from collections import Counter, defaultdict
 
-from conftest_llm import pages
+from llm.tables import pages
 
 from fiscalflow.llm import warc
 
