@@ -1,8 +1,8 @@
 """Join helpers with an explicit size check before any broadcast.
 
-A side is broadcast only after ``limit(max_rows + 1).count()`` proved it holds at most
-``max_rows`` rows; the check reads at most ``max_rows + 1`` rows per partition, so it
-stays cheap even when the side turns out to be large.  Beyond the bound the join is a
+A side is broadcast only after its first ``max_rows + 1`` rows proved that it holds at most
+``max_rows`` rows and ``max_bytes`` bytes of text; the check reads at most ``max_rows + 1`` rows
+per partition, so it stays cheap even when the side turns out to be large.  Beyond the bound the join is a
 plain shuffle join, and AQE (skew-join splitting, runtime broadcast conversion) does the
 rest -- see ``fiscalflow.session.SCALE_CONF``.
 """
@@ -13,11 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded-cost check)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and, as JSON text, ``max_bytes`` bytes."""
+    text = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first()
+    return n <= max_rows and size <= max_bytes
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -37,19 +37,28 @@ SCALE_CONF: dict[str, str] = {
 
 
 # Added on a shared, busy cluster (``configure(spark, cluster=True)``): coalesce shuffle
-# partitions to the advisory size instead of to the core count, and start from enough
-# shuffle partitions that AQE only ever merges (100 TB / 128 MB is about 800k map outputs).
+# partitions to the advisory size instead of to the core count.
 CLUSTER_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # invoice XML files are a few KB: at the default 4 MB open cost a 128 MB scan task
     # would hold ~32 files; 64 KB packs ~2,000 per task
     "spark.sql.files.openCostInBytes": "65536",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
 }
+ADVISORY_BYTES = 128 << 20
 
 
-def configure(spark: SparkSession, extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+def initial_partitions(shuffle_bytes: int) -> int:
+    """Shuffle partitions to begin with, of the advisory size for the largest shuffle expected;
+    AQE only ever merges them.  At most 100,000, beyond which map outputs get too many blocks."""
+    return max(200, min(100_000, -(-shuffle_bytes // ADVISORY_BYTES)))
+
+
+def configure(spark: SparkSession, extra: dict[str, str] | None = None, cluster: bool = False,
+              shuffle_bytes: int = 10 << 40) -> SparkSession:
+    """``shuffle_bytes``: the largest shuffle expected, used with ``cluster``."""
     conf = {**SCALE_CONF, **(CLUSTER_CONF if cluster else {}), **(extra or {})}
+    if cluster:
+        conf.setdefault("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions(shuffle_bytes)))
     for k, v in conf.items():
         spark.conf.set(k, v)
     return spark
@@ -68,10 +77,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library made, in whatever file system holds it."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def rename_folder(spark: SparkSession, old: str, new: str) -> None:
+    fs, p = _file_system(spark, old)
+    if not fs.rename(p, _file_system(spark, new)[1]):
+        raise OSError(f"{old} could not be renamed to {new}")
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "fiscalflow",
