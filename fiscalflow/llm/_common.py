@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fiscalflow.operators.joins import maybe_broadcast
+
 # rows of one input partition that are numbered together, as a power of two
 CHUNK_BITS = 10
 
@@ -37,8 +39,8 @@ def saved(df: DataFrame) -> DataFrame:
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
-    """A broadcast hint for a saved frame if it has at most ``rows`` rows, else the frame as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """A broadcast hint for a saved frame of at most ``rows`` rows and 64 MB of text, else the frame as it is."""
+    return maybe_broadcast(df, rows)
 
 
 def batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
