@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from fiscalflow.operators.joins import maybe_broadcast
 
+# texts turned into Python objects at once
+TEXTS = 500
 # rows of one input partition that are numbered together, as a power of two
 CHUNK_BITS = 10
 
@@ -44,10 +46,17 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-            schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` with the module of ``fn`` sent along, as executors may not have it installed."""
-    cloudpickle.register_pickle_by_value(sys.modules[fn.__module__])
-    return df.mapInArrow(fn, schema)
+            schema: T.StructType | str, rows: int | None = None) -> DataFrame:
+    """``mapInArrow`` with the modules of ``fn`` sent along, as executors may not have them installed.
+
+    ``rows``: the most rows ``fn`` gets at once, which bounds the Python objects made of texts.
+    """
+    def sliced(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fn(b.slice(i, rows) for b in it for i in range(0, len(b), rows))
+
+    for f in (fn, sliced):
+        cloudpickle.register_pickle_by_value(sys.modules[f.__module__])
+    return df.mapInArrow(sliced if rows else fn, schema)
 
 
 def number_within(df: DataFrame, key: str, out: str) -> DataFrame:

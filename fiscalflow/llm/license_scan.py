@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalflow.llm._common import batches
+from fiscalflow.llm._common import TEXTS, batches
 
 # fixed values: phrases counted exactly, with their labels
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -141,4 +141,4 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=[doc_id, *names])
 
     kind = d.schema[doc_id].dataType.simpleString()
-    return batches(d, run, f"`{doc_id}` {kind}, {FIELDS}")
+    return batches(d, run, f"`{doc_id}` {kind}, {FIELDS}", TEXTS)

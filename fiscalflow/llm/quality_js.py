@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fiscalflow.llm._common import batches
+from fiscalflow.llm._common import TEXTS, batches
 
 # fixed values: common words of each language, the bins of the word histogram
 COMMON_WORDS = {
@@ -153,7 +153,7 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang",
             (pa.string(), pa.string(), pa.int32(), pa.float64(), pa.int64()))], names=PARTS.names)
 
     name = F.col(lang) if lang in docs.columns else F.lit(None).cast("string")
-    got = batches(docs.select(F.col(text).cast("string"), name.cast("string")), parts, PARTS)
+    got = batches(docs.select(F.col(text).cast("string"), name.cast("string")), parts, PARTS, TEXTS)
     mean = got.groupBy("lang", "kind", "bin").agg((F.sum("total") / F.sum("docs")).alias("x"))
     out: dict[tuple[str, str], np.ndarray] = {}
     for r in mean.collect():  # (languages with a list + 1) x bins
@@ -207,7 +207,7 @@ def judge(docs: DataFrame, references: dict, text: str = "text", lang: str = "la
             q = pa.StructArray.from_arrays(cols, fields=list(kind))
             yield pa.RecordBatch.from_arrays([*b.columns, q], names=names)
 
-    return batches(docs, run, schema)
+    return batches(docs, run, schema, TEXTS)
 
 
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", **limits) -> DataFrame:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalflow.llm._common import batches, connected_components, saved
+from fiscalflow.llm._common import TEXTS, batches, connected_components, saved
 
 BITS = 64
 SEED = 42
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, text: str = "text", words: int = 4) -> DataFra
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fp, pa.int64())], names=[*rest, "fp"])
 
     schema = d.select(*rest, F.lit(0).cast("long").alias("fp")).schema
-    return batches(d, run, schema)
+    return batches(d, run, schema, TEXTS)
 
 
 def block_bounds(bits: int, blocks: int) -> list[tuple[int, int]]:

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalflow.llm._common import batches, saved, small
+from fiscalflow.llm._common import TEXTS, batches, saved, small
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noscript template iframe noembed noframes".split())
@@ -215,7 +215,7 @@ def tree_rows(pages: DataFrame, url: str, html: str) -> DataFrame:
             rows = [r for u, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for r in page_rows(u, t)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(ROWS.types)], schema=ROWS)
 
-    return batches(pages.select(F.col(url).cast("string"), F.col(html).cast("string")), run, ROWS_SQL)
+    return batches(pages.select(F.col(url).cast("string"), F.col(html).cast("string")), run, ROWS_SQL, TEXTS)
 
 
 def node_importance(rows: DataFrame, gamma: float = 0.9) -> DataFrame:
@@ -316,6 +316,6 @@ def texts_of(d: DataFrame, removed: DataFrame, page_id: str, url: str, html: str
 
     names, out_names = [page_id, url, html, "page"], [page_id, url, "text"]
     kind = d.schema[page_id].dataType.simpleString()
-    keyed = batches(d, keys, f"`{page_id}` {kind}, `{url}` string, `{html}` string, page long")
+    keyed = batches(d, keys, f"`{page_id}` {kind}, `{url}` string, `{html}` string, page long", TEXTS)
     joined = keyed.join(small(removed, broadcast_rows // 10), "page", "left").select(page_id, url, html, "__removed")
-    return batches(joined, run, f"`{page_id}` {kind}, `{url}` string, text string")
+    return batches(joined, run, f"`{page_id}` {kind}, `{url}` string, text string", TEXTS)

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalflow.llm._common import batches, saved
+from fiscalflow.llm._common import TEXTS, batches, saved
 
 U = np.uint64
 TOP = np.iinfo(np.uint64).max
@@ -140,7 +140,7 @@ def segment_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (rids, gs, zs, ps)], names=["rid", "g", "z", "pos"])
 
-    return batches(docs, run, "rid long, g long, z long, pos long")
+    return batches(docs, run, "rid long, g long, z long, pos long", TEXTS)
 
 
 def unpacked(pos: int) -> tuple[int, int, int]:
@@ -172,7 +172,7 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(CONTEXT_TYPES.types)], schema=CONTEXT_TYPES)
 
     # all columns of docs go along, so that its shuffle is the one of the last step too
-    return batches(docs.join(lists, "rid"), run, CONTEXT)
+    return batches(docs.join(lists, "rid"), run, CONTEXT, TEXTS)
 
 
 def common_prefixes(rows: list[bytes], length: int) -> np.ndarray:
@@ -343,4 +343,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     kind = d.schema["doc"].dataType.simpleString()
     return batches(d.join(spans, "rid", "left"), run, f"`{doc_id}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-                   "kept binary, spans array<struct<first:bigint,end:bigint>>")
+                   "kept binary, spans array<struct<first:bigint,end:bigint>>", TEXTS)

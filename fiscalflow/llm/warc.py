@@ -28,7 +28,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalflow.llm._common import batches, saved, shared_dir, small
+from fiscalflow.llm._common import TEXTS, batches, saved, shared_dir, small
 
 INDEX = ("page_id long, url string, file string, offset long, length long, payload_digest string, payload_bytes long, "
          "record_type string, refers_to long")
@@ -115,7 +115,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
             out.close()
 
     index = f"{folder}/index.parquet"
-    batches(d, run, INDEX).write.parquet(index)
+    batches(d, run, INDEX, TEXTS).write.parquet(index)
     return spark.read.schema(INDEX).parquet(index)
 
 
