@@ -288,11 +288,12 @@ def repeated_spans(docs: DataFrame, length: int, gram: int, hot: int, batch: int
     if length - gram + 1 > 1 << BITS:
         raise ValueError(f"length - gram has to be below {1 << BITS}")
     found = saved(segment_rows(docs.select("rid", "text"), length, gram))
-    often = found.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g")
+    # each smaller side is saved: joined with a bare table, a shuffle of hot grams can be split
+    often = saved(found.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g"))
     found = saved(found.join(often, "g"))
     names = found.groupBy("g", "z").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("r"))
-    kinds = found.select("g", "z").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("kinds"))
-    known = saved(found.join(names.join(kinds, "g"), ["g", "z"]))
+    kinds = saved(found.select("g", "z").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("kinds")))
+    known = saved(found.join(saved(names.join(kinds, "g")), ["g", "z"]))
     a = F.shiftright("pos", 2 * BITS)
     whole = known.where("n > 1").select("rid", a.alias("first"), (a + F.col("pos").bitwiseAND((1 << BITS) - 1) + length).alias("end"))
     wanted = known.where("kinds > 1 and (n = 1 or rid = r)").select("rid", "g", "pos", (F.col("n") > 1).alias("partner"), "kinds")
