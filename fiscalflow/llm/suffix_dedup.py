@@ -164,6 +164,7 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
+            pa.default_memory_pool().release_unused()
             for rid, t, want in zip(b.column("rid").to_pylist(), b.column("text").to_pylist(), b.column("want")):
                 data, rows = t.encode(), []
                 for w in want.as_py():
@@ -258,6 +259,7 @@ def induced_spans(rows: DataFrame, length: int, batch: int) -> DataFrame:
                     cut = int(np.argmax(g != held[-1].column(0)[-1].as_py()))
                     yield solve([*held, b.slice(0, cut)])
                     held, n, b = [], 0, b.slice(cut)
+                    pa.default_memory_pool().release_unused()
                 held.append(b)
                 n += len(b)
         if n:
@@ -319,29 +321,33 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 64, hot: int = 4096,
-                   batch: int = 20_000) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes) and spans of every document."""
+                   batch: int = 20_000, with_kept: bool = True) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans and, ``with_kept``, kept (the remaining bytes) of every document."""
     d = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     spans = repeated_spans(d, length, gram, hot, batch).groupBy("rid").agg(F.collect_list(F.struct("first", "end")).alias("found"))
     span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", *["kept"] * with_kept]
+    types = [pa.int64()] * 3 + [pa.string(), span, *[pa.binary()] * with_kept]
+
+    def cut(text: str, found: list[dict] | None) -> tuple:
+        data = text.encode()
+        spans = merged([(s["first"], s["end"]) for s in found or ()])
+        kept, at = [], 0
+        for x, y in spans:
+            kept.append(data[at:x])
+            at = y
+        rest = b"".join([*kept, data[at:]])
+        return (len(data), len(data) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), [{"first": x, "end": y} for x, y in spans],
+                *[rest] * with_kept)
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            rows = []
-            for t, found in zip(b.column("text").to_pylist(), b.column("found")):
-                data = t.encode()
-                cut = merged([(s["first"], s["end"]) for s in found.as_py() or ()])
-                kept, at = [], 0
-                for x, y in cut:
-                    kept.append(data[at:x])
-                    at = y
-                kept = b"".join([*kept, data[at:]])
-                rows.append((len(data), len(data) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(), kept,
-                             [{"first": x, "end": y} for x, y in cut]))
-            types = [pa.int64()] * 3 + [pa.string(), pa.binary(), span]
-            yield pa.RecordBatch.from_arrays([b.column("doc"), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))],
-                                             names=[doc_id, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
+            rows = [cut(t, found.as_py()) for t, found in zip(b.column("text").to_pylist(), b.column("found"))]
+            yield pa.RecordBatch.from_arrays([b.column("doc"), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))], names=[doc_id, *names])
+            del rows
+            pa.default_memory_pool().release_unused()
 
     kind = d.schema["doc"].dataType.simpleString()
     return batches(d.join(spans, "rid", "left"), run, f"`{doc_id}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-                   "kept binary, spans array<struct<first:bigint,end:bigint>>", TEXTS)
+                   "spans array<struct<first:bigint,end:bigint>>" + ", kept binary" * with_kept, TEXTS)
