@@ -175,12 +175,20 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def page_rows(url: str | None, page: str | None) -> list[tuple[int, int, int, int, int, int, int, list[int]]]:
-    """(host, page, node, kind, value, children, prunable, ancestors) for styles (0) and texts (1)."""
+def node_key(host: str, path: str) -> int:
+    return h64("n", host, path)
+
+
+def page_rows(url: str | None, page: str | None) -> list[tuple[int, int, int, int | None, list[int] | None]]:
+    """(page, node, value, meta, up) for styles and texts.
+
+    A style has meta = 2 * child elements + prunable, and the keys of its branch upwards; a
+    text has neither.  Keys of nodes hold the host.
+    """
     if not page:
         return []
     host = host_of(url)
-    hh, ph = h64("h", host), h64("p", host, page)
+    ph = h64("p", host, page)
     styles: dict[str, list[str]] = defaultdict(list)
     texts: dict[str, set[str]] = defaultdict(set)
     count: dict[str, int] = defaultdict(int)
@@ -198,51 +206,51 @@ def page_rows(url: str | None, page: str | None) -> list[tuple[int, int, int, in
     out = []
     for path, seq in styles.items():
         steps = path.split("/")
-        ups = [h64("n", "/".join(steps[:k])) for k in range(2, len(steps) + 1)]
-        out.append((hh, ph, ups[-1], 0, h64("s", *seq), count[path], int(prunable[path]), ups))
-        out += [(hh, ph, ups[-1], 1, h64("t", t), 0, 0, []) for t in texts[path]]
+        ups = [node_key(host, "/".join(steps[:k])) for k in range(2, len(steps) + 1)]
+        out.append((ph, ups[-1], h64("s", *seq), 2 * count[path] + prunable[path], ups))
+        out += [(ph, ups[-1], h64("t", t), None, None) for t in texts[path]]
     return out
 
 
-ROWS = pa.schema([("host", pa.int64()), ("page", pa.int64()), ("node", pa.int64()), ("kind", pa.int64()), ("value", pa.int64()),
-                  ("children", pa.int64()), ("prunable", pa.int64()), ("up", pa.list_(pa.int64()))])
-ROWS_SQL = "host long, page long, node long, kind long, value long, children long, prunable long, up array<long>"
+ROWS = pa.schema([("page", pa.int64()), ("node", pa.int64()), ("value", pa.int64()), ("meta", pa.int64()), ("up", pa.list_(pa.int64()))])
+ROWS_SQL = "page long, node long, value long, meta long, up array<long>"
 
 
 def tree_rows(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """Distinct rows of all pages: copies of a page count once."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             rows = [r for u, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for r in page_rows(u, t)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(ROWS.types)], schema=ROWS)
 
-    return batches(pages.select(F.col(url).cast("string"), F.col(html).cast("string")), run, ROWS_SQL, TEXTS)
+    rows = batches(pages.select(F.col(url).cast("string"), F.col(html).cast("string")), run, ROWS_SQL, TEXTS)
+    return rows.dropDuplicates(["page", "node", "value", "meta"])
 
 
 def node_importance(rows: DataFrame, gamma: float = 0.9) -> DataFrame:
-    """(host, node, pages, presentation, content, importance, prunable) of distinct ``rows``."""
-    logm = lambda x, m: F.when(m > 1, F.log(x.cast("double")) / F.log(m.cast("double"))).otherwise(F.lit(0.0))
+    """(node, pages, presentation, content, importance, prunable) of distinct ``rows``."""
     n = F.col("n").cast("double")
-    styled = rows.where("kind = 0").groupBy("host", "node", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.max("children").alias("children"), F.min("prunable").alias("prunable"),
+    styled = rows.where("meta is not null").groupBy("node", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.shiftright("meta", 1)).alias("children"), F.min(F.col("meta").bitwiseAND(1)).alias("prunable"),
         F.first("up").alias("up"))
-    styles = styled.groupBy("host", "node").agg(
+    styles = styled.groupBy("node").agg(
         F.sum("n").alias("pages"), F.sum(n * F.log(n)).alias("nlogn"), F.max("children").alias("children"),
         F.min("prunable").alias("prunable"), F.first("up").alias("up"))
     m = F.col("pages").cast("double")
     styles = styles.withColumn("presentation", F.when(F.col("pages") > 1, (F.log(m) - F.col("nlogn") / m) / F.log(m)).otherwise(F.lit(1.0)))
-    texts = (rows.where("kind = 1").groupBy("host", "node", "value").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("host", "node").agg(F.sum(F.log(n)).alias("logs"), F.count(F.lit(1)).alias("texts")))
-    own = texts.join(styles.select("host", "node", "pages", "up"), ["host", "node"])
+    texts = (rows.where("meta is null").groupBy("node", "value").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("node").agg(F.sum(F.log(n)).alias("logs"), F.count(F.lit(1)).alias("texts")))
+    own = texts.join(styles.select("node", "pages", "up"), "node")
     score = F.col("texts") - F.when(F.col("pages") > 1, F.col("logs") / F.log(m)).otherwise(F.lit(0.0))
-    branch = (own.select("host", F.explode("up").alias("node"), score.alias("score"), "texts")
-              .groupBy("host", "node").agg((F.sum("score") / F.sum("texts")).alias("content")))
-    out = styles.join(branch, ["host", "node"], "left")
+    branch = (own.select(F.explode("up").alias("node"), score.alias("score"), "texts")
+              .groupBy("node").agg((F.sum("score") / F.sum("texts")).alias("content")))
+    out = styles.join(branch, "node", "left")
     g = F.pow(F.lit(gamma), F.col("children").cast("double"))
-    return out.select("host", "node", "pages", "prunable", "presentation", "content",
+    return out.select("node", "pages", "prunable", "presentation", "content",
                       ((F.lit(1.0) - g) * F.col("presentation") + g * F.coalesce("content", F.lit(0.0))).alias("importance"))
 
 
-def main_text(page: str | None, removed: set[int]) -> str:
+def main_text(page: str | None, removed: set[int], host: str = "") -> str:
     """Blocks of the page without noise and ``removed`` nodes; all but noise if nothing is left of a page without an article."""
     if not page:
         return ""
@@ -272,7 +280,7 @@ def main_text(page: str | None, removed: set[int]) -> str:
                 continue
             else:
                 on = on or n.tag == main
-                if removed and not (n.inside and (n.plain or n.tag in ("article", "main"))) and h64("n", n.path) in removed:
+                if removed and not (n.inside and (n.plain or n.tag in ("article", "main"))) and node_key(host, n.path) in removed:
                     if n.tag in BLOCK:
                         flush()
                     continue
@@ -294,10 +302,10 @@ def main_text(page: str | None, removed: set[int]) -> str:
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: float = 0.35,
             least_pages: int = 8, broadcast_rows: int = 100_000) -> DataFrame:
     """page_id, url and text (main text, blocks joined by newlines) of every row."""
-    rows = saved(tree_rows(pages, url, html).dropDuplicates(["host", "page", "node", "kind", "value"]))
+    rows = saved(tree_rows(pages, url, html))
     low = node_importance(rows).where((F.col("importance") < least) & (F.col("pages") >= least_pages) & (F.col("prunable") == 1))
-    low = saved(low.select("host", "node"))
-    removed = (rows.where("kind = 0").select("host", "page", "node").join(small(low, broadcast_rows), ["host", "node"])
+    low = saved(low.select("node"))
+    removed = (rows.where("meta is not null").select("page", "node").join(small(low, broadcast_rows), "node")
                .groupBy("page").agg(F.collect_set("node").alias("__removed")))
     d = pages.select(F.col(page_id), F.col(url).cast("string"), F.col(html).cast("string"))
     return texts_of(d, saved(removed), page_id, url, html, broadcast_rows)
@@ -311,7 +319,7 @@ def texts_of(d: DataFrame, removed: DataFrame, page_id: str, url: str, html: str
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            t = [main_text(p, set(r or ())) for p, r in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            t = [main_text(p, set(r or ()), host_of(u)) for u, p, r in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(t, pa.string())], names=out_names)
 
     names, out_names = [page_id, url, html, "page"], [page_id, url, "text"]
