@@ -182,7 +182,7 @@ def shard_edges(shards: DataFrame, max_bits: int, leaf: int = 64) -> DataFrame:
                 continue
             key, fp = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)
             if held_key and held_key[-1][-1] != key[-1] or not held_key and key[0] != key[-1]:
-                cut = int(np.searchsorted(key != key[-1], False)) if key[0] != key[-1] else 0
+                cut = int(np.argmax(key == key[-1]))  # where the last shard of the batch begins
                 whole_key, whole_fp = np.concatenate([*held_key, key[:cut]]), np.concatenate([*held_fp, fp[:cut]])
                 yield solve(whole_key, whole_fp)
                 held_key, held_fp = [key[cut:]], [fp[cut:]]

@@ -76,3 +76,21 @@ def test_keep_one_keeps_one_row_of_each_component(spark, odd_documents, scratch)
     comps = sv.near_duplicates(d.select("doc_id", "text")).select("component_id").distinct().collect()
     ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
     assert ids == sorted(c["component_id"] for c in comps if c["component_id"] is not None)
+
+
+def test_shards_that_span_arrow_batches_stay_whole(spark):
+    # chains whose ends are only linked by way of all their rows, one shard each
+    shards = [(k, (k << 40) | ((1 << 4 * i) - 1)) for k in range(1, 61) for i in range(2 + k % 7)]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "5")
+    try:
+        d = spark.createDataFrame(shards, "shard long, fp long").coalesce(1)
+        edges = sv.shard_edges(d, 4).collect()
+    finally:
+        spark.conf.set(name, before)
+    fps = [fp for _, fp in shards]
+    forest = sv.Forest(len(fps))
+    for e in edges:
+        forest.link(fps.index(e["u"]), fps.index(e["v"]))
+    assert len({forest.root(i) for i in range(len(fps))}) == 60
