@@ -1,17 +1,18 @@
 """Mixing sources to target weights by Pfair scheduling (native columns only).
 
-Each source gets an integer weight; a *round* has as many slots as the weights of the
-sources still holding blocks.  Within a round of Q slots, block j (from 1) of a source of
-weight W is released at floor((j-1) * Q / W) and due at ceil(j * Q / W); every slot goes to
-the released block that is due first.  After t slots of a round a source of weight W has
-had less than one block more or less than t * W / Q, and a round ends with no debt.  When
-a source runs out, later rounds share its slots among the others in their weights' proportion;
-no row is dropped or repeated.
-
-Only distinct rounds are scheduled: a source's share changes at most twice (its last
-partial round and then nothing), so there are at most 2n + 1 for n sources, each of at
-most the sum of the weights in slots.  These bounds are parameters (weights) and the
-number of sources, not rows.  A fold over the slots (``aggregate``) makes each schedule.
+Each source gets an integer weight.  The schedule has *phases*; in each, the sources that
+still hold blocks share the slots by their full weights, in rounds of as many slots as
+their weights' sum Q.  Within a round, block j (from 1) of a source of weight W is released
+at floor((j-1) * Q / W) and due at ceil(j * Q / W); every slot goes to the released block
+that is due first.  After t slots of a phase a source of weight W has had less than one
+block more or less than t * W / Q.  A phase ends at the first slot that falls to a source
+without blocks, so never before some source's last block is placed; the next phase starts
+afresh with the other sources, and no row is dropped or repeated.
+
+Each phase uses up a source, so there are at most n phases for n sources; a phase's
+pattern is one round, at most the sum of the weights in slots.  These bounds are parameters
+(weights) and the number of sources, not rows.  Where a phase ends depends on the one before:
+a fold over the phases and their slots (``aggregate``) makes them all in one row.
 
 Defined cases: a null source is a source of its own; repeated rows are all placed; an
 empty table gives an empty result.  ``weights`` may name sources that have no rows.
@@ -46,46 +47,62 @@ def integer_weights(sources: DataFrame, weights: dict[str | None, int] | None, r
 
 # least (deadline, source) among sources with a released block left in this round
 PICK = """
-array_min(filter(transform(w, (x, i) -> if(acc.done[i] < x and acc.done[i] * q div x <= t,
-  named_struct('due', ((acc.done[i] + 1) * q + x - 1) div x, 'i', i), null)),
+array_min(filter(transform(w, (x, i) -> if(run.done[i] < x and run.done[i] * q div x <= t,
+  named_struct('due', ((run.done[i] + 1) * q + x - 1) div x, 'i', i), null)),
   s -> s is not null)).i
 """
 
+# a round of a phase: the order of its sources, and the slot ``stop`` of the phase's last round
+# (the one after ``full`` whole rounds) at which a source has no block left, having ``had`` blocks
+# placed in that round.  Without a whole round, slots from ``stop`` on are not needed.
+ROUND = """
+aggregate(sequence(0, cast(q as int) - 1),
+  named_struct('done', transform(w, x -> 0L), 'order', cast(array() as array<int>), 'stop', -1, 'had', transform(w, x -> 0L)),
+  (run, t) -> if(full = 0 and run.stop >= 0, run, transform(array(PICK), p -> named_struct(
+      'done', transform(run.done, (d, i) -> if(i = p, d + 1L, d)),
+      'order', array_append(run.order, p),
+      'stop', if(run.stop < 0 and run.done[p] = left[p] - full * w[p], t, run.stop),
+      'had', if(run.stop < 0 and run.done[p] = left[p] - full * w[p], run.done, run.had)))[0]))
+"""
+
+# each step of the outer fold is a phase; one-element arrays compute a value once
+PHASES = """
+aggregate(s,
+  named_struct('left', transform(s, x -> x.blocks), 'base', 0L, 'phases', cast(array() as
+    array<struct<base: bigint, q: bigint, w: array<bigint>, left: array<bigint>, order: array<int>>>)),
+  (acc, one) -> if(not exists(acc.left, x -> x > 0), acc,
+    transform(array(acc.left), left ->
+    transform(array(transform(s, (x, i) -> if(left[i] > 0, x.weight, 0L))), w ->
+    transform(array(aggregate(w, 0L, (a, x) -> a + x)), q ->
+    transform(array(array_min(filter(transform(w, (x, i) -> if(x > 0, left[i] div x, null)), x -> x is not null))), full ->
+    transform(array(ROUND), r -> named_struct(
+      'left', transform(left, (x, i) -> x - full * w[i] - r.had[i]),
+      'base', acc.base + full * q + r.stop,
+      'phases', array_append(acc.phases, named_struct('base', acc.base, 'q', q, 'w', w, 'left', left, 'order', r.order))
+    ))[0])[0])[0])[0])[0]),
+  acc -> acc.phases)
+"""
+
 
-def round_schedules(sources: DataFrame) -> DataFrame:
-    """(first, last, base, q, key, j, slot_in_round, release, due) for each kind of round.
+def phase_schedules(sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The phases' patterns and where they begin in each source.
 
-    ``sources``: key, blocks, weight.  ``first``..``last`` are the rounds of that kind and
-    ``base`` is the slot at which round ``first`` begins.
+    ``sources``: key, blocks, weight.  Patterns have (phase, base, q, key, j, slot_in_round,
+    release, due), with ``base`` the slot at which the phase begins.  The second frame has
+    (key, starts): an array of (start, phase), the source's first block not placed before the phase.
     """
     listed = sources.agg(F.sort_array(F.collect_list(F.struct("key", "weight", "blocks"))).alias("s"))
-    cuts = listed.select("s", F.explode(F.array_sort(F.array_distinct(F.flatten(F.array(
-        F.array(F.lit(0).cast("long")),
-        F.expr("transform(s, x -> x.blocks div x.weight)"),
-        F.expr("transform(s, x -> x.blocks div x.weight + 1)")))))).alias("first"))
-    by = Window.partitionBy(F.lit(1)).orderBy("first")  # at most 2n + 2 rows
-    kinds = (cuts.withColumn("w", F.expr("transform(s, x -> greatest(0L, least(x.weight, x.blocks - first * x.weight)))"))
-             .withColumn("q", F.expr("aggregate(w, 0L, (a, x) -> a + x)"))
-             .withColumn("last", F.coalesce(F.lead("first").over(by) - 1, F.col("first"))).where("q > 0"))
-    kinds = kinds.withColumn("base", F.coalesce(
-        F.sum((F.col("last") - F.col("first") + 1) * F.col("q")).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # the one-element array computes the pick once a slot
-    fold = """
-    aggregate(sequence(0, cast(q as int) - 1),
-      named_struct('done', transform(w, x -> 0L), 'order', cast(array() as array<int>)),
-      (acc, t) -> transform(array(PICK), p -> named_struct(
-          'done', transform(acc.done, (d, i) -> if(i = p, d + 1L, d)),
-          'order', array_append(acc.order, p)))[0],
-      acc -> acc.order)
-    """.replace("PICK", PICK.strip())
-    order = kinds.repartition(64, "first").withColumn("order", F.expr(fold))
-    slots = order.select("first", "last", "base", "q", "s", "w", F.posexplode("order").alias("slot_in_round", "i"))
-    slots = slots.select("first", "last", "base", "q", F.expr("s[i].key").alias("key"), F.expr("w[i]").alias("w"), "slot_in_round")
-    j = F.row_number().over(Window.partitionBy("first", "key").orderBy("slot_in_round")) - 1
+    fold = PHASES.replace("ROUND", ROUND.strip()).replace("PICK", PICK.strip())
+    phases = saved(listed.withColumn("phases", F.expr(fold)).select("s", F.posexplode("phases").alias("phase", "p")))  # at most n rows
+    starts = (phases.select("phase", F.expr("explode(transform(s, (x, i) -> named_struct('key', x.key, 'start', x.blocks - p.left[i])))").alias("x"))
+              .groupBy("x.key").agg(F.collect_list(F.struct("x.start", "phase")).alias("__starts")))
+    slots = phases.repartition(64, "phase").select("phase", "s", "p", F.posexplode("p.order").alias("slot_in_round", "i"))
+    slots = slots.select("phase", "p.base", "p.q", F.expr("s[i].key").alias("key"), F.expr("p.w[i]").alias("w"), "slot_in_round")
+    j = F.row_number().over(Window.partitionBy("phase", "key").orderBy("slot_in_round")) - 1
     slots = slots.withColumn("j", j.cast("long"))
-    return slots.select("first", "last", "base", "q", "key", "j", F.col("slot_in_round").cast("long").alias("slot_in_round"),
+    return slots.select("phase", "base", "q", "key", "j", F.col("slot_in_round").cast("long").alias("slot_in_round"),
                         F.expr("j * q div w").alias("release"),
-                        F.expr("((j + 1) * q + w - 1) div w").alias("due"))
+                        F.expr("((j + 1) * q + w - 1) div w").alias("due")), starts
 
 
 def mix(df: DataFrame, source: str = "source", weights: dict[str | None, int] | None = None, block_rows: int = 16,
@@ -103,21 +120,21 @@ def mix(df: DataFrame, source: str = "source", weights: dict[str | None, int] |
     sources = numbered.groupBy(F.col("__src").alias("key")).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("long").alias("blocks"))
     weighted = saved(integer_weights(sources, weights, resolution, exponent))
-    plan = saved(round_schedules(weighted))  # at most (2n + 1) * sum of weights rows
-    kinds = plan.select("first", "last").distinct()
-    w = weighted.select(F.col("key").alias("__src"), "weight")
+    plan, starts = phase_schedules(weighted)
+    plan = saved(plan)  # at most n * sum of weights rows
+    w = saved(weighted.join(starts, "key").select(F.col("key").alias("__src"), "weight", "__starts"))
     n = numbered.join(small(w, 100_000), "__src").withColumn("block", F.expr(f"__row div {int(block_rows)}"))
-    n = n.withColumn("__round", F.expr("block div weight")).withColumn("__j", F.expr("block % weight"))
-    listed = F.broadcast(kinds.agg(F.sort_array(F.collect_list("first")).alias("__firsts")))
-    n = n.join(listed).withColumn("__first", F.expr("array_max(filter(__firsts, x -> x <= __round))")).drop("__firsts")
-    p = plan.select(F.col("key").alias("__src"), F.col("first").alias("__first"), F.col("j").alias("__j"), "base", "q",
+    n = n.withColumn("__at", F.expr("array_max(filter(__starts, x -> x.start <= block))")).drop("__starts")
+    n = n.withColumn("__round", F.expr("(block - __at.start) div weight")).withColumn("__j", F.expr("(block - __at.start) % weight"))
+    n = n.withColumn("__phase", F.col("__at.phase")).drop("__at")
+    p = plan.select(F.col("key").alias("__src"), F.col("phase").alias("__phase"), F.col("j").alias("__j"), "base", "q",
                     "slot_in_round", "release", "due")
-    n = n.join(small(p, 200_000), ["__src", "__first", "__j"])
-    begin = F.col("base") + (F.col("__round") - F.col("__first")) * F.col("q")
+    n = n.join(small(p, 200_000), ["__src", "__phase", "__j"])
+    begin = F.col("base") + F.col("__round") * F.col("q")
     return (n.withColumn("slot", begin + F.col("slot_in_round"))
             .withColumn("release", begin + F.col("release")).withColumn("due", begin + F.col("due"))
             .withColumn("in_block", (F.col("__row") % F.lit(block_rows)).cast("long"))
-            .drop("__src", "__row", "__round", "__j", "__first", "base", "q", "slot_in_round"))
+            .drop("__src", "__row", "__round", "__j", "__phase", "base", "q", "slot_in_round"))
 
 
 def mixed_order(df: DataFrame, source: str = "source", **options) -> DataFrame:

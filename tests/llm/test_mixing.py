@@ -62,3 +62,35 @@ def test_mixed_order_keeps_rows(spark, odd_documents, scratch):
     assert out.columns == d.columns
     key = F.xxhash64(*d.columns)
     assert sorted(r[0] for r in out.select(key).collect()) == sorted(r[0] for r in d.select(key).collect())
+
+
+def check_phases(rows):
+    """Less than a block off the target until a source's last block is placed, in each phase."""
+    weight = {r["source"]: r["weight"] for r in rows}
+    left = Counter({s: len({r["block"] for r in rows if r["source"] == s}) for s in weight})
+    order = [s for _, s in sorted({(r["slot"], r["source"]) for r in rows}, key=lambda x: x[0])]
+    t, firsts = 0, []
+    while t < len(order):
+        active = [s for s in left if left[s]]
+        total = sum(weight[s] for s in active)
+        had, begin = Counter(), t
+        # the phase goes on while the slots are what the target asks for
+        while t < len(order) and all(abs(had[s] + (s == order[t]) - Fraction(weight[s] * (t - begin + 1), total)) < 1 for s in active):
+            had[order[t]] += 1
+            left[order[t]] -= 1
+            t += 1
+        assert not all(left[s] for s in active)
+        firsts.append(t - begin)
+    return firsts
+
+
+def test_target_holds_until_a_source_runs_out(spark):
+    rows = [("hot", i) for i in range(3333)] + [(f"s{i % 19}", i) for i in range(6667)]
+    d = spark.createDataFrame(rows, "source string, x int")
+    got = mixing.mix(d).collect()
+    check(got, len(rows), 16)
+    firsts = check_phases(got)
+    weight = {r["source"]: r["weight"] for r in got}
+    # its natural share is a third of all slots, the target much less
+    hot = {r["slot"] for r in got if r["source"] == "hot" and r["slot"] < firsts[0]}
+    assert abs(len(hot) - Fraction(weight["hot"] * firsts[0], sum(weight.values()))) < 1 and len(hot) < firsts[0] / 4
