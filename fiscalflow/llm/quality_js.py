@@ -8,11 +8,13 @@ language, one vote a document, worked out as a distributed sum.  Short documents
 so each comparison has a least length below which it isn't made.
 
 Both passes are Arrow batches: the first sums histograms (a row per language and task),
-the second gives each document its verdict; the references (languages x bins) are the only
-thing that goes through the driver, and languages without a word list share one entry.
+the second gives each document its verdict.  Every value of the language column has a character
+reference of its own; these are rows that are joined to the documents (broadcast only if they
+are few).  Only the references of the languages with a word list go through the driver.
 
-Defined cases: null text counts as empty and fails the base rule; a null or unknown language
-uses the reference ``*`` (all documents) for characters and skips the word comparison; an
+Defined cases: null text counts as empty and fails the base rule; a null language, or one
+without a document that has a vote, has no reference and skips the character comparison, a
+language without a word list skips the word comparison; an
 empty table gives no references and no rows; repeated rows get equal verdicts; columns named
 like a result are kept, as the results are fields of one struct.
 """
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fiscalflow.llm._common import TEXTS, batches
+from fiscalflow.llm._common import TEXTS, batches, saved, small
 
 # fixed values: common words of each language, the bins of the word histogram
 COMMON_WORDS = {
@@ -126,39 +128,55 @@ PARTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("kind
                       T.StructField("docs", T.LongType())])
 
 
-def language_references(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: int = 50) -> dict:
-    """{(language, "chars" or "words"): mean histogram}; ``*`` is all documents.
+# languages whose sums a task holds at once
+HELD = 10_000
+
 
-    Documents of fewer than ``min_words`` words have no vote.
+def reference_rows(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: int = 50) -> DataFrame:
+    """(lang, kind: "chars" or "words", bins): the mean histogram of each value of ``lang``.
+
+    Documents of fewer than ``min_words`` words, or without a language, have no vote.
     """
+    def rows_of(sums: dict[tuple[str, str], np.ndarray]) -> pa.RecordBatch:
+        rows = [(k, kind, i, float(x), int(s[-1])) for (k, kind), s in sums.items() for i, x in enumerate(s[:-1])]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
+            (pa.string(), pa.string(), pa.int32(), pa.float64(), pa.int64()))], names=PARTS.names)
+
     def parts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[str, str], np.ndarray] = {}
         for b in it:
             for t, name in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 data = (t or "").encode()
-                name = name if name in WORD_BIN else None
                 _, chars, words = histograms(data, name)
                 n_words = words.sum() if words is not None else len(data.split())
                 if n_words < min_words:
                     continue
-                keys = [("*", "chars", chars)]
-                if name:
-                    keys += [(name, "chars", chars), (name, "words", words)]
-                for k, kind, h in keys:
-                    s = sums.setdefault((k, kind), np.zeros(len(h) + 1))
-                    s[:-1] += h / h.sum()
-                    s[-1] += 1
-        rows = [(k, kind, i, float(x), int(s[-1])) for (k, kind), s in sums.items() for i, x in enumerate(s[:-1])]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-            (pa.string(), pa.string(), pa.int32(), pa.float64(), pa.int64()))], names=PARTS.names)
+                for kind, h in (("chars", chars), ("words", words)):
+                    if h is not None and h.any():
+                        s = sums.setdefault((name, kind), np.zeros(len(h) + 1))
+                        s[:-1] += h / h.sum()
+                        s[-1] += 1
+            if len(sums) > HELD:
+                yield rows_of(sums)
+                sums.clear()
+        yield rows_of(sums)
 
     name = F.col(lang) if lang in docs.columns else F.lit(None).cast("string")
-    got = batches(docs.select(F.col(text).cast("string"), name.cast("string")), parts, PARTS, TEXTS)
-    mean = got.groupBy("lang", "kind", "bin").agg((F.sum("total") / F.sum("docs")).alias("x"))
-    out: dict[tuple[str, str], np.ndarray] = {}
-    for r in mean.collect():  # (languages with a list + 1) x bins
-        out.setdefault((r["lang"], r["kind"]), np.zeros(N_CHARS if r["kind"] == "chars" else N_BINS))[r["bin"]] = round(r["x"], 9)
-    return out
+    named = docs.select(F.col(text).cast("string"), name.cast("string").alias("__lang")).where("__lang is not null")
+    got = batches(named, parts, PARTS, TEXTS)
+    mean = got.groupBy("lang", "kind", "bin").agg(F.round(F.sum("total") / F.sum("docs"), 9).alias("x"))
+    listed = mean.groupBy("lang", "kind").agg(F.sort_array(F.collect_list(F.struct("bin", "x"))).alias("b"))
+    return listed.select("lang", "kind", F.col("b.x").alias("bins"))
+
+
+def language_references(docs: DataFrame, text: str = "text", lang: str = "lang", min_words: int = 50) -> dict:
+    """{(language, "chars" or "words"): mean histogram} of the languages with a word list."""
+    return listed_references(reference_rows(docs, text, lang, min_words))
+
+
+def listed_references(references: DataFrame) -> dict:
+    rows = references.where(F.col("lang").isin(*COMMON_WORDS)).collect()  # languages with a list x 2
+    return {(r["lang"], r["kind"]): np.array(r["bins"]) for r in rows}
 
 
 OUT = "__quality"
@@ -169,10 +187,12 @@ VERDICT = T.StructType([
     T.StructField("word_distance", T.DoubleType()), T.StructField("kept", T.BooleanType())])
 
 
-def judge(docs: DataFrame, references: dict, text: str = "text", lang: str = "lang", char_limit: float = 0.30,
-          word_limit: float = 0.32, min_char_words: int = 50, min_hist_words: int = 100, out: str = OUT) -> DataFrame:
+def judge(docs: DataFrame, references: DataFrame, text: str = "text", lang: str = "lang", char_limit: float = 0.30,
+          word_limit: float = 0.32, min_char_words: int = 50, min_hist_words: int = 100, out: str = OUT, broadcast_rows: int = 100_000) -> DataFrame:
     """``docs`` plus a struct ``out`` (VERDICT); a column of that name is replaced.
 
+    ``references``: saved ``reference_rows``; more than ``broadcast_rows`` are joined by shuffle.
+
     Base rules: at least 50 words, and at most half of the words in repeated 3-word windows.
     A distance that isn't measured (too short, no reference) is null and rejects nothing.
     """
@@ -180,19 +200,24 @@ def judge(docs: DataFrame, references: dict, text: str = "text", lang: str = "la
     schema = T.StructType([*docs.schema.fields, T.StructField(out, VERDICT)])
     names = schema.names
     at, at_lang = docs.columns.index(text), docs.columns.index(lang) if lang in docs.columns else None
-
-    def verdict(t: str | None, name: str | None) -> tuple:
+    words_of = {k: x for (k, kind), x in listed_references(references).items() if kind == "words"}
+    chars_of = small(references.where("kind = 'chars'").select(F.col("lang").alias("__name"), F.col("bins").alias("__bins")), broadcast_rows)
+    if at_lang is None:
+        d = docs.withColumn("__bins", F.lit(None).cast("array<double>"))
+    else:
+        d = docs.join(chars_of, docs[lang].cast("string") == chars_of["__name"], "left").drop("__name")
+
+    def verdict(t: str | None, name: str | None, mean: list[float] | None) -> tuple:
         data = (t or "").encode()
         raw, chars, words = histograms(data, name)
         base = base_rules(data, raw)
         n, repeated = base[0], base[4]
         failed = n < 50 or 100 * repeated > 50 * n
-        known = name if (name, "chars") in references else "*"
         dc = dw = None
-        if n >= min_char_words and (known, "chars") in references:
-            dc = js_distance(chars, references[(known, "chars")])
-        if n >= min_hist_words and words is not None and words.sum() > 0 and (name, "words") in references:
-            dw = js_distance(words, references[(name, "words")])
+        if n >= min_char_words and mean is not None:
+            dc = js_distance(chars, np.array(mean))
+        if n >= min_hist_words and words is not None and words.sum() > 0 and name in words_of:
+            dw = js_distance(words, words_of[name])
         kept = not failed and not (dc is not None and dc > char_limit) and not (dw is not None and dw > word_limit)
         return *base, failed, dc, dw, kept
 
@@ -201,15 +226,15 @@ def judge(docs: DataFrame, references: dict, text: str = "text", lang: str = "la
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            langs = b.column(at_lang).to_pylist() if at_lang is not None else [None] * len(b)
-            rows = [verdict(t, x) for t, x in zip(b.column(at).to_pylist(), langs)]
+            langs = b.column(at_lang).cast(pa.string()).to_pylist() if at_lang is not None else [None] * len(b)
+            rows = [verdict(*x) for x in zip(b.column(at).to_pylist(), langs, b.column(len(names) - 1).to_pylist())]
             cols = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(kind)]
             q = pa.StructArray.from_arrays(cols, fields=list(kind))
-            yield pa.RecordBatch.from_arrays([*b.columns, q], names=names)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], q], names=names)
 
-    return batches(docs, run, schema, TEXTS)
+    return batches(d, run, schema, TEXTS)
 
 
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", **limits) -> DataFrame:
     """``docs`` plus a struct ``__quality``, with references drawn from all of ``docs``."""
-    return judge(docs, language_references(docs, text, lang), text, lang, **limits)
+    return judge(docs, saved(reference_rows(docs, text, lang)), text, lang, **limits)

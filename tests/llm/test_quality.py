@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
@@ -57,3 +58,24 @@ def test_odd_rows(odd_documents, no_documents):
 def test_js_distance_bounds():
     assert q.js_distance(np.array([1.0, 0]), np.array([0, 1.0])) == 1.0
     assert q.js_distance(np.array([2.0, 4]), np.array([1.0, 2])) == 0.0
+
+
+def test_languages_without_a_word_list_have_their_own_reference(spark):
+    words = "в лесу родилась ёлочка она росла зимой и летом стройная зелёная была метель ей пела песенку спи бай мороз снежком укутывал".split()
+    clean = [" ".join(random.Random(i).choices(words, k=120)) + "." for i in range(12)]
+    english = [r["text"] for r in documents(spark, "sf0.01").where("lang = 'en'").limit(200).collect()]
+    rows = [(t, "ru") for t in clean] + [(t, None) for t in clean] + [(t, "en") for t in english]
+    rows += [(" ".join(f"{chr(97 + i % 26)}# ${i}" for i in range(200)), "ru")]
+    d = spark.createDataFrame(rows, "text string, lang string")
+    got = check(d)
+    base_ok = [r for r in got if not r[-1]["base_failed"]]
+    assert [r["lang"] for r in base_ok].count("ru") >= 10 and [r["lang"] for r in base_ok].count(None) >= 10
+    for r in base_ok:
+        if r["lang"] is None:
+            assert r[-1]["char_distance"] is None and r[-1]["kept"]
+        elif r["lang"] == "ru":
+            assert r[-1]["kept"] == ("#" not in r["text"])
+    # joined by shuffle, and without a language column
+    again = q.judge(d, q.saved(q.reference_rows(d)), broadcast_rows=0).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    assert all(r[-1]["char_distance"] is None for r in q.quality_rules(d.drop("lang")).collect())
