@@ -13,6 +13,9 @@ of its own.  Over the m pages that have a node:
 Branches below ``least`` composite importance on at least ``least_pages`` different pages are
 noise and are removed from each page.  Besides, elements that say what they are (nav, footer,
 aside, form, role and class names of menus, adverts, notices, comments ...) are always removed.
+Inside an article or main element, a name counts if it is a noise name as a whole or has a strong
+one as a part (class names, and ids but of sections); one that only has a weak one as a part
+leaves the decision to the importance.  Ids of headings repeat their words and never count.
 Where a page has an article (or else a main) element, only that is read, and its plain
 paragraphs and headings stay whatever their importance, since articles may repeat.
 
@@ -55,6 +58,7 @@ NOISE_NAMES = frozenset("nav navbar navigation menu menubar breadcrumb breadcrum
 # names that mark noise wherever they stand; other names may only describe the layout of what they wrap
 STRONG_NAMES = frozenset("comment comments disqus respond reply replies ad ads advert adverts advertisement advertising promo promotion sponsor sponsored "
                          "related recommended cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MODIFIER = re.compile(r"^(has|with|no|without|is|js)[-_]")
 # an element of the key closes open elements of the value, up to their parent
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -112,25 +116,36 @@ def parse(page: str) -> Node:
                 if t in STOPS:
                     break
         up = open_[-1]
-        names, role = set(), ""
+        names, whole, slug, role = set(), set(), set(), ""
         label = tag
         if m[3] and ("class" in m[3] or "id" in m[3] or "role" in m[3] or "CLASS" in m[3] or "ID" in m[3]):
             for name, value in ATTRIBUTE.findall(m[3]):
                 name, value = name.lower(), value.strip("\"'").lower()
                 if name in ("class", "id"):
-                    names.update(x for part in value.split() if not MODIFIER.match(part) for x in NAME_PART.findall(part))
+                    if name == "id" and tag in HEADINGS:
+                        continue  # repeats the heading's words
+                    own = [part for part in value.split() if not MODIFIER.match(part)]
+                    whole.update(own)
+                    (slug if name == "id" and tag == "section" else names).update(x for part in own for x in NAME_PART.findall(part))
                     if name == "class" and value:
                         label = f"{tag}.{'.'.join(sorted(value.split()))}"
                 elif name == "role":
                     role = value
         inside = up.inside or tag in ("article", "main")
+        weak = False
         if tag in ("article", "main"):
             noise, soft = tag == "article" and bool(names & STRONG_NAMES), False
         else:
+            if up.inside:  # there, a part of a name is only a hint, and the node's importance decides
+                sure = whole & NOISE_NAMES | names & STRONG_NAMES
+                weak = bool(names & NOISE_NAMES) and not sure
+                names = sure
+            else:
+                names |= slug
             named = bool(names & NOISE_NAMES) and tag not in ("html", "body")
             noise = tag in NOISE_TAGS or tag == "header" and not up.inside or role in NOISE_ROLES or named
             soft = noise and not names & STRONG_NAMES and (tag == "form" or tag not in NOISE_TAGS and tag != "header" and role not in NOISE_ROLES)
-        node = Node(tag, f"{up.path}/{label}", noise, soft, tag in PLAIN and label == tag, inside)
+        node = Node(tag, f"{up.path}/{label}", noise, soft, tag in PLAIN and label == tag and not weak, inside)
         if tag in ("article", "main") and not noise:
             for n in open_:
                 n.noise = n.noise and not n.soft

@@ -75,6 +75,19 @@ def test_layout_names_and_comments(spark):
     assert got == {1: "Body", 2: "Title\nText", 3: "Real", 4: "Plain page"}
 
 
+def test_names_inside_articles_that_only_contain_a_noise_word(spark):
+    page = """<article><header class='entry-header'><h1>Title</h1></header><h2 class='section-header'>Part</h2><div class='article-header'>Head</div>
+    <h2 id='search-trees'>Search trees</h2><h3 id='copyright'>Copyright</h3><section id='related-work'><p>Work</p></section>
+    <div id='legal-notice'>Law</div><div class='ad'>Buy</div><div class='post-comments'>Nice</div><section id='comments'>More</section></article>"""
+    # a weak name is noise where its text is the same on all pages of the host
+    rows = [(0, "http://one.example/", page)] + [
+        (i, f"http://s.example/{i}", f"<article><p>Body {i}</p><div id='legal-notice' class='page-notice'>All rights</div></article>") for i in range(1, 12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in st.extract(df).collect()}
+    assert got.pop(0) == "Title\nPart\nHead\nSearch trees\nCopyright\nWork\nLaw"
+    assert got == {i: f"Body {i}" for i in range(1, 12)}
+
+
 def test_odd_rows(odd_pages, no_pages):
     rows = st.extract(odd_pages).collect()
     assert len(rows) == odd_pages.count() and all(r["text"] is not None for r in rows)
