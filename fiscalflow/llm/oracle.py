@@ -30,3 +30,17 @@ SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, {_DIGITS} AS payload
   CASE WHEN page_id IS DISTINCT FROM f AND f IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id IS DISTINCT FROM f THEN f END AS refers_to
 FROM p"""
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE_SQL["op13_ranked_search"] = f"""
+WITH docs AS (SELECT * FROM (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS t FROM documents) WHERE len(t) > 0),
+  items AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+  tfs AS (SELECT rid, term, COUNT(*) AS tf FROM (SELECT rid, unnest(t) AS term FROM docs) WHERE term IN (SELECT term FROM items) GROUP BY rid, term),
+  size AS (SELECT COUNT(*) AS big_n, CAST(SUM(len(t)) AS BIGINT) AS big_l FROM docs),
+  weights AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * COUNT(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tfs, size GROUP BY term, big_n),
+  lengths AS (SELECT rid, doc_id, 100 - 50 + (50 * len(t) * big_n) // big_l AS m FROM docs, size),
+  scores AS (SELECT item_id, rid, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+    FROM items JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (rid) GROUP BY item_id, rid),
+  ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scores JOIN lengths USING (rid) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fiscalflow.llm import (
     brown_lm,
     decontam,
+    fp_tree_search,
     license_scan,
     mixing,
     quality_js,
@@ -77,6 +78,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "__quality.*")
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_tree_search.rank_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_sharding": op2_sharding,
@@ -88,4 +93,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op13_ranked_search": op13_ranked_search,
 }
