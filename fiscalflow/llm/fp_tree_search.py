@@ -95,7 +95,7 @@ class Tree:
         pick = np.repeat(offsets[:-1][seat] - self.offsets[:-1], self.size) + np.arange(self.offsets[-1])
         self.terms, self.tfs, self.path = terms[order][pick], tfs[order][pick].astype(np.int64), path[pick].astype(np.int64)
         self.doc, self.m = doc[seat], m[seat]
-        self.m_entry = np.repeat(self.m, self.size)
+        self.parts = gain(self.tfs, np.repeat(self.m, self.size))
         self.grow(leaf)
         self.bound(len(rank))
 
@@ -194,9 +194,9 @@ class Best:
         self.score, self.doc, self.null = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
 
     def add(self, score: np.ndarray, doc: np.ndarray, null: np.ndarray) -> None:
-        on = score >= self.least
-        if not on.any():
+        if score.max() < self.least:
             return
+        on = score >= self.least
         score, doc, null = (np.concatenate(x) for x in ((self.score, score[on]), (self.doc, doc[on]), (self.null, null[on])))
         first = np.lexsort((doc, null, -score))[:self.k]
         self.score, self.doc, self.null = score[first], doc[first], null[first]
@@ -227,7 +227,7 @@ def search(tree: Tree, null: np.ndarray, terms: np.ndarray, weights: np.ndarray,
         x, y = tree.offsets[a], tree.offsets[b]
         w = dense[tree.terms[x:y]]
         part = np.zeros(y - x + 1, np.int64)
-        np.cumsum(w * gain(tree.tfs[x:y], tree.m_entry[x:y]), out=part[1:])
+        np.cumsum(w * tree.parts[x:y], out=part[1:])
         at = tree.offsets[a:b + 1] - x
         best.add(part[at[1:]] - part[at[:-1]], tree.doc[a:b], null[a:b])
     dense[terms] = 0
