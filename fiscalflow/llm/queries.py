@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fiscalflow.llm import (
     brown_lm,
+    collocations,
     decontam,
     fp_tree_search,
     license_scan,
@@ -78,6 +79,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "__quality.*")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents")).drop("first_doc", "first_byte")
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fp_tree_search.rank_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -93,5 +98,6 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
     "op13_ranked_search": op13_ranked_search,
 }
