@@ -18,7 +18,7 @@ for module in (suffix_dedup, sys.modules[__name__]):  # executors may not have t
     cloudpickle.register_pickle_by_value(module)
 
 # bytes of text that are held as arrays at once; a longer text is held alone
-TEXT_BYTES = 3 << 20
+TEXT_BYTES = 2 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

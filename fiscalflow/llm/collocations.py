@@ -1,8 +1,9 @@
 """Phrase collocations by Rabin-Karp fingerprints of n-grams.
 
 1. Fingerprints.  Prefix polynomials over bytes hash every word, prefix polynomials over the words of a
-   piece hash every n-gram of 1 to ``max_words`` words.  A task counts fingerprints of a few
-   million n-grams by sorting, and a shuffle of (fingerprint, count) adds them up.
+   piece hash every n-gram of 1 to ``max_words`` words.  A task counts fingerprints of ``hold``
+   n-grams by sorting.  They are dealt by hash to parts, a row a part with its fingerprints and counts as arrays;
+   the number of parts follows the size of all texts, so that a part stays as small at any size.
 2. Frequent ones.  Fingerprints counted ``least`` times or more set a bit each in a table of
    ``filter_bits`` bits, the only thing that is broadcast.  A table that gets full lets rarer n-grams
    through to step 3, where they cost a shuffle and nothing else; set more bits for more text.
@@ -26,11 +27,13 @@ doc_id is no pointer; of a repeated doc_id the byte is that of one of its rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,35 +56,59 @@ def fingerprints(words: Words, langs: list[str], max_words: int, bits: int) -> I
     for n in range(1, min(max_words, m) + 1):
         first = np.flatnonzero((words.piece[n - 1:] == words.piece[:m - n + 1]) & (words.doc[n - 1:] == words.doc[:m - n + 1]))
         h = scrambled((sums[first + n] - sums[first]) * up[first] + seed[first] + U(n))
-        yield n, first, h >> U(64 - bits)
+        yield n, first, h if bits == 64 else scrambled(h >> U(64 - bits))
 
 
-def counted(h: np.ndarray) -> pa.RecordBatch:
-    fp, c = np.unique(h, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(c)], names=["fp", "c"])
+def seat(h: np.ndarray, parts: int) -> np.ndarray:
+    """The counted form of fingerprints: the part in the upper, half of the fingerprint in the lower 32 bits."""
+    return ((h >> U(32)) * U(parts) >> U(32)) << U(32) | h & U(0xFFFFFFFF)
 
 
-def fingerprint_counts(docs: DataFrame, max_words: int, bits: int, hold: int) -> DataFrame:
-    """(fp, c) of every n-gram; ``docs``: doc, lang, text."""
+def slot(seats: np.ndarray, filter_bits: int) -> np.ndarray:
+    """The bit of a counted fingerprint."""
+    return (scrambled(seats) & U(filter_bits - 1)).astype(np.int64)
+
+
+def counted(h: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row for each part: its fingerprints in order, and their counts."""
+    s, c = np.unique(seat(h, parts), return_counts=True)
+    part = (s >> U(32)).astype(np.int32)
+    cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    offsets = pa.array(np.concatenate((cut, [len(s)])).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (s.astype(np.uint32).view(np.int32), c)]
+    return pa.RecordBatch.from_arrays([pa.array(part[cut]), *lists], names=["part", "fps", "counts"])
+
+
+def frequent_bits(docs: DataFrame, max_words: int, least: int, bits: int, hold: int, parts: int, filter_bits: int) -> DataFrame:
+    """bit: of every fingerprint that is counted ``least`` times; ``docs``: doc, lang, text."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for b in chunks(it):
             for _, _, h in fingerprints(split(b.column("text"), TABLE), b.column("lang").to_pylist(), max_words, bits):
                 held.append(h)
                 n += len(h)
-            if n >= hold:
-                yield counted(np.concatenate(held))
-                held, n = [], 0
+                if n >= hold:
+                    yield counted(np.concatenate(held), parts)
+                    held, n = [], 0
         if n:
-            yield counted(np.concatenate(held))
+            yield counted(np.concatenate(held), parts)
+
+    def add(group: pa.Table) -> pa.Table:
+        fps = group["fps"].combine_chunks().flatten().to_numpy().view(np.uint32)
+        counts = group["counts"].combine_chunks().flatten().to_numpy()
+        order = np.argsort(fps, kind="stable")
+        fps, counts = fps[order], counts[order]
+        head = np.flatnonzero(np.concatenate(([True], fps[1:] != fps[:-1])))
+        often = fps[head[np.add.reduceat(counts, head, dtype=np.int64) >= least]]
+        return pa.table({"bit": slot(U(group["part"][0].as_py()) << U(32) | often.astype(U), filter_bits)})
 
-    return batches(docs, run, "fp long, c long").groupBy("fp").agg(F.sum("c").alias("c"))
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    return batches(docs, run, "part int, fps array<int>, counts array<int>").groupBy("part").applyInArrow(add, "bit long")
 
 
-def bit_table(fps: DataFrame, filter_bits: int) -> np.ndarray:
-    """The table in which the last bits of each fingerprint are set; filter_bits / 8 bytes on the driver."""
-    bit = F.col("fp").bitwiseAND(filter_bits - 1)
-    parts = (fps.groupBy(F.shiftright(bit, 15).alias("part")).agg(F.bitmap_construct_agg(bit.bitwiseAND(BLOCK - 1)).alias("bits")))
+def bit_table(bits: DataFrame, filter_bits: int) -> np.ndarray:
+    """The table in which each ``bit`` is set; filter_bits / 8 bytes on the driver."""
+    parts = bits.groupBy(F.shiftright("bit", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(BLOCK - 1)).alias("bits"))
     out = np.zeros((filter_bits // BLOCK, BLOCK // 8), np.uint8)
     for r in parts.toLocalIterator():
         out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
@@ -107,9 +134,9 @@ def exact_groups(words: Words, lang: np.ndarray, n: int, first: np.ndarray, h: n
 ROW = "lang string, phrase binary, words int, c long, doc long, at long"
 
 
-def phrase_counts(docs: DataFrame, table: np.ndarray, max_words: int, bits: int) -> DataFrame:
+def phrase_counts(docs: DataFrame, table: np.ndarray, max_words: int, bits: int, parts: int) -> DataFrame:
     """(lang, phrase, words, c, doc, at) of every n-gram whose bit is set, and the sum of words (words: 0) of every lang."""
-    mask = U(len(table) * 8 - 1)
+    filter_bits = len(table) * 8
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,8 +153,8 @@ def phrase_counts(docs: DataFrame, table: np.ndarray, max_words: int, bits: int)
             yield rows_of(pa.array(names), pa.array([b""] * len(names), pa.binary()), 0, total, pa.nulls(len(names), pa.int64()), np.zeros(len(names), np.int64))
             number = numbered(w)
             for n, first, h in fingerprints(w, langs, max_words, bits):
-                bit = h & mask
-                on = (shared.value[(bit >> U(3)).astype(np.int64)] >> (bit & U(7)).astype(np.uint8)) & 1 == 1
+                bit = slot(seat(h, parts), filter_bits)
+                on = (shared.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
                 for head, c in exact_groups(w, lang, n, first[on], h[on], number):
                     doc = w.doc[head]
                     yield rows_of(pa.array(names).take(pa.array(lang[doc])), w.slices(head, head + n - 1), n, c, b.column("doc").take(pa.array(doc)), w.at[head])
@@ -169,16 +196,18 @@ def uncovered(candidates: DataFrame, counts: DataFrame, covered: int) -> DataFra
 
 
 def mine(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_words: int = 3, least: int = 10, top: int = 2000,
-         covered: int = 50, filter_bits: int = 1 << 26, hold: int = 6_000_000, bits: int = 64) -> DataFrame:
+         covered: int = 50, filter_bits: int = 1 << 26, hold: int = 2_000_000, part_bytes: int = 4 << 20, bits: int = 64) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score, first_doc, first_byte: the ``top`` phrases of 2 to ``max_words`` words of every lang.
 
-    ``filter_bits``: a power of two, at least 2**15; ``bits``: of a fingerprint (fewer only make collisions).
+    ``filter_bits``: a power of two, at least 2**15; ``part_bytes``: text whose fingerprints are counted together;
+    ``bits``: of a fingerprint (fewer only make collisions).
     """
     d = docs.select(F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                     F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    often = fingerprint_counts(d, max_words, bits, hold).where(F.col("c") >= least)
-    table = bit_table(often, filter_bits)
-    counts = saved(phrase_counts(d, table, max_words, bits).where((F.col("words") == 0) | (F.col("c") >= least)))
+    size = d.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(64, -(-size // part_bytes))
+    table = bit_table(frequent_bits(d, max_words, least, bits, hold, parts, filter_bits), filter_bits)
+    counts = saved(phrase_counts(d, table, max_words, bits, parts).where((F.col("words") == 0) | (F.col("c") >= least)))
     totals = saved(counts.where("words = 0").select("lang", F.col("c").alias("n")))
     out = uncovered(scored(counts), counts, covered)
     first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))

@@ -50,10 +50,10 @@ WITH texts AS (SELECT COALESCE(lang, 'und') AS lang, translate(COALESCE(text, ''
   pieces AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM texts),
   totals AS (SELECT lang, CAST(SUM(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
   grams AS (SELECT lang, w[i:i + k - 1] AS p FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) AS t(k))),
-  f AS (SELECT lang, p, COUNT(*) AS a FROM grams GROUP BY lang, p HAVING COUNT(*) >= 10),
+  f AS MATERIALIZED (SELECT lang, p, COUNT(*) AS a FROM grams GROUP BY lang, p HAVING COUNT(*) >= 10),
+  cut AS MATERIALIZED (SELECT lang, p, a, k, p[1:k] AS p1, p[k + 1:] AS p2 FROM f, (VALUES (1), (2)) AS t(k) WHERE k < len(p)),
   cuts AS (SELECT c.lang, c.p, c.a, k, l.a AS l, r.a AS r, (1000000 * c.a::HUGEINT * c.a) // (l.a::HUGEINT * r.a) AS score
-    FROM f c, (VALUES (1), (2)) AS t(k), f l, f r
-    WHERE k < len(c.p) AND l.lang = c.lang AND l.p = c.p[1:k] AND r.lang = c.lang AND r.p = c.p[k + 1:]),
+    FROM cut c JOIN f l ON l.lang = c.lang AND l.p = p1 JOIN f r ON r.lang = c.lang AND r.p = p2),
   best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
   longer AS (SELECT lang, p, MAX(a) AS most FROM (SELECT lang, unnest([p[1:2], p[2:3]]) AS p, a FROM f WHERE len(p) = 3) GROUP BY lang, p),
   kept AS (SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM best b LEFT JOIN longer USING (lang, p) WHERE most IS NULL OR 100 * most < 50 * b.a),

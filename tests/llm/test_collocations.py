@@ -61,7 +61,7 @@ def frame(spark, docs):
 def test_brute_force(spark, max_words, bits, top):
     """Also with fingerprints of so few bits that all collide, and a filter that is full."""
     docs = texts(max_words + bits)
-    got = op.mine(frame(spark, docs), max_words=max_words, bits=bits, top=top, filter_bits=1 << 15, hold=1000)
+    got = op.mine(frame(spark, docs), max_words=max_words, bits=bits, top=top, filter_bits=1 << 15, hold=1000, part_bytes=500)
     assert rows(got) == brute(docs, max_words, top=top)
 
 
