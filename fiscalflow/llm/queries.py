@@ -17,6 +17,7 @@ from fiscalflow.llm import (
     simhash_vp,
     site_style_tree,
     suffix_dedup,
+    toxic_crf,
     warc,
 )
 from fiscalflow.llm.oracle import ORACLE_SQL  # noqa: F401
@@ -83,6 +84,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents")).drop("first_doc", "first_byte")
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxic_crf.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fp_tree_search.rank_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -99,5 +105,6 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
     "op11_collocations": op11_collocations,
+    "op12_toxicity": op12_toxicity,
     "op13_ranked_search": op13_ranked_search,
 }
