@@ -303,8 +303,15 @@ ORACLE_SQL["report_job"] = " UNION ALL ".join("(" + _PLACED.format(*x) + ")" for
     ("resultado_faturamento_emitente", "valor_total_nf DESC, cnpj_emitente", "cnpj_emitente", ORACLE_SQL["faturamento_emitente"]),
     ("resultado_produtos_mais_vendidos", "quantidade_total DESC, codigo_produto, descricao_produto, unidade", "codigo_produto",
      ORACLE_SQL["produtos_mais_vendidos"]),
+    ("resultado_tributos_por_nota", "valor_total_tributos DESC, chave_nfe", "chave_nfe", ORACLE_SQL["tributos_por_nota"]),
     ("resultado_valor_medio_mensal", "ano_mes", "ano_mes", ORACLE_SQL["valor_medio_mensal"])))
 
+ORACLE_SQL["report_ranks"] = f"""
+SELECT chave_nfe, valor_total_tributos, rank() OVER (ORDER BY valor_total_tributos DESC) AS posto,
+  dense_rank() OVER (ORDER BY valor_total_tributos DESC) AS posto_denso,
+  row_number() OVER (ORDER BY valor_total_tributos DESC, chave_nfe) AS lugar
+FROM ({ORACLE_SQL['tributos_por_nota']})"""
+
 ORACLE_SQL["ctas_and_drop"] = "SELECT n_nationkey + 100 AS n_nationkey, n_name FROM nation"
 
 ORACLE_SQL["xml_files_ingest"] = notas_cte(False, True) + f"""

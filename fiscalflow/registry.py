@@ -10,10 +10,10 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import normalize, quality, records, reports
+from .operators import normalize, quality, ranking, records, reports
 from .plans import catalog, pipeline
 from .schemas import ITEM_PATH_SCHEMA, XML_CHECK_SCHEMA, XML_ITEM_SCHEMA, XML_PROTOCOL_SCHEMA
 from .session import checkpoint_dir, remove_folder
@@ -299,21 +299,26 @@ def q_persisted_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of four saved result tables in their order: a row number and the first column."""
+    """The rows of the five saved result tables in their order: a row number and the first column."""
     def result(db: str) -> DataFrame:
         parts = []
-        for table, order in reports.REPORT_ORDER.items():
-            if table == "resultado_tributos_por_nota":
-                continue  # one row a note: its order is a distributed sort, not a numbering
-            df = catalog.read_table(spark, table, db)
-            by = Window.orderBy(*[F.col(c).desc() if d else F.col(c).asc() for c, d in order])
-            parts.append(df.select(F.lit(table).alias("table_name"), F.row_number().over(by).cast("long").alias("place"),
-                                   F.col(df.columns[0]).alias("name")))
+        for table in reports.REPORT_ORDER:
+            df = pipeline.read_report_places(spark, table, db)
+            parts.append(df.select(F.lit(table).alias("table_name"), "place", F.col(df.columns[0]).alias("name")))
         return reduce(DataFrame.union, parts)
 
     return _persisted(spark, sf_dir, False, result, reports_too=True)
 
 
+def q_report_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1, O2: rank and dense rank of every note by its tax, ties included, and its row number by tax and key."""
+    t = _tables(spark, sf_dir)
+    notas = _kept(reports.tributos_por_nota(star.notas(t), sort=False).select("chave_nfe", "valor_total_tributos"))
+    by = (("valor_total_tributos", True),)
+    out = ranking.ranked(ranking.ranked(notas, by, "posto"), by, "posto_denso", dense=True)
+    return ranking.numbered(out, (*by, ("chave_nfe", False)), "lugar")
+
+
 def q_ctas_and_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Saved, dropped, created by CTAS and overwritten from itself."""
     t = _tables(spark, sf_dir)
@@ -434,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "persisted_itens": q_persisted_itens,
     "persisted_rejects": q_persisted_rejects,
     "report_job": q_report_job,
+    "report_ranks": q_report_ranks,
     "ctas_and_drop": q_ctas_and_drop,
     "xml_files_ingest": q_xml_files_ingest,
     "stream_persist_rejects": q_stream_persist_rejects,
