@@ -9,9 +9,10 @@
    through to step 3, where they cost a shuffle and nothing else; set more bits for more text.
 3. Verification.  A second pass looks only at n-grams whose bit is set.  Those of one fingerprint in a
    task are compared with its first occurrence word by word (by exact word numbers); what differs is a
-   group of its own.  Each group becomes a row: the phrase as text, its count, and a pointer to
-   its first occurrence (document, byte).  Rows are added up by text, so that counts are exact
-   whatever collides: a phrase that occurs ``least`` times can't have a rarer fingerprint.
+   group of its own.  Each group has the phrase as text, its count, and a pointer to its first
+   occurrence (document, byte); a task adds them up and writes a row for each lang and part, phrases in order.  Parts
+   are added up by text, so that counts are exact whatever collides: a phrase that occurs ``least`` times
+   can't have a rarer fingerprint.
 4. Scores.  Each candidate is cut after each of its words, the parts' counts are joined (parts are at
    least as frequent), and the lowest score is kept.  Candidates inside a longer one that
    accounts for ``covered`` percent of them are dropped.  Arithmetic is decimal, so it is exact.
@@ -29,9 +30,11 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
@@ -115,8 +118,8 @@ def bit_table(bits: DataFrame, filter_bits: int) -> np.ndarray:
     return out.ravel()
 
 
-def exact_groups(words: Words, lang: np.ndarray, n: int, first: np.ndarray, h: np.ndarray, number: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(first words of the first occurrences, counts) of n-grams that are equal in lang and all words."""
+def exact_groups(words: Words, lang: np.ndarray, n: int, first: np.ndarray, h: np.ndarray, number: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(first words of the first occurrences, counts, fingerprints) of n-grams that are equal in lang and all words."""
     while len(first):
         order = np.argsort(h, kind="stable")
         first, h = first[order], h[order]
@@ -127,45 +130,112 @@ def exact_groups(words: Words, lang: np.ndarray, n: int, first: np.ndarray, h: n
         same = lang[words.doc[first]] == lang[words.doc[rep]]
         for j in range(n):
             same &= number[first + j] == number[rep + j]
-        yield first[head], np.bincount(group[same], minlength=len(head))
+        yield first[head], np.bincount(group[same], minlength=len(head)), h[head]
         first, h = first[~same], h[~same]
 
 
-ROW = "lang string, phrase binary, words int, c long, doc long, at long"
-
-
-def phrase_counts(docs: DataFrame, table: np.ndarray, max_words: int, bits: int, parts: int) -> DataFrame:
-    """(lang, phrase, words, c, doc, at) of every n-gram whose bit is set, and the sum of words (words: 0) of every lang."""
+NO_DOC = np.iinfo(np.int64).max
+PACKED = "lang string, part int, phrases binary, counts array<bigint>, docs array<bigint>, ats array<bigint>"
+
+
+@dataclass
+class Found:
+    """Phrases of one lang with their part, count and first occurrence (document, byte)."""
+    phrase: pa.Array
+    part: np.ndarray
+    c: np.ndarray
+    doc: np.ndarray
+    at: np.ndarray
+
+    def added(self) -> Found:
+        """Each phrase once."""
+        coded = self.phrase.dictionary_encode()
+        code = coded.indices.to_numpy()
+        order = np.lexsort((self.at, self.doc, code))
+        code = code[order]
+        head = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))[:len(code)]
+        c = np.add.reduceat(self.c[order], head) if len(head) else self.c
+        first = order[head]
+        return Found(coded.dictionary, self.part[first], c, self.doc[first], self.at[first])
+
+    @staticmethod
+    def of(all_of: list[Found]) -> Found:
+        return Found(pa.concat_arrays([x.phrase for x in all_of]), *(np.concatenate([getattr(x, k) for x in all_of]) for k in ("part", "c", "doc", "at")))
+
+    def packed(self, lang: str) -> pa.RecordBatch:
+        """A row for each part; phrases in order, joined by line feeds, which no phrase has."""
+        order = pc.sort_indices(pa.table({"part": self.part, "phrase": self.phrase}), [("part", "ascending"), ("phrase", "ascending")]).to_numpy()
+        phrase, part = self.phrase.take(pa.array(order)).to_pylist(), self.part[order]
+        cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        offsets = np.concatenate((cut, [len(part)])).astype(np.int32)
+        blobs = [b"\n".join(phrase[x:y]) for x, y in zip(offsets[:-1], offsets[1:])]
+        lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x[order])) for x in (self.c, self.doc, self.at)]
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(cut)), pa.array(part[cut].astype(np.int32)), pa.array(blobs, pa.binary()), *lists],
+                                          names=["lang", "part", "phrases", "counts", "docs", "ats"])
+
+
+def phrase_counts(docs: DataFrame, table: np.ndarray, max_words: int, bits: int, parts: int, least: int, hold: int) -> DataFrame:
+    """(lang, phrase, words, c, doc, at) of every n-gram whose bit is set and that is counted ``least`` times,
+    and the number of words (words: 0) of every lang.
+
+    A task adds up the phrases of about ``hold`` n-grams before it writes them.
+    """
     filter_bits = len(table) * 8
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
+    def found(b: pa.RecordBatch) -> Iterator[tuple[str, Found]]:
+        # so that the first occurrence is that of the least document
+        b = b.sort_by("doc") if len(b) > 1 else b
+        docs = b.column("doc").fill_null(NO_DOC).to_numpy()
+        langs = b.column("lang").to_pylist()
+        names = sorted(set(langs))
+        number_of = {x: i for i, x in enumerate(names)}
+        lang = np.array([number_of[x] for x in langs])
+        w = split(b.column("text"), TABLE)
+        if not len(w):
+            return
+        for i, c in enumerate(np.bincount(lang[w.doc], minlength=len(names))):
+            yield names[i], Found(pa.array([b""], pa.binary()), np.zeros(1, np.int64), np.array([c]), np.array([NO_DOC]), np.zeros(1, np.int64))
+        number = numbered(w)
+        for n, first, h in fingerprints(w, langs, max_words, bits):
+            s = seat(h, parts)
+            bit = slot(s, filter_bits)
+            on = (shared.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+            for head, c, of in exact_groups(w, lang, n, first[on], s[on], number):
+                mine = lang[w.doc[head]]
+                for i in np.unique(mine).tolist():
+                    x = head[mine == i]
+                    yield names[i], Found(w.slices(x, x + n - 1), (of[mine == i] >> U(32)).astype(np.int64), c[mine == i], docs[w.doc[x]], w.at[x])
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[Found]] = {}
+        n = 0
         for b in chunks(it):
-            # so that the first occurrence is that of the least document
-            b = b.sort_by("doc") if len(b) > 1 else b
-            langs = b.column("lang").to_pylist()
-            names = sorted(set(langs))
-            lang = np.array([names.index(x) for x in langs])
-            w = split(b.column("text"), TABLE)
-            if not len(w):
-                continue
-            total = np.bincount(lang[w.doc], minlength=len(names))
-            yield rows_of(pa.array(names), pa.array([b""] * len(names), pa.binary()), 0, total, pa.nulls(len(names), pa.int64()), np.zeros(len(names), np.int64))
-            number = numbered(w)
-            for n, first, h in fingerprints(w, langs, max_words, bits):
-                bit = slot(seat(h, parts), filter_bits)
-                on = (shared.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-                for head, c in exact_groups(w, lang, n, first[on], h[on], number):
-                    doc = w.doc[head]
-                    yield rows_of(pa.array(names).take(pa.array(lang[doc])), w.slices(head, head + n - 1), n, c, b.column("doc").take(pa.array(doc)), w.at[head])
-
-    def rows_of(lang, phrase, n, c, doc, at) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([lang, phrase, pa.array(np.full(len(c), n, np.int32)), pa.array(c.astype(np.int64)), doc, pa.array(at.astype(np.int64))],
-                                          names=["lang", "phrase", "words", "c", "doc", "at"])
-
-    return (batches(docs, run, ROW).groupBy("lang", "phrase", "words")
-            .agg(F.sum("c").alias("c"), F.min("doc").alias("doc"), F.min_by("at", "doc").alias("at"))
-            .withColumn("phrase", F.col("phrase").cast("string")))
+            for lang, x in found(b):
+                held.setdefault(lang, []).append(x)
+                n += len(x.c)
+            if n >= hold:
+                held = {k: [Found.of(x).added()] for k, x in held.items()}
+                n = sum(len(x[0].c) for x in held.values())
+                if 2 * n >= hold:
+                    yield from (x[0].packed(k) for k, x in held.items())
+                    held, n = {}, 0
+        yield from (Found.of(x).added().packed(k) for k, x in held.items())
+
+    def add(key: tuple, group: pa.Table) -> pa.Table:
+        blobs = group["phrases"].to_pylist()
+        phrase = pa.array(b"\n".join(blobs).split(b"\n"), pa.binary())
+        c, doc, at = (group[k].combine_chunks().flatten().to_numpy() for k in ("counts", "docs", "ats"))
+        x = Found(phrase, np.zeros(len(c), np.int64), c, doc, at).added()
+        on = (x.c >= least) | (pc.binary_length(x.phrase).to_numpy(zero_copy_only=False) == 0)
+        phrase = x.phrase.filter(pa.array(on))
+        return pa.table({"lang": pa.array([key[0].as_py()] * len(phrase), pa.string()), "phrase": phrase, "c": x.c[on],
+                         "doc": pa.array(x.doc[on], mask=x.doc[on] == NO_DOC), "at": x.at[on]})
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    out = batches(docs, run, PACKED).groupBy("lang", "part").applyInArrow(add, "lang string, phrase binary, c long, doc long, at long")
+    phrase = F.col("phrase").cast("string")
+    return out.select("lang", phrase.alias("phrase"), F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " "))).alias("words"), "c", "doc", "at")
 
 
 def scored(counts: DataFrame) -> DataFrame:
@@ -207,7 +277,7 @@ def mine(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     size = d.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(64, -(-size // part_bytes))
     table = bit_table(frequent_bits(d, max_words, least, bits, hold, parts, filter_bits), filter_bits)
-    counts = saved(phrase_counts(d, table, max_words, bits, parts).where((F.col("words") == 0) | (F.col("c") >= least)))
+    counts = saved(phrase_counts(d, table, max_words, bits, parts, least, hold // 2))
     totals = saved(counts.where("words = 0").select("lang", F.col("c").alias("n")))
     out = uncovered(scored(counts), counts, covered)
     first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
