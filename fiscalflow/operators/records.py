@@ -85,14 +85,14 @@ def reject_reason(doc: Column, corrupt: Column) -> Column:
     )
 
 
-def to_messages(records: DataFrame, record: str = RECORD) -> DataFrame:
-    """``(key = chNFe, value = JSON text)`` per record.
+def to_messages(records: DataFrame, record: str = RECORD, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(key = chNFe, value = JSON text)`` and the columns ``keep`` per record.
 
     ``to_json`` keeps non-ASCII text as UTF-8 and drops NULL fields, which is how an
     item without ``imposto`` loses its ``vTotTrib`` key (N10, N18).
     """
     r = F.col(record)
-    return records.select(r.getField("chNFe").alias("key"), F.to_json(r).alias("value"))
+    return records.select(r.getField("chNFe").alias("key"), F.to_json(r).alias("value"), *keep)
 
 
 # --- record -> XML document (the XML sink; inverse of document_to_record) ---------------

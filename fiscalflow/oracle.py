@@ -270,6 +270,12 @@ FROM notas WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
 ORACLE_SQL["republish_latest"] = notas_cte(False, True) + """
 SELECT chNFe, total_vNF, CAST(2 AS BIGINT) AS batch FROM notas"""
 
+ORACLE_SQL["topic_snapshots"] = notas_cte(False, True) + """
+SELECT chNFe AS key, CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS snapshot, true AS gapless FROM notas WHERE o_orderstatus IN ('F', 'O')"""
+
+ORACLE_SQL["binary_messages"] = notas_cte(False, True) + """
+SELECT chNFe, ide_nNF, emit_UF, emit_xNome, total_vNF FROM notas"""
+
 ORACLE_SQL["persisted_notas_por_uf"] = ORACLE_SQL["notas_por_uf"]
 
 ORACLE_SQL["incremental_persist_latest"] = notas_cte(True, True) + """
@@ -322,3 +328,30 @@ ORACLE_SQL["stream_persist_rejects"] = notas_cte(False, True) + f"""
 SELECT chNFe AS key, 'note' AS outcome FROM notas WHERE {_GOOD}
 UNION ALL SELECT chNFe, 'item' FROM notas JOIN lineitem ON l_orderkey = o_orderkey WHERE {_GOOD}
 UNION ALL SELECT 'order ' || o_orderkey, {_MESSAGE_REASON} FROM notas, (VALUES (1), (2)) AS batches(b) WHERE NOT ({_GOOD})"""
+
+
+def _long(report: str, group: str, values: tuple[str, ...], sql: str) -> str:
+    cells = ", ".join(f"CAST({v} AS DOUBLE) AS v{i}" for i, v in enumerate(values))
+    return f"SELECT '{report}' AS report, concat_ws('|', {group}) AS grp, {cells} FROM ({sql})"
+
+
+def _body(name: str) -> str:
+    """The report's SELECT alone."""
+    sql = ORACLE_SQL[name]
+    return sql[sql.rindex("\nSELECT"):]
+
+
+# invoices of status P have another state, a higher value and no items
+_REPLACED = notas_cte(True, True, with_itens=True).replace("  notas AS (", "  first_notas AS (").replace("  itens AS (", "  first_itens AS (") + """,
+  notas AS (SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' THEN 'XX' ELSE emit_UF END AS emit_UF,
+    CASE WHEN o_orderstatus = 'P' THEN CAST(CAST(CAST(total_vNF AS VARCHAR) AS DECIMAL(18,2)) + 1 AS DOUBLE) ELSE total_vNF END AS total_vNF) FROM first_notas),
+  itens AS (SELECT i.* FROM first_itens i JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P')
+"""
+ORACLE_SQL["incremental_reports"] = _REPLACED + " UNION ALL ".join((
+    _long("notas_por_uf", "uf_emitente", ("total_notas", "valor_total", "valor_medio", "NULL"), _body("notas_por_uf")),
+    _long("faturamento_emitente", "cnpj_emitente, nome_emitente, fantasia_emitente, uf_emitente",
+          ("total_notas", "valor_produtos", "valor_total_nf", "valor_total_tributos"), _body("faturamento_emitente")),
+    _long("produtos_mais_vendidos", "codigo_produto, descricao_produto, unidade",
+          ("qtd_vendas", "quantidade_total", "valor_total", "preco_medio_unitario"), _body("produtos_mais_vendidos")),
+    _long("tributos_por_nota", "chave_nfe, numero_nf, emitente", ("valor_nota", "valor_icms", "valor_total_tributos", "percentual_tributos"), _body("tributos_por_nota")),
+    _long("valor_medio_mensal", "ano_mes", ("total_notas", "valor_total", "valor_minimo", "valor_maximo"), _body("valor_medio_mensal"))))

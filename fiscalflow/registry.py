@@ -19,8 +19,9 @@ from .schemas import ITEM_PATH_SCHEMA, XML_CHECK_SCHEMA, XML_ITEM_SCHEMA, XML_PR
 from .session import checkpoint_dir, remove_folder
 from .sources import star
 from .sources import xml as xml_source
-from .sources.messages import FileLog
+from .sources.messages import FileLog, normalize_kafka
 from .streaming.incremental import all_rejects, ingest_available, latest_itens, latest_notas, persist_available
+from .streaming.report_state import ReportState
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> star.Tables:
@@ -247,6 +248,37 @@ def q_republish_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
                          .alias("total_vNF"), "batch")
 
 
+def q_topic_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invoices of three order statuses written as three batches; the messages of two snapshots,
+    read between fixed offsets once the third batch is there, and whether their offsets have no gaps."""
+    t = _tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/fiscalflow-log/{uuid.uuid4().hex}"
+    log = FileLog(root)
+    rec = _kept(records.to_messages(star.records(t, with_items=False, extra=("o_orderstatus",)), keep=("o_orderstatus",)))
+    ends = [None]
+    for batch, status in enumerate("FOP"):
+        log.write(rec.where(F.col("o_orderstatus") == status).select("key", "value"), batch=batch)
+        ends.append(log.end_offsets(spark))
+    parts = []
+    for n in (1, 2):
+        rows = log.read(spark, ends[n - 1], ends[n])
+        runs = rows.groupBy("partition").agg((F.max("offset") - F.min("offset") + 1 == F.countDistinct("offset")).alias("gapless"))
+        parts.append(rows.join(runs, "partition").select("key", F.lit(n).alias("snapshot"), "gapless"))
+    out = _kept(parts[0].union(parts[1]))
+    remove_folder(spark, root)
+    return out
+
+
+def q_binary_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic rows with binary key and value, as a broker gives them, cast to text and parsed into header rows."""
+    t = _tables(spark, sf_dir)
+    msgs = records.to_messages(star.records(t, with_items=False))
+    raw = msgs.select(F.encode("key", "UTF-8").alias("key"), F.encode("value", "UTF-8").alias("value"), F.lit("nfe-json").alias("topic"),
+                      F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"), F.current_timestamp().alias("timestamp"))
+    parsed = normalize.parse_messages(normalize_kafka(raw))
+    return normalize.notas(parsed).select("chNFe", "ide_nNF", "emit_UF", "emit_xNome", "total_vNF")
+
+
 def _damaged_messages(t: star.Tables, with_items: bool) -> DataFrame:
     """Invoice messages of all orders, of which some are damaged by order priority:
     1-URGENT: no value; 2-HIGH: text cut after 100 characters; 3-MEDIUM: no key."""
@@ -410,6 +442,45 @@ def q_incremental_persist_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_notas(spark, f"{root}/tables").select("chNFe", "ide_nNF", "emit_UF", "total_vNF", "total_vTotTrib")
 
 
+def q_incremental_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1-E5 incremental: all invoices published, published again, then those of status P published with another state,
+    a higher value and no items; the reports as kept by the state, in long form."""
+    t = _tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/fiscalflow-incremental/{uuid.uuid4().hex}"
+    log, state = FileLog(f"{root}/log"), ReportState(f"{root}/state", buckets=16)
+    rec = _kept(star.records(t, extra=("o_orderstatus",)))
+    r = F.col("nfe")
+    address = r.getField("emit").getField("endereco").withField("UF", F.lit("XX"))
+    higher = (r.getField("total").getField("vNF").cast("decimal(18,2)") + 1).cast("string")
+    changed = (r.withField("emit", r.getField("emit").withField("endereco", address))
+               .withField("total", r.getField("total").withField("vNF", higher))
+               .withField("itens", F.slice(r.getField("itens"), 1, 0)))
+    third = rec.where("o_orderstatus = 'P'").select(changed.alias("nfe"))
+    for batch, some in enumerate((rec, rec, third)):
+        log.write(records.to_messages(some), batch=batch)
+        persist_available(spark, log, f"{root}/tables", f"{root}/checkpoint", state=state)
+    state.compact(spark)
+    parts = []
+    for name, group, values in _LONG_REPORTS:
+        df = state.report(spark, name)
+        parts.append(df.select(F.lit(name).alias("report"), F.concat_ws("|", *group).alias("grp"),
+                               *[(F.col(v) if v else F.lit(None)).cast("double").alias(f"v{i}") for i, v in enumerate(values)]))
+    out = _kept(reduce(DataFrame.union, parts))
+    remove_folder(spark, root)
+    return out
+
+
+# (report, columns of the group, values) of the long form
+_LONG_REPORTS = (
+    ("notas_por_uf", ("uf_emitente",), ("total_notas", "valor_total", "valor_medio", None)),
+    ("faturamento_emitente", ("cnpj_emitente", "nome_emitente", "fantasia_emitente", "uf_emitente"),
+     ("total_notas", "valor_produtos", "valor_total_nf", "valor_total_tributos")),
+    ("produtos_mais_vendidos", ("codigo_produto", "descricao_produto", "unidade"), ("qtd_vendas", "quantidade_total", "valor_total", "preco_medio_unitario")),
+    ("tributos_por_nota", ("chave_nfe", "numero_nf", "emitente"), ("valor_nota", "valor_icms", "valor_total_tributos", "percentual_tributos")),
+    ("valor_medio_mensal", ("ano_mes",), ("total_notas", "valor_total", "valor_minimo", "valor_maximo")),
+)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notas_por_uf": q_notas_por_uf,
     "faturamento_emitente": q_faturamento_emitente,
@@ -433,8 +504,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_available_now": q_stream_available_now,
     "xml_rejects": q_xml_rejects,
     "republish_latest": q_republish_latest,
+    "topic_snapshots": q_topic_snapshots,
+    "binary_messages": q_binary_messages,
     "persisted_notas_por_uf": q_persisted_notas_por_uf,
     "incremental_persist_latest": q_incremental_persist_latest,
+    "incremental_reports": q_incremental_reports,
     "persisted_notas": q_persisted_notas,
     "persisted_itens": q_persisted_itens,
     "persisted_rejects": q_persisted_rejects,
