@@ -122,8 +122,13 @@ def gradient(field: Field, f: np.ndarray, first: np.ndarray, size: np.ndarray, t
 
 def fit(field: Field, f: np.ndarray, first: np.ndarray, size: np.ndarray, tags: np.ndarray, steps: int, penalty: float = 0.02, rate: float = 0.25) -> None:
     """Adam steps over all sentences, in place."""
-    used, compact = np.unique(f, return_inverse=True)
-    compact = compact.reshape(f.shape)
+    seen = np.zeros(len(field.weights), bool)
+    for row in f:
+        seen[row] = True
+    used = np.flatnonzero(seen)
+    place = np.zeros(len(seen), np.int32)
+    place[used] = np.arange(len(used))
+    compact = place[f]
     x = np.concatenate([field.weights[used], field.moves.ravel(), [field.start]])
     m, v = np.zeros(len(x)), np.zeros(len(x))
     for t in range(1, steps + 1):
@@ -277,7 +282,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 5,
-          max_toxic: int = 1000, max_clean: int = 1000, max_bytes: int = 20_000) -> DataFrame:
+          max_toxic: int = 800, max_clean: int = 800, max_bytes: int = 10_000) -> DataFrame:
     """doc_id, held_out, score, predicted, spans (first and end byte, mean marginal) of every document.
 
     ``max_toxic``, ``max_clean``, ``max_bytes``: bounds of the labelled sample that the model is fitted on.
