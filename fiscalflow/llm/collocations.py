@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,14 +73,28 @@ def slot(seats: np.ndarray, filter_bits: int) -> np.ndarray:
     return (scrambled(seats) & U(filter_bits - 1)).astype(np.int64)
 
 
+def packed(*columns: np.ndarray) -> bytes:
+    """Integer columns of one length as compressed bytes; equal high bytes take next to nothing."""
+    flat = np.stack(columns).astype("<i8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(flat).tobytes())
+
+
+def unpacked(data: bytes, columns: int) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(flat.T).view("<i8").reshape(columns, -1)
+
+
 def counted(h: np.ndarray, parts: int) -> pa.RecordBatch:
-    """A row for each part: its fingerprints in order, and their counts."""
+    """A row for each part: the steps between its fingerprints in order, and their counts."""
     s, c = np.unique(seat(h, parts), return_counts=True)
     part = (s >> U(32)).astype(np.int32)
     cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-    offsets = pa.array(np.concatenate((cut, [len(s)])).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (s.astype(np.uint32).view(np.int32), c)]
-    return pa.RecordBatch.from_arrays([pa.array(part[cut]), *lists], names=["part", "fps", "counts"])
+    ends = [*cut[1:].tolist(), len(s)]
+    low = (s & U(0xFFFFFFFF)).astype(np.int64)
+    step = np.diff(low, prepend=0)
+    step[cut] = low[cut]
+    data = [packed(step[x:y], c[x:y]) for x, y in zip(cut.tolist(), ends)]
+    return pa.RecordBatch.from_arrays([pa.array(part[cut]), pa.array(data, pa.binary())], names=["part", "data"])
 
 
 def frequent_bits(docs: DataFrame, max_words: int, least: int, bits: int, hold: int, parts: int, filter_bits: int) -> DataFrame:
@@ -97,8 +112,9 @@ def frequent_bits(docs: DataFrame, max_words: int, least: int, bits: int, hold:
             yield counted(np.concatenate(held), parts)
 
     def add(group: pa.Table) -> pa.Table:
-        fps = group["fps"].combine_chunks().flatten().to_numpy().view(np.uint32)
-        counts = group["counts"].combine_chunks().flatten().to_numpy()
+        rows = [unpacked(x, 2) for x in group["data"].to_pylist()]
+        fps = np.concatenate([np.cumsum(x[0]) for x in rows])
+        counts = np.concatenate([x[1] for x in rows])
         order = np.argsort(fps, kind="stable")
         fps, counts = fps[order], counts[order]
         head = np.flatnonzero(np.concatenate(([True], fps[1:] != fps[:-1])))
@@ -106,7 +122,7 @@ def frequent_bits(docs: DataFrame, max_words: int, least: int, bits: int, hold:
         return pa.table({"bit": slot(U(group["part"][0].as_py()) << U(32) | often.astype(U), filter_bits)})
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return batches(docs, run, "part int, fps array<int>, counts array<int>").groupBy("part").applyInArrow(add, "bit long")
+    return batches(docs, run, "part int, data binary").groupBy("part").applyInArrow(add, "bit long")
 
 
 def bit_table(bits: DataFrame, filter_bits: int) -> np.ndarray:
@@ -135,7 +151,7 @@ def exact_groups(words: Words, lang: np.ndarray, n: int, first: np.ndarray, h: n
 
 
 NO_DOC = np.iinfo(np.int64).max
-PACKED = "lang string, part int, phrases binary, counts array<bigint>, docs array<bigint>, ats array<bigint>"
+PACKED = "lang string, part int, phrases binary, numbers binary"
 
 
 @dataclass
@@ -168,10 +184,12 @@ class Found:
         phrase, part = self.phrase.take(pa.array(order)).to_pylist(), self.part[order]
         cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
         offsets = np.concatenate((cut, [len(part)])).astype(np.int32)
-        blobs = [b"\n".join(phrase[x:y]) for x, y in zip(offsets[:-1], offsets[1:])]
-        lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x[order])) for x in (self.c, self.doc, self.at)]
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(cut)), pa.array(part[cut].astype(np.int32)), pa.array(blobs, pa.binary()), *lists],
-                                          names=["lang", "part", "phrases", "counts", "docs", "ats"])
+        ends = [*cut[1:].tolist(), len(part)]
+        texts = [zstandard.ZstdCompressor(level=1).compress(b"\n".join(phrase[x:y])) for x, y in zip(cut.tolist(), ends)]
+        columns = [self.c[order], self.doc[order], self.at[order]]
+        numbers = [packed(*(v[x:y] for v in columns)) for x, y in zip(cut.tolist(), ends)]
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(cut)), pa.array(part[cut].astype(np.int32)), pa.array(texts, pa.binary()), pa.array(numbers, pa.binary())],
+                                          names=["lang", "part", "phrases", "numbers"])
 
 
 def phrase_counts(docs: DataFrame, table: np.ndarray, max_words: int, bits: int, parts: int, least: int, hold: int) -> DataFrame:
@@ -223,9 +241,9 @@ def phrase_counts(docs: DataFrame, table: np.ndarray, max_words: int, bits: int,
         yield from (Found.of(x).added().packed(k) for k, x in held.items())
 
     def add(key: tuple, group: pa.Table) -> pa.Table:
-        blobs = group["phrases"].to_pylist()
-        phrase = pa.array(b"\n".join(blobs).split(b"\n"), pa.binary())
-        c, doc, at = (group[k].combine_chunks().flatten().to_numpy() for k in ("counts", "docs", "ats"))
+        texts = [zstandard.ZstdDecompressor().decompress(x) for x in group["phrases"].to_pylist()]
+        phrase = pa.array(b"\n".join(texts).split(b"\n"), pa.binary())
+        c, doc, at = np.concatenate([unpacked(x, 3) for x in group["numbers"].to_pylist()], axis=1)
         x = Found(phrase, np.zeros(len(c), np.int64), c, doc, at).added()
         on = (x.c >= least) | (pc.binary_length(x.phrase).to_numpy(zero_copy_only=False) == 0)
         phrase = x.phrase.filter(pa.array(on))
@@ -239,9 +257,9 @@ def phrase_counts(docs: DataFrame, table: np.ndarray, max_words: int, bits: int,
 
 
 def scored(counts: DataFrame) -> DataFrame:
-    """(lang, phrase, words, a, l, r, score, doc, at) of every candidate by its lowest-scoring cut; ``counts``: saved."""
+    """(lang, phrase, words, a, l, r, score) of every candidate by its lowest-scoring cut; ``counts``: saved."""
     part = F.split("phrase", " ")
-    cuts = (counts.where("words > 1").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1))).withColumn("__part", part)
+    cuts = (counts.where("words > 1").drop("doc", "at").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1))).withColumn("__part", part)
             .withColumn("left", F.array_join(F.slice("__part", F.lit(1), F.col("k")), " "))
             .withColumn("right", F.array_join(F.slice("__part", F.col("k") + 1, F.col("words") - F.col("k")), " ")).drop("__part"))
     f = counts.where("words > 0")
@@ -252,8 +270,8 @@ def scored(counts: DataFrame) -> DataFrame:
     cuts = cuts.withColumn("score", F.expr("top div base"))
     # k, l and r of the lowest score, the smallest k of equal ones
     best = F.min(F.struct("score", "k", "l", "r"))
-    return (cuts.groupBy("lang", "phrase", "words", F.col("c").alias("a"), "doc", "at").agg(best.alias("best"))
-            .select("lang", "phrase", "words", "a", "best.l", "best.r", "best.score", "doc", "at"))
+    return (cuts.groupBy("lang", "phrase", "words", F.col("c").alias("a")).agg(best.alias("best"))
+            .select("lang", "phrase", "words", "a", "best.l", "best.r", "best.score"))
 
 
 def uncovered(candidates: DataFrame, counts: DataFrame, covered: int) -> DataFrame:
@@ -281,6 +299,7 @@ def mine(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     totals = saved(counts.where("words = 0").select("lang", F.col("c").alias("n")))
     out = uncovered(scored(counts), counts, covered)
     first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    out = out.withColumn("rank", F.row_number().over(first).cast("long")).where(F.col("rank") <= top)
+    out = saved(out.withColumn("rank", F.row_number().over(first).cast("long")).where(F.col("rank") <= top))
+    out = counts.select("lang", "phrase", "doc", "at").join(small(out, 100_000), ["lang", "phrase"])
     return out.join(small(totals, 10_000), "lang").select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score", F.col("doc").alias("first_doc"), F.col("at").alias("first_byte"))
