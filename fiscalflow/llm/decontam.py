@@ -36,12 +36,18 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(t, GAP), "")
 
 
+def folded(text: Column) -> Column:
+    """All letters lower-cased, each without regard to its neighbours: of all letters only the capital
+    sigma has a small form that depends on them, so it gets one form first."""
+    return F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3")))
+
+
 def folded_words_of(text: Column) -> Column:
     """As many words as ``words_of``, with all letters lower-cased, which costs far less.
 
     Texts whose words agree also agree here, so this is enough to find candidates.
     """
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), GAP), "")
+    return F.array_remove(F.split(folded(F.coalesce(text, F.lit(""))), GAP), "")
 
 
 def windows_of(items: DataFrame, item_id: str, text: str, size: int) -> DataFrame:
@@ -84,7 +90,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     ``broadcast_rows`` bounds the windows that are broadcast; more are joined by shuffle.
     """
     d = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    windows = windows_of(items, item_id, item_text, size).withColumn("folded", F.transform("window", F.lower))
+    windows = windows_of(items, item_id, item_text, size).withColumn("folded", F.transform("window", folded))
     windows = saved(windows.withColumn("id", F.monotonically_increasing_id()))
     spoken = items.select(F.explode(folded_words_of(F.col(item_text))).alias("word"))
     rare = saved(rarest_words(windows, spoken, broadcast_rows))

@@ -56,3 +56,12 @@ def test_odd_rows_and_short_items(spark, odd_documents, no_documents):
     assert ours(odd_documents, items, broadcast_rows=0) == brute(pairs(odd_documents, "doc_id"), pairs(items, "item_id"))
     assert ours(no_documents, items) == []
     assert not any(x[4] for x in ours(odd_documents, items.limit(0)))
+
+
+def test_capital_sigma(spark):
+    """A sigma's small form depends on what follows in the whole text, but not on what follows the word."""
+    items = [(1, "\u039f\u0394\u039f\u03a3.\u0391\u0392"), (2, "\u03a3 \u03a3\u0391\u03a3"), (3, "\u03c3\u03b1\u03c2 x")]
+    docs = [(1, "\u039f\u0394\u039f\u03a3.\u0391\u0392"), (2, "\u039f\u0394\u039f\u03a3 \u0391\u0392"), (3, "a \u03a3:\u03a3\u0391\u03a3'b"), (4, "\u03a3\u0391\u03a3 X"),
+            (5, "\u03c3\u03b1\u03c2 X"), (6, "\u03c3\u03b1\u03c3 x")]
+    got = ours(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert got == brute(docs, items) and [r[2] for r in got] == [2, 2, 2, 0, 2, 0]
