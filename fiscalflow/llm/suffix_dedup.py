@@ -27,8 +27,9 @@ Memory in a task is bounded by one document, or by ``batch`` + ``hot`` suffixes
 
 Defined cases: null is the empty text; matches never cross documents; texts shorter than
 ``length`` lose nothing; repeated rows are copies of each other and lose everything that is
-long enough; an empty table gives an empty result; other columns aren't read.  Rows are
-numbered as read, so the input has to be a table or file scan.
+long enough; an empty table gives an empty result; other columns aren't read.  Rows are numbered
+and read several times: the numbered rows are saved first, unless the caller says that the input is
+``stable``, that is a scan of files, which numbers its rows alike each time.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ from pyspark.sql import functions as F
 
 from fiscalflow.llm._common import TEXTS, batches, saved
 
+# rows that are cut and given out together
+OUT_ROWS = 100
 U = np.uint64
 TOP = np.iinfo(np.uint64).max
 WORD = 1 << 64
@@ -321,9 +324,11 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 64, hot: int = 4096,
-                   batch: int = 20_000, with_kept: bool = True) -> DataFrame:
+                   batch: int = 20_000, with_kept: bool = True, stable: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans and, ``with_kept``, kept (the remaining bytes) of every document."""
     d = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    if not stable:
+        d = saved(d)
     spans = repeated_spans(d, length, gram, hot, batch).groupBy("rid").agg(F.collect_list(F.struct("first", "end")).alias("found"))
     span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 
@@ -342,7 +347,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 *[rest] * with_kept)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
+        # few rows at once, as the texts are held twice
+        for b in (b.slice(i, OUT_ROWS) for b in it for i in range(0, len(b), OUT_ROWS)):
             rows = [cut(t, found.as_py()) for t, found in zip(b.column("text").to_pylist(), b.column("found"))]
             yield pa.RecordBatch.from_arrays([b.column("doc"), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(types))], names=[doc_id, *names])
             del rows

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from llm.tables import documents
 
+from fiscalflow.llm import queries
 from fiscalflow.llm import suffix_dedup as sd
 
 
@@ -60,6 +61,23 @@ def test_odd_rows(odd_documents, no_documents, scratch, spark):
     assert sd.remove_repeats(no_documents).count() == 0
 
 
+def test_input_that_is_no_scan(spark):
+    """A frame that numbers its rows anew each time it is computed is saved first."""
+    df = documents(spark)
+    want = sorted(tuple(r)[:5] for r in sd.remove_repeats(df, stable=True).collect())
+    assert sorted(tuple(r)[:5] for r in sd.remove_repeats(df.repartition(7)).collect()) == want
+
+
+def test_kept_text(spark):
+    got = {r.doc_id: r for r in queries.op1_suffix_dedup(spark, "/root/testdata/sf0.001").collect()}
+    for r in documents(spark).collect():
+        g = got[r.doc_id]
+        if not g.n_removed:
+            assert g.kept == (r.text or "")
+        elif "\ufffd" not in g.kept:
+            assert len(g.kept.encode()) == g.n_bytes - g.n_removed and hashlib.sha256(g.kept.encode()).hexdigest() == g.kept_sha256
+
+
 def test_induction_gives_the_prefixes_of_a_plain_sort():
     rng = random.Random(5)
     text = ["".join(rng.choices("ab", k=30)).encode() for _ in range(80)]
