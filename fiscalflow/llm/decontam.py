@@ -27,6 +27,8 @@ from fiscalflow.llm._common import saved, small
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # what stands between words, once A-Z are lower-case
+# columns that decontaminate adds for itself
+STEPS = ("__key", "__cand", "__near", "__hits", "__spans", "__n", "__hit")
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -89,7 +91,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     A column named ``out`` is replaced.  A document is contaminated if it has a hit word and ``share * n_hit >= n_words``.
     ``broadcast_rows`` bounds the windows that are broadcast; more are joined by shuffle.
     """
-    d = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    # columns of docs that are named like a step get another name until the end
+    others = {c: f"{c} of docs" for c in STEPS if c in docs.columns and c != out}
+    d = docs.withColumnsRenamed(others)
+    text = others.get(text, text)
+    d = d.withColumn("__key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     windows = windows_of(items, item_id, item_text, size).withColumn("folded", F.transform("window", folded))
     windows = saved(windows.withColumn("id", F.monotonically_increasing_id()))
     spoken = items.select(F.explode(folded_words_of(F.col(item_text))).alias("word"))
@@ -125,4 +131,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     return joined.withColumn(out, F.struct(
         F.col("__n").alias("n_words"), F.col("__hit").alias("n_hit"), items_hit.alias("items"), F.col("__spans").alias("spans"),
         ((F.col("__hit") > 0) & (F.lit(share) * F.col("__hit") >= F.col("__n"))).alias("contaminated"),
-    )).drop("__key", "__cand", "__near", "__hits", "__spans", "__n", "__hit")
+    )).drop(*STEPS).withColumnsRenamed({v: k for k, v in others.items()})

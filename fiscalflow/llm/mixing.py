@@ -137,15 +137,16 @@ def mix(df: DataFrame, source: str = "source", weights: dict[str | None, int] |
             .drop("__src", "__row", "__round", "__j", "__phase", "base", "q", "slot_in_round"))
 
 
-def mixed_order(df: DataFrame, source: str = "source", **options) -> DataFrame:
+def mixed_order(df: DataFrame, source: str = "source", stable: bool = False, **options) -> DataFrame:
     """All rows and columns of ``df``, written out in the order of the mix.
 
     The rows' places are worked out on the source column alone and joined back by row
     number; the result is range-partitioned and sorted by place, so that its files, read in
-    name order, hold the mix.
+    name order, hold the mix.  The numbered rows are saved, unless ``df`` is ``stable``: a scan of files.
     """
-    rid = "__mix_row"
-    d = df.withColumn(rid, F.monotonically_increasing_id())
-    places = mix(d.select(rid, F.col(source).alias("__s")), "__s", **options).select(rid, "slot", "in_block")
-    places = places.select(rid, F.struct("slot", "in_block").alias("__place"))
-    return d.join(places, rid).repartitionByRange("__place").sortWithinPartitions("__place").drop(rid, "__place")
+    # the columns of df stay together in a struct, so none can clash
+    d = df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("all"))
+    if not stable:
+        d = saved(d)
+    places = mix(d.select("row", F.col("all")[source].alias("s")), "s", **options).select("row", F.struct("slot", "in_block").alias("place"))
+    return d.join(places, "row").repartitionByRange("place").sortWithinPartitions("place").select("all.*")

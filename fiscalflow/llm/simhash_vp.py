@@ -101,8 +101,11 @@ class Forest:
             self.up[max(a, b)] = min(a, b)
 
 
-def vp_links(fp: np.ndarray, max_bits: int, leaf: int = 128) -> np.ndarray:
-    """Component (a position) of each of the distinct fingerprints, by a vantage-point tree."""
+def vp_links(fp: np.ndarray, max_bits: int, leaf: int = 4) -> np.ndarray:
+    """Component (a position) of each of the distinct fingerprints, by a vantage-point tree.
+
+    A leaf holds at most about ``leaf`` fingerprints, or two branches of a boundary as many pairs.
+    """
     forest = Forest(len(fp))
     dist = lambda rows, v: np.bitwise_count(fp[rows] ^ fp[v]).astype(np.int16)
 
@@ -141,32 +144,16 @@ def vp_links(fp: np.ndarray, max_bits: int, leaf: int = 128) -> np.ndarray:
     return np.array([forest.root(i) for i in range(len(fp))], np.int64)
 
 
-def small_links(key: np.ndarray, fp: np.ndarray, max_bits: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs in runs of equal keys of at most ``most`` rows, one lag at a time."""
-    us, vs = [], []
-    for lag in range(1, most):
-        same = key[lag:] == key[:-lag]
-        if not same.any():
-            break
-        hit = np.nonzero(same & (np.bitwise_count(fp[lag:] ^ fp[:-lag]) <= max_bits))[0]
-        us.append(fp[hit])
-        vs.append(fp[hit + lag])
-    none = np.zeros(0, np.uint64)
-    return np.concatenate([none, *us]), np.concatenate([none, *vs])
-
-
-def shard_edges(shards: DataFrame, max_bits: int, leaf: int = 64) -> DataFrame:
+def shard_edges(shards: DataFrame, max_bits: int) -> DataFrame:
     """Links (u, v) inside each shard of (shard, fp), as spanning forests.
 
     Rows come sorted by shard; a shard cut by an Arrow batch is held until it is whole.
     """
     def solve(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
         cuts = np.concatenate(([0], np.nonzero(key[1:] != key[:-1])[0] + 1, [len(key)]))
-        sizes = np.diff(cuts)
-        tiny = np.repeat(sizes <= leaf, sizes)
-        us, vs = small_links(key[tiny], fp[tiny], max_bits, leaf)
-        us, vs = [us], [vs]
-        for i in np.nonzero(sizes > leaf)[0]:
+        none = np.zeros(0, np.uint64)
+        us, vs = [none], [none]
+        for i in np.nonzero(np.diff(cuts) > 1)[0].tolist():
             part = np.unique(fp[cuts[i]:cuts[i + 1]])
             roots = vp_links(part, max_bits)
             moved = roots != np.arange(len(part))
@@ -251,13 +238,15 @@ def with_components(prints: DataFrame, doc_id: str, max_bits: int, shard_limit:
     return prints.join(by_fp, "fp")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4, stable: bool = False) -> DataFrame:
     """``docs`` with one row of each component: the one of the least id (the first read of
-    equal ones).  Rows are numbered as read, so ``docs`` has to be a table or file scan."""
-    d = docs.withColumn("__row", F.monotonically_increasing_id())
-    comp = near_duplicates(d.select("__row", doc_id, text), doc_id, text, words, max_bits)
+    equal ones).  The numbered rows are saved, unless ``docs`` is ``stable``: a scan of files."""
+    # the columns of docs stay together in a struct, so none can clash
+    d = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"))
+    if not stable:
+        d = saved(d)
+    comp = near_duplicates(d.select("row", F.col("doc")[doc_id].alias("id"), F.col("doc")[text].alias("text")), "id", "text", words, max_bits)
     # rows of a component meet in a partial aggregate; components are keyed by their root print
     best = comp.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp_if_null")).agg(
-        F.min(F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))).alias("best"))
-    keep = best.select(F.col("best.row").alias("__row"))
-    return d.join(keep, "__row").drop("__row")
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("best"))
+    return d.join(best.select(F.col("best.row").alias("row")), "row").select("doc.*")

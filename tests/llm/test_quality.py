@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -36,11 +37,52 @@ def check(df):
 def test_documents_and_references(spark):
     d = documents(spark, "sf0.01")
     rows = check(d)
-    # the reference is the mean over all documents of the language
-    votes = [h / h.sum() for r in rows if r["lang"] == "de" and r[-1]["n_words"] >= 50
-             for h in [q.histograms(r["text"].encode(), "de")[1]]]
-    got = q.language_references(d)[("de", "chars")]
-    assert np.allclose(got, np.mean(votes, axis=0), atol=1e-6) or abs(got.sum() - 1) < 1e-6
+    # the reference is the mean over all documents of the language, by plain counting
+    mean, seen = {}, {}
+    for r in rows:
+        p = plain_classes(r["text"] or "")
+        if r["lang"] is not None and r[-1]["n_words"] >= 50 and p.sum():
+            mean[r["lang"]] = mean.get(r["lang"], 0) + p / p.sum()
+            seen[r["lang"]] = seen.get(r["lang"], 0) + 1
+    got = q.language_references(d)
+    for lang, total in mean.items():
+        assert np.allclose(got[(lang, "chars")], total / seen[lang], atol=1e-8)
+    # each document's distance to it, by the definition of the divergence
+    measured = [r for r in rows if r[-1]["n_words"] >= 50 and r["lang"] in mean]
+    for r in measured:
+        p, m = plain_classes(r["text"]), mean[r["lang"]] / seen[r["lang"]]
+        assert abs(r[-1]["char_distance"] - plain_distance(p / p.sum(), m / m.sum())) < 1e-6
+        over = r[-1]["char_distance"] > 0.30 or (r[-1]["word_distance"] or 0) > 0.32
+        assert r[-1]["kept"] == (not r[-1]["base_failed"] and not over)
+    assert len(measured) > 500
+
+
+def plain_distance(p, q_):
+    """Root of the Jensen-Shannon divergence in bits."""
+    m = [(a + b) / 2 for a, b in zip(p, q_)]
+    bits = lambda x: sum(a * math.log2(a / c) for a, c in zip(x, m) if a > 0)
+    return math.sqrt(max(0.0, (bits(p) + bits(q_)) / 2))
+
+
+def plain_classes(text):
+    """Counts of the character classes, a character at a time."""
+    def name(c):
+        if c >= "\x80":
+            return "letter"
+        if c.isalpha():
+            return "lower" if c.islower() else "upper"
+        if c.isdigit():
+            return "digit"
+        if c in "\t\n\v\f\r ":
+            return "space"
+        if c in ".,;:'\"-!?()":
+            return "stop"
+        if c < " " or c == "\x7f":
+            return "control"
+        return "symbol" if c in "#*$%&|<>" else "mark"
+
+    n = Counter(map(name, text))
+    return np.array([float(n[c]) for c in q.CLASSES if c != "rest"])
 
 
 def test_labels_agree(spark):

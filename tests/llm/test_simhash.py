@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from llm.tables import documents
 
@@ -94,3 +95,33 @@ def test_shards_that_span_arrow_batches_stay_whole(spark):
     for e in edges:
         forest.link(fps.index(e["u"]), fps.index(e["v"]))
     assert len({forest.root(i) for i in range(len(fps))}) == 60
+
+
+def test_trees_are_built_in_the_shards_of_the_given_tables(spark):
+    """Every shard of two or more goes through the tree, and the larger ones are split at vantage points."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    fps = sv.saved(sv.fingerprints(docs).select("fp").distinct())
+    sizes = sv.deal(fps, 4, 8192).groupBy("shard").count()
+    assert sizes.where("count > 4").count() > 100
+    fp = np.array([r.fp for r in fps.collect()], np.int64).view(np.uint64)
+    forest = sv.Forest(len(fp))
+    for i in range(len(fp)):
+        for j in np.nonzero(np.bitwise_count(fp[:i] ^ fp[i]) <= 4)[0]:
+            forest.link(i, int(j))
+    place = {int(x): i for i, x in enumerate(fp)}
+    mine = sv.Forest(len(fp))
+    for e in sv.shard_edges(sv.deal(fps, 4, 8192), 4).collect():
+        mine.link(place[e.u % 2**64], place[e.v % 2**64])
+    assert [mine.root(i) for i in range(len(fp))] == [forest.root(i) for i in range(len(fp))]
+
+
+@pytest.mark.parametrize("n", [2, 3, 5, 11, 64])
+def test_small_shards(n):
+    rng = np.random.default_rng(n)
+    for _ in range(20):
+        fp = np.unique(rng.integers(0, 64, n).astype(np.uint64) * np.uint64(0x10001))
+        forest = sv.Forest(len(fp))
+        for i in range(len(fp)):
+            for j in np.nonzero(np.bitwise_count(fp[:i] ^ fp[i]) <= 4)[0]:
+                forest.link(i, int(j))
+        assert sv.vp_links(fp, 4).tolist() == [forest.root(i) for i in range(len(fp))]
