@@ -93,6 +93,17 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders and files directly below a folder, as full paths."""
+    fs, p = _file_system(spark, path)
+    return sorted(f.getPath().toString() for f in fs.listStatus(p))
+
+
+def create_empty_file(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.create(p).close()
+
+
 def rename_folder(spark: SparkSession, old: str, new: str) -> None:
     fs, p = _file_system(spark, old)
     if not fs.rename(p, _file_system(spark, new)[1]):
