@@ -324,6 +324,27 @@ ORACLE_SQL["xml_files_ingest"] = notas_cte(False, True) + f"""
 SELECT chNFe AS key, CASE WHEN {_GOOD} THEN 'message' ELSE {_REASON.format('malformed', 'missing_ide', 'no_invoice')} END AS outcome
 FROM notas"""
 
+ORACLE_SQL["xml_single_files"] = notas_cte(False, True) + f""",
+  newest AS (SELECT * FROM notas QUALIFY row_number() OVER (PARTITION BY emit_CNPJ ORDER BY ide_dhEmi DESC, o_orderkey DESC) = 1)
+SELECT CAST(emit_CNPJ AS BIGINT) AS customer, CASE WHEN {_GOOD} THEN 'message' ELSE {_REASON.format('malformed', 'missing_ide', 'no_invoice')} END AS outcome,
+  CASE WHEN {_GOOD} THEN chNFe END AS chNFe, CASE WHEN {_GOOD} THEN total_vNF END AS total_vNF
+FROM newest
+UNION ALL SELECT -1 - n_nationkey, 'empty_file', NULL, NULL FROM nation"""
+
+_AUDITED = {
+    "messages_read": "SELECT COUNT(*) FROM notas", "nfe_notas": f"SELECT COUNT(*) FROM notas WHERE {_GOOD}",
+    "nfe_itens": f"SELECT COUNT(*) FROM itens JOIN notas ON l_orderkey = o_orderkey WHERE {_GOOD}",
+    "rejected": f"SELECT COUNT(*) FROM notas WHERE NOT ({_GOOD})"}
+_REPORTED = {
+    "resultado_notas_por_uf": "SELECT COUNT(DISTINCT emit_UF) FROM good",
+    "resultado_faturamento_emitente": "SELECT COUNT(*) FROM (SELECT DISTINCT emit_CNPJ, emit_xNome, emit_xFant, emit_UF FROM good)",
+    "resultado_produtos_mais_vendidos": "SELECT LEAST(20, COUNT(*)) FROM (SELECT DISTINCT cProd, xProd, uCom FROM itens JOIN good ON l_orderkey = o_orderkey)",
+    "resultado_tributos_por_nota": "SELECT COUNT(*) FROM good",
+    "resultado_valor_medio_mensal": "SELECT COUNT(DISTINCT substring(ide_dhEmi, 1, 7)) FROM good"}
+ORACLE_SQL["audit_table"] = notas_cte(False, True, with_itens=True) + f", good AS (SELECT * FROM notas WHERE {_GOOD})" + " UNION ALL ".join(
+    f" SELECT '{job}' AS job, '{stage}' AS stage, 'rows' AS metric, ({sql}) AS value"
+    for job, stages in (("persist", _AUDITED), ("persist_stream", _AUDITED), ("reports", _REPORTED)) for stage, sql in stages.items())
+
 ORACLE_SQL["stream_persist_rejects"] = notas_cte(False, True) + f"""
 SELECT chNFe AS key, 'note' AS outcome FROM notas WHERE {_GOOD}
 UNION ALL SELECT chNFe, 'item' FROM notas JOIN lineitem ON l_orderkey = o_orderkey WHERE {_GOOD}

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import normalize, quality, ranking, records, reports
+from .operators.audit import AuditTable
 from .plans import catalog, pipeline
 from .schemas import ITEM_PATH_SCHEMA, XML_CHECK_SCHEMA, XML_ITEM_SCHEMA, XML_PROTOCOL_SCHEMA
-from .session import checkpoint_dir, remove_folder
+from .session import checkpoint_dir, create_empty_file, remove_folder
 from .sources import star
 from .sources import xml as xml_source
 from .sources.messages import FileLog, normalize_kafka
@@ -391,6 +392,47 @@ def q_xml_files_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def q_xml_single_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S3, P1-P7, E8 on the default path: the newest invoice of every customer as a file of its own, some damaged by
+    order priority, and a file of no bytes for every nation; each file's outcome, and the messages' header rows."""
+    t = _tables(spark, sf_dir)
+    newest = normalize.latest_by_key(t["orders"], "o_custkey", ("o_orderdate", "o_orderkey"))
+    rec = star.records(t, with_items=False, orders=newest, extra=("o_orderpriority", "o_custkey"))
+    pr, r = F.col("o_orderpriority"), F.col("nfe")
+    rec = rec.select(F.when(pr == "2-HIGH", r.withField("ide", F.lit(None))).otherwise(r).alias("nfe"), pr, F.col("o_custkey").alias("customer"))
+    xml = F.to_xml(records.record_to_document(r), records.XML_WRITE_OPTIONS)
+    text = F.when(pr == "1-URGENT", F.substring(xml, 1, 200)).when(pr == "3-MEDIUM", F.regexp_replace(xml, "</?NFe>", "")).otherwise(xml)
+    root = f"{checkpoint_dir(spark)}/fiscalflow-xml/{uuid.uuid4().hex}"
+    rec.select(text.alias("value"), "customer").write.partitionBy("customer").text(f"{root}/files")
+    for n in t["nation"].select("n_nationkey").collect():
+        create_empty_file(spark, f"{root}/files/customer=-{n[0] + 1}/none.txt")
+    log, db = FileLog(f"{root}/log"), "fiscalflow_" + uuid.uuid4().hex[:12]
+    res = pipeline.run_ingest(spark, f"{root}/files", log, glob="*.txt", db=db)
+    notas = normalize.notas(normalize.parse_messages(log.read(spark)))
+    good = notas.select(F.col("emit_CNPJ").cast("bigint").alias("customer"), F.lit("message").alias("outcome"), "chNFe", "total_vNF")
+    bad = res.rejects.select(F.regexp_extract("file", "customer=(-?[0-9]+)", 1).cast("bigint").alias("customer"), F.col("reason").alias("outcome"),
+                             F.lit(None).cast("string").alias("chNFe"), F.lit(None).cast("double").alias("total_vNF"))
+    out = _kept(good.union(bad))
+    catalog.drop_database(spark, db)
+    remove_folder(spark, root)
+    return out
+
+
+def q_audit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters that persist, reports and a persisting stream wrote to one audit table, over damaged messages."""
+    t = _tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/fiscalflow-audit/{uuid.uuid4().hex}"
+    log, audit, db = FileLog(f"{root}/log"), AuditTable(f"{root}/audit"), "fiscalflow_" + uuid.uuid4().hex[:12]
+    log.write(_damaged_messages(t, True), batch=1)
+    pipeline.run_persist(spark, log, db=db, audit_table=audit)
+    pipeline.run_reports(spark, db, audit_table=audit)
+    persist_available(spark, log, f"{root}/tables", f"{root}/checkpoint", audit_table=audit)
+    out = _kept(audit.read(spark).groupBy("job", "stage", "metric").agg(F.sum("value").alias("value")))
+    catalog.drop_database(spark, db)
+    remove_folder(spark, root)
+    return out
+
+
 def q_stream_persist_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged messages persisted by the stream, read again after a lost checkpoint;
     notes and rejects count once."""
@@ -516,5 +558,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_ranks": q_report_ranks,
     "ctas_and_drop": q_ctas_and_drop,
     "xml_files_ingest": q_xml_files_ingest,
+    "xml_single_files": q_xml_single_files,
+    "audit_table": q_audit_table,
     "stream_persist_rejects": q_stream_persist_rejects,
 }

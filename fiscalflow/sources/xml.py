@@ -13,7 +13,7 @@ which would start a listing job per path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -40,6 +40,26 @@ def read_xml_documents(spark: SparkSession, path: str, glob: str = "*.xml",
     return parse_xml_text(text.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw")))
 
 
+def files_without_rows(spark: SparkSession, path: str, read: DataFrame, glob: str = "*.xml", recursive: bool = False) -> DataFrame:
+    """The files below ``path`` (``file``) that ``read`` (``file``) has no row of, such as those of no bytes.
+
+    No file source gives a row for a file of no bytes, so the names come from the listing that Spark's file index
+    holds on the driver for any scan of the folder; the names alone become a frame, which is anti-joined.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    names = reader.load(path).inputFiles()
+    listed = spark.createDataFrame([(n,) for n in names], "file string").withColumn("__name", _one_slash("file"))
+    seen = read.select(_one_slash("file").alias("__name")).distinct()
+    return listed.join(seen, "__name", "left_anti").select("file")
+
+
+def _one_slash(file: str) -> Column:
+    """``file:///a`` and ``file:/a`` are one name."""
+    return F.regexp_replace(file, "^([a-z0-9]+):/+", "$1:/")
+
+
 def parse_xml_text(df: DataFrame, text_col: str = "raw", schema: StructType = XML_SCHEMA) -> DataFrame:
     """Add the parsed document column ``doc`` to a frame holding XML text.
 
