@@ -42,7 +42,7 @@ from fiscalflow.llm._words import NOT_WORD, U, Words, chunks, kinds, scrambled,
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TABLE = kinds(NOT_WORD, [*b".!?\n"])
-BITS = 20
+BITS = 19
 BEGINNINGS, ENDINGS = (4, 5, 6, 7, 8, 9, 10), (3, 4, 5)
 SEEDS = 1 + len(BEGINNINGS)  # features that may mark a token: the word and its beginnings
 
@@ -229,7 +229,9 @@ def train(texts: list[str], toxic: np.ndarray, totals: tuple[int, int], steps: t
         x[~part] = got[~part]
     weight = np.where(toxic, totals[0] / toxic.sum(), totals[1] / (~toxic).sum())
     beta = regression(x, toxic.astype(float), weight / weight.mean())
-    return Model(trained(w, f, toxic, np.ones(n, bool), steps), beta)
+    field = trained(w, f, toxic, np.ones(n, bool), steps)
+    field.weights = field.weights.astype(np.float32)   # half the closure
+    return Model(field, beta)
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -282,7 +284,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 5,
-          max_toxic: int = 800, max_clean: int = 800, max_bytes: int = 10_000) -> DataFrame:
+          max_toxic: int = 500, max_clean: int = 700, max_bytes: int = 8_000) -> DataFrame:
     """doc_id, held_out, score, predicted, spans (first and end byte, mean marginal) of every document.
 
     ``max_toxic``, ``max_clean``, ``max_bytes``: bounds of the labelled sample that the model is fitted on.
