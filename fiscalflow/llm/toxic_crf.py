@@ -1,8 +1,9 @@
 """Toxic spans and document scores by a linear-chain conditional random field.
 
-1. Sample.  At most ``max_toxic`` toxic and ``max_clean`` clean labelled documents of the training folds, those of
-   least hash of doc_id, of at most ``max_bytes`` bytes of text each, are the training set (the bounds that
-   the driver's memory needs); chosen on (doc_id, length) alone, so texts are not shuffled.
+1. Sample.  At most ``max_labelled`` labelled documents of the training folds of each kind, those of least hash of
+   doc_id, fit the scores of documents; of these, at most ``max_toxic`` and ``max_clean`` of at most ``max_bytes``
+   bytes of text each fit the field on the driver.  They are chosen on (doc_id, length) alone, so texts
+   are not shuffled.
 2. Labelled tokens.  Labels are of documents, so tokens of clean documents are clean, and tokens of toxic
    documents are toxic if a feature of theirs (the word or a beginning of it) is far more frequent in
    toxic documents than chance allows.  After a first fit, tokens that the model itself finds toxic in toxic
@@ -12,8 +13,9 @@
 4. Marginals.  Forward and backward messages of all sentences of a batch run together, a word at a time;
    with two tags a message is one log-odds.  Neighbouring words of marginal over 0.5 are a span.
 5. Documents.  A logistic regression turns the marginals of a document (their sum, the greatest, the number over
-   0.5, and the number of words) into its score.  It is fitted on marginals from fields that didn't see the
-   document (two halves), weighted back to the numbers of all labelled documents.
+   0.5, and the number of words) into its score.  It is fitted on labelled documents of any length, with marginals from
+   a field that was trained on the other half of the sample; executors compute these, a few numbers a document,
+   and they are weighted back to the numbers of all labelled documents.
 
 Only the text is an input of a score.  Every document is scored whole, in the task that reads it; the model
 is a closure of a few MB.  Offsets are bytes of the UTF-8 text.
@@ -42,7 +44,7 @@ from fiscalflow.llm._words import NOT_WORD, U, Words, chunks, kinds, scrambled,
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TABLE = kinds(NOT_WORD, [*b".!?\n"])
-BITS = 19
+BITS = 20
 BEGINNINGS, ENDINGS = (4, 5, 6, 7, 8, 9, 10), (3, 4, 5)
 SEEDS = 1 + len(BEGINNINGS)  # features that may mark a token: the word and its beginnings
 
@@ -211,46 +213,73 @@ class Model:
         return sigmoid(x @ self.beta)
 
 
-def train(texts: list[str], toxic: np.ndarray, totals: tuple[int, int], steps: tuple[int, int] = (15, 8)) -> Model:
-    """The model of a sample; ``totals``: the numbers of toxic and clean labels that the sample stands for."""
-    n, both = len(texts), 0 < toxic.sum() < len(texts)
-    if not both:
-        share = (totals[0] + 0.5) / (sum(totals) + 2)
-        return Model(Field(np.zeros(1 << BITS), np.zeros((2, 2)), -3.0), np.array([np.log(share / (1 - share)), 0, 0, 0, 0]))
+def without_evidence(share: float) -> Model:
+    """Every document has the same score."""
+    return Model(Field(np.zeros(1 << BITS, np.float32), np.zeros((2, 2)), -3.0), np.array([np.log(share / (1 - share)), 0, 0, 0, 0]))
+
+
+def train_fields(texts: list[str], toxic: np.ndarray, half: np.ndarray, steps: tuple[int, int] = (15, 8)) -> list[Field]:
+    """The fields of the documents of half 0, of half 1, and of all."""
     w = split(pa.array(texts, pa.string()), TABLE)
     f = features(w)
-    half = np.zeros(n, bool)
-    for kind in (True, False):
-        half[np.flatnonzero(toxic == kind)[::2]] = True
-    x = np.zeros((n, 5))
-    first, size = sentences(w)
-    for part in (half, ~half):
-        got = document_inputs(trained(w, f, toxic, part, steps).log_odds(f, first, size), w.doc, n)
-        x[~part] = got[~part]
-    weight = np.where(toxic, totals[0] / toxic.sum(), totals[1] / (~toxic).sum())
-    beta = regression(x, toxic.astype(float), weight / weight.mean())
-    field = trained(w, f, toxic, np.ones(n, bool), steps)
-    field.weights = field.weights.astype(np.float32)   # half the closure
-    return Model(field, beta)
+    out = [trained(w, f, toxic, mine, steps) for mine in (half == 0, half == 1, np.ones(len(texts), bool))]
+    for field in out:
+        field.weights = field.weights.astype(np.float32)   # half the closure
+    return out
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
-def sample(docs: DataFrame, labels: DataFrame, folds: int, max_toxic: int, max_clean: int, max_bytes: int) -> tuple[list[str], np.ndarray, tuple[int, int]]:
-    """Training texts, whether each is toxic, and the numbers of labelled training documents of both kinds."""
+def labelled(docs: DataFrame, labels: DataFrame, folds: int, most: int) -> tuple[DataFrame, tuple[int, int]]:
+    """(doc, toxic, size, half) of at most ``most`` labelled training documents of each kind, and how many there are of both."""
     known = labels.where("toxic is not null").groupBy("doc").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc"), folds))
-    sized = docs.select("doc", F.octet_length("text").alias("size"))
-    mine = saved(known.join(sized, "doc"))
-    totals = {r["toxic"]: r["c"] for r in mine.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("c")).collect()}
+    sized = docs.groupBy("doc").agg(F.max(F.octet_length("text")).alias("size"))
+    mine = saved(known.join(sized, "doc").select("doc", (F.col("toxic") > 0).alias("toxic"), "size"))
+    totals = {r["toxic"]: r["c"] for r in mine.groupBy("toxic").agg(F.count(F.lit(1)).alias("c")).collect()}
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc"), "doc")
-    ids = (mine.where(F.col("size") <= max_bytes).select("doc", (F.col("toxic") > 0).alias("toxic")).distinct()
-           .withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= F.when(F.col("toxic"), max_toxic).otherwise(max_clean)).drop("__n"))
-    ids = saved(ids)
-    rows = (docs.join(small(ids, 100_000), "doc").where(F.octet_length("text") <= max_bytes).orderBy(F.xxhash64("doc"), "doc", "text")
-            .limit(2 * (max_toxic + max_clean)).select("text", "toxic").collect())
-    return [r["text"] for r in rows], np.array([r["toxic"] for r in rows], bool), (totals.get(True, 0), totals.get(False, 0))
+    first = mine.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most)
+    return saved(first.withColumn("half", (F.col("n") % 2).cast("int"))), (totals.get(True, 0), totals.get(False, 0))
+
+
+def train(docs: DataFrame, ids: DataFrame, totals: tuple[int, int], max_toxic: int, max_clean: int, max_bytes: int) -> Model:
+    """The model of the labelled documents ``ids``."""
+    if not all(totals):
+        return without_evidence((totals[0] + 0.5) / (sum(totals) + 2))
+    order = Window.partitionBy("toxic").orderBy("n")
+    some = (ids.where(F.col("size") <= max_bytes).withColumn("m", F.row_number().over(order))
+            .where(F.col("m") <= F.when(F.col("toxic"), max_toxic).otherwise(max_clean)).select("doc", "toxic", "half"))
+    rows = (docs.join(small(saved(some), 100_000), "doc").where(F.octet_length("text") <= max_bytes).orderBy(F.xxhash64("doc"), "doc", "text")
+            .limit(2 * (max_toxic + max_clean)).select("text", "toxic", "half").collect())
+    if len({r["toxic"] for r in rows}) < 2:
+        return without_evidence((totals[0] + 0.5) / (sum(totals) + 2))
+    fields = train_fields([r["text"] for r in rows], np.array([r["toxic"] for r in rows], bool), np.array([r["half"] for r in rows]))
+    # a row for each labelled document, of repeated ids one
+    seen = calibration(docs.join(small(ids.select("doc", "toxic", "half"), 100_000), "doc"), fields[:2])
+    got = seen.groupBy("doc", "toxic").agg(F.min("x").alias("x")).orderBy(F.xxhash64("doc"), "doc").collect()
+    x, y = np.array([r["x"] for r in got]), np.array([r["toxic"] for r in got], bool)
+    weight = np.where(y, totals[0] / y.sum(), totals[1] / (~y).sum())
+    return Model(fields[2], regression(x, y.astype(float), weight / weight.mean()))
+
+
+def calibration(docs: DataFrame, fields: list[Field]) -> DataFrame:
+    """(doc, toxic, x): inputs of the regression from the field of the other half; ``docs``: doc, text, toxic, half."""
+    kind = docs.schema["doc"].dataType.simpleString()
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(it):
+            w = split(b.column("text"), TABLE)
+            half = b.column("half").to_numpy()
+            x = np.zeros((len(b), 5))
+            f, where = features(w), sentences(w)
+            for other, field in enumerate(fields):
+                odds = field.log_odds(f, *where) if len(w) else np.zeros(0)
+                x[half != other] = document_inputs(odds, w.doc, len(b))[half != other]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, 5 * len(b) + 1, 5, dtype=np.int32)), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("toxic"), lists], names=["doc", "toxic", "x"])
+
+    return batches(docs.select("doc", "toxic", "half", "text"), run, f"doc {kind}, toxic boolean, x array<double>")
 
 
 SPAN = pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
@@ -284,12 +313,15 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 5,
-          max_toxic: int = 500, max_clean: int = 700, max_bytes: int = 8_000) -> DataFrame:
+          max_toxic: int = 500, max_clean: int = 700, max_bytes: int = 10_000, max_labelled: int = 5_000) -> DataFrame:
     """doc_id, held_out, score, predicted, spans (first and end byte, mean marginal) of every document.
 
-    ``max_toxic``, ``max_clean``, ``max_bytes``: bounds of the labelled sample that the model is fitted on.
+    ``max_toxic``, ``max_clean``, ``max_bytes``: bounds of the labelled sample that the field is fitted on;
+    ``max_labelled``: labelled documents of each kind, of any length, that the scores are fitted on.
     """
     d = docs.select(F.col(doc_id).alias("doc"), held_out(F.col(doc_id), folds).alias("held_out"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     marked = labels.select(F.col(doc_id).alias("doc"), F.col(label).cast("int").alias("toxic")).where("doc is not null")
-    model = train(*sample(d.where("not held_out").select("doc", "text"), marked, folds, max_toxic, max_clean, max_bytes))
+    learned = d.where("not held_out").select("doc", "text")
+    ids, totals = labelled(learned, marked, folds, max_labelled)
+    model = train(learned, ids, totals, max_toxic, max_clean, max_bytes)
     return score_texts(d, model).select(F.col("doc").alias(doc_id), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
