@@ -11,13 +11,16 @@ of its own.  Over the m pages that have a node:
   branch, with c child elements and g = 0.9.
 
 Branches below ``least`` composite importance on at least ``least_pages`` different pages are
-noise and are removed from each page.  Besides, elements that say what they are (nav, footer,
+noise and are removed from each page, and so is a text that is on ``shared`` of the pages (and as many)
+that have its node, whatever the node.  Besides, elements that say what they are (nav, footer,
 aside, form, role and class names of menus, adverts, notices, comments ...) are always removed.
 Inside an article or main element, a name counts if it is a noise name as a whole or has a strong
 one as a part (class names, and ids but of sections); one that only has a weak one as a part
 leaves the decision to the importance.  Ids of headings repeat their words and never count.
-Where a page has an article (or else a main) element, only that is read, and its plain
-paragraphs and headings stay whatever their importance, since articles may repeat.
+An article or main element is a prior, not a rule: if at least half of the text that is left on a page is in its
+main element, or else in its articles, the rest is left out; a page whose only article is a teaser is read
+whole.  Plain paragraphs and headings of articles aren't removed as nodes, since all paragraphs of an article are one
+node of the tree, but text by text.  Where nothing would be left, weak names and then the statistics give way.
 
 Copies of a page count once in the statistics.  Statistics are partial aggregates on
 hashes; a page gets the list of its own removed nodes, joined on a hash of host and page, so
@@ -55,6 +58,9 @@ NOISE_NAMES = frozenset("nav navbar navigation menu menubar breadcrumb breadcrum
                         "recommended share sharing social ad ads advert adverts advertisement advertising promo promotion sponsor sponsored "
                         "banner cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login "
                         "search comment comments disqus respond reply replies pagination pager copyright legal disclaimer toolbar".split())
+# last parts of names that add nothing to what stands before them
+BOX_NAMES = frozenset("area articles banner bar block body box button card cell column container content count form frame grid group holder inner item items "
+                      "label layer link links list module notice outer panel posts row section slot stories text thread title unit widget wrap wrapper zone".split())
 # names that mark noise wherever they stand; other names may only describe the layout of what they wrap
 STRONG_NAMES = frozenset("comment comments disqus respond reply replies ad ads advert adverts advertisement advertising promo promotion sponsor sponsored "
                          "related recommended cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login".split())
@@ -78,11 +84,11 @@ class Node:
         self.children: list[Node | str] = []
 
 
-def parse(page: str) -> Node:
+def parse(page: str, lenient: bool = False) -> Node:
     """Element tree; ``inside`` is set below an article or main element.
 
     ``soft`` noise is only named like noise (or a form) and turns out to be layout if it wraps
-    an article or main element.
+    an article or main element.  ``lenient``: outside of those, weak names are no noise.
     """
     root = Node("", "", False, False, True, False)
     open_ = [root]
@@ -116,7 +122,7 @@ def parse(page: str) -> Node:
                 if t in STOPS:
                     break
         up = open_[-1]
-        names, whole, slug, role = set(), set(), set(), ""
+        names, whole, slug, role, strong = set(), set(), set(), "", False
         label = tag
         if m[3] and ("class" in m[3] or "id" in m[3] or "role" in m[3] or "CLASS" in m[3] or "ID" in m[3]):
             for name, value in ATTRIBUTE.findall(m[3]):
@@ -126,7 +132,11 @@ def parse(page: str) -> Node:
                         continue  # repeats the heading's words
                     own = [part for part in value.split() if not MODIFIER.match(part)]
                     whole.update(own)
-                    (slug if name == "id" and tag == "section" else names).update(x for part in own for x in NAME_PART.findall(part))
+                    for part in own:
+                        words = NAME_PART.findall(part)
+                        heading = name == "id" and tag == "section"
+                        (slug if heading else names).update(words)
+                        strong = strong or not (heading and up.inside) and is_strong(words)
                     if name == "class" and value:
                         label = f"{tag}.{'.'.join(sorted(value.split()))}"
                 elif name == "role":
@@ -134,17 +144,16 @@ def parse(page: str) -> Node:
         inside = up.inside or tag in ("article", "main")
         weak = False
         if tag in ("article", "main"):
-            noise, soft = tag == "article" and bool(names & STRONG_NAMES), False
+            noise, soft = tag == "article" and strong, False
         else:
             if up.inside:  # there, a part of a name is only a hint, and the node's importance decides
-                sure = whole & NOISE_NAMES | names & STRONG_NAMES
-                weak = bool(names & NOISE_NAMES) and not sure
-                names = sure
+                named = bool(whole & NOISE_NAMES) or strong
+                weak = bool(names & NOISE_NAMES) and not named
             else:
-                names |= slug
-            named = bool(names & NOISE_NAMES) and tag not in ("html", "body")
+                named = strong if lenient else bool((names | slug) & NOISE_NAMES)
+            named = named and tag not in ("html", "body")
             noise = tag in NOISE_TAGS or tag == "header" and not up.inside or role in NOISE_ROLES or named
-            soft = noise and not names & STRONG_NAMES and (tag == "form" or tag not in NOISE_TAGS and tag != "header" and role not in NOISE_ROLES)
+            soft = noise and not strong and (tag == "form" or tag not in NOISE_TAGS and tag != "header" and role not in NOISE_ROLES)
         node = Node(tag, f"{up.path}/{label}", noise, soft, tag in PLAIN and label == tag and not weak, inside)
         if tag in ("article", "main") and not noise:
             for n in open_:
@@ -163,6 +172,11 @@ def parse(page: str) -> Node:
     return root
 
 
+def is_strong(words: list[str]) -> bool:
+    """Whether the parts of a name say noise: the last one does, or it only says what kind of box it is."""
+    return any(w in STRONG_NAMES for w in words) and (words[-1] in STRONG_NAMES or words[-1] in BOX_NAMES or words[-1].isdigit())
+
+
 def squeezed(text: str) -> str:
     return " ".join(htmllib.unescape(text).split())
 
@@ -198,7 +212,7 @@ def page_rows(url: str | None, page: str | None) -> list[tuple[int, int, int, in
     """(page, node, value, meta, up) for styles and texts.
 
     A style has meta = 2 * child elements + prunable, and the keys of its branch upwards; a
-    text has neither.  Keys of nodes hold the host.
+    text has no meta, and the key of itself.  Keys of nodes hold the host.
     """
     if not page:
         return []
@@ -214,8 +228,8 @@ def page_rows(url: str | None, page: str | None) -> list[tuple[int, int, int, in
         kids = [c.tag for c in n.children if isinstance(c, Node)]
         styles[n.path].append(",".join(kids))
         count[n.path] = max(count[n.path], len(kids))
-        prunable[n.path] = not (n.inside and (n.plain or n.tag in ("article", "main")))
-        own = squeezed(" ".join(c for c in n.children if isinstance(c, str)))
+        prunable[n.path] = not kept_by_place(n)
+        own = own_text(n)
         if own:
             texts[n.path].add(own)
     out = []
@@ -223,7 +237,8 @@ def page_rows(url: str | None, page: str | None) -> list[tuple[int, int, int, in
         steps = path.split("/")
         ups = [node_key(host, "/".join(steps[:k])) for k in range(2, len(steps) + 1)]
         out.append((ph, ups[-1], h64("s", *seq), 2 * count[path] + prunable[path], ups))
-        out += [(ph, ups[-1], h64("t", t), None, None) for t in texts[path]]
+        # the list: the key by which the text is removed from the page
+        out += [(ph, ups[-1], h64("t", t), None, [text_key(ups[-1], h64("t", t))]) for t in texts[path]]
     return out
 
 
@@ -265,63 +280,95 @@ def node_importance(rows: DataFrame, gamma: float = 0.9) -> DataFrame:
                       ((F.lit(1.0) - g) * F.col("presentation") + g * F.coalesce("content", F.lit(0.0))).alias("importance"))
 
 
+def common_texts(rows: DataFrame, least_pages: int, shared: float) -> DataFrame:
+    """(node): keys of texts that are on ``shared`` of the pages that have their node, and on ``least_pages`` at least."""
+    pages = rows.where("meta is not null").groupBy("node").agg(F.countDistinct("page").alias("pages"))
+    texts = rows.where("meta is null").groupBy("node", "value").agg(F.count(F.lit(1)).alias("n"), F.first("up").alias("up"))
+    texts = texts.where(F.col("n") >= least_pages)
+    return texts.join(pages, "node").where(F.col("n") >= shared * F.col("pages")).select(F.col("up")[0].alias("node"))
+
+
 def main_text(page: str | None, removed: set[int], host: str = "") -> str:
-    """Blocks of the page without noise and ``removed`` nodes; all but noise if nothing is left of a page without an article."""
+    """Blocks of the page without noise and ``removed`` nodes and texts.
+
+    A main element, or else the articles, are the page's text if at least half of what is left is in them.  If nothing is left, weak names
+    are taken for content, and then removed nodes too.
+    """
     if not page:
         return ""
-    root = parse(page)
-    tags = {n.tag for n in walk(root)}
-    main = next((t for t in ("article", "main") if t in tags), "")
-    only = bool(main)
-
-    def blocks(removed: set[int]) -> list[str]:
-        out, words = [], []
-
-        def flush() -> None:
-            if words and (t := squeezed("".join(words))):
-                out.append(t)
-            words.clear()
-
-        # an explicit stack: pages may nest deeper than Python's calls
-        todo: list[tuple[Node | str | None, bool]] = [(root, not only)]
-        while todo:
-            n, on = todo.pop()
-            if n is None:
-                flush()
-            elif isinstance(n, str):
-                if on:
-                    words.append(n)
-            elif n.noise:
-                continue
-            else:
-                on = on or n.tag == main
-                if removed and not (n.inside and (n.plain or n.tag in ("article", "main"))) and node_key(host, n.path) in removed:
+    for gone, lenient in ((removed, False), (removed, True), (set(), False), (set(), True)):
+        root = parse(page, lenient)
+        found = blocks_of(root, gone, host)
+        if found:
+            tags = {n.tag for n in walk(root)}
+            region = next((t for t in ("main", "article") if t in tags), None)
+            inside = blocks_of(root, gone, host, region) if region else []
+            return "\n".join(inside if 2 * sum(map(len, inside)) >= sum(map(len, found)) else found)
+    return ""
+
+
+def own_text(node: Node) -> str:
+    return squeezed(" ".join(c for c in node.children if isinstance(c, str)))
+
+
+def blocks_of(root: Node, removed: set[int], host: str, region: str | None = None) -> list[str]:
+    """Texts of the blocks, of elements ``region`` alone if it is given."""
+    out, words = [], []
+
+    def flush() -> None:
+        if words and (t := squeezed("".join(words))):
+            out.append(t)
+        words.clear()
+
+    # an explicit stack: pages may nest deeper than Python's calls
+    todo: list[tuple[Node | str | None, bool]] = [(root, region is None)]
+    while todo:
+        n, on = todo.pop()
+        if n is None:
+            flush()
+        elif isinstance(n, str):
+            if on:
+                words.append(n)
+        elif n.noise:
+            continue
+        else:
+            on = on or n.tag == region
+            if removed:
+                key = node_key(host, n.path)
+                gone = not kept_by_place(n) and key in removed
+                if gone or n.tag in BLOCK and (own := own_text(n)) and text_key(key, h64("t", own)) in removed:
                     if n.tag in BLOCK:
                         flush()
                     continue
-                if n.tag in ("br", "td", "th", "img"):
-                    words.append(" ")
-                if n.tag in BLOCK:
-                    flush()
-                    todo.append((None, on))
-                todo += [(c, on) for c in reversed(n.children)]
-        flush()
-        return out
+            if n.tag in ("br", "td", "th", "img"):
+                words.append(" ")
+            if n.tag in BLOCK:
+                flush()
+                todo.append((None, on))
+            todo += [(c, on) for c in reversed(n.children)]
+    flush()
+    return out
+
+
+def kept_by_place(n: Node) -> bool:
+    """Plain nodes of articles stay as nodes, whatever their importance; their texts may still go."""
+    return n.inside and (n.plain or n.tag in ("article", "main"))
+
 
-    found = blocks(removed)
-    if not found and removed and not only:
-        found = blocks(set())
-    return "\n".join(found)
+def text_key(node: int, text: int) -> int:
+    return h64("nt", str(node), str(text))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: float = 0.35,
-            least_pages: int = 8, broadcast_rows: int = 100_000) -> DataFrame:
+            least_pages: int = 8, shared: float = 0.8, broadcast_rows: int = 100_000) -> DataFrame:
     """page_id, url and text (main text, blocks joined by newlines) of every row."""
     rows = saved(tree_rows(pages, url, html))
     low = node_importance(rows).where((F.col("importance") < least) & (F.col("pages") >= least_pages) & (F.col("prunable") == 1))
     low = saved(low.select("node"))
-    removed = (rows.where("meta is not null").select("page", "node").join(small(low, broadcast_rows), "node")
-               .groupBy("page").agg(F.collect_set("node").alias("__removed")))
+    common = saved(common_texts(rows, least_pages, shared))
+    by_node = rows.where("meta is not null").select("page", "node").join(small(low, broadcast_rows), "node").select("page", "node")
+    by_text = rows.where("meta is null").select("page", F.col("up")[0].alias("node")).join(small(common, broadcast_rows), "node").select("page", "node")
+    removed = by_node.union(by_text).groupBy("page").agg(F.collect_set("node").alias("__removed"))
     d = pages.select(F.col(page_id), F.col(url).cast("string"), F.col(html).cast("string"))
     return texts_of(d, saved(removed), page_id, url, html, broadcast_rows)
 

@@ -93,3 +93,37 @@ def test_odd_rows(odd_pages, no_pages):
     assert len(rows) == odd_pages.count() and all(r["text"] is not None for r in rows)
     assert "deep" in {r["text"] for r in rows} and "one two" in {r["text"] for r in rows}
     assert st.extract(no_pages).count() == 0
+
+
+def texts(spark, pages):
+    df = spark.createDataFrame([(k, u, v) for k, (u, v) in pages.items()], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in st.extract(df).collect()}
+
+
+def test_article_and_main_are_a_prior(spark):
+    pages = {
+        1: "<main><h1>Title</h1><p>Lede</p><article><p>Body</p></article></main>",
+        2: "<div class='text'><p>The text of this page is in a division of its own, and long.</p></div><article>Teaser</article>",
+        3: "<div class='legal'><p>Terms of use as a text</p></div>",
+        4: "<article><p>Before</p><section class='comments-policy'><p>What may be said</p></section><section class='post-comments'>Nice</section></article>",
+        5: "<div class='related-guide'>x</div><article class='ad-slot'>Buy</article><article><p>Body</p></article>",
+    }
+    assert texts(spark, {k: (None, v) for k, v in pages.items()}) == {
+        1: "Title\nLede\nBody", 2: "The text of this page is in a division of its own, and long.\nTeaser", 3: "Terms of use as a text",
+        4: "Before\nWhat may be said", 5: "Body"}
+
+
+def test_a_paragraph_that_all_articles_of_a_host_share(spark):
+    pages = {i: (f"http://s.example/{i}", f"<article><h1>Title {i}</h1><p>Body {i}</p><p>Same in {i % 3}</p><p>Subscribe to our newsletter</p></article>")
+             for i in range(10)}
+    pages |= {100 + i: (f"http://few.example/{i}", f"<article><p>Own {i}</p><p>Subscribe to our newsletter</p></article>") for i in range(3)}
+    got = texts(spark, pages)
+    for i in range(10):
+        assert got[i] == f"Title {i}\nBody {i}\nSame in {i % 3}"
+    assert all(got[100 + i].endswith("newsletter") for i in range(3))      # too few pages to tell
+
+
+def test_all_given_pages(spark):
+    df = pages(spark, "sf0.1")
+    want = {r["page_id"]: brute(r["html"]) for r in df.collect()}
+    assert {r["page_id"]: r["text"] for r in st.extract(df).collect()} == want
