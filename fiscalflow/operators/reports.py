@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import money_avg, money_max, money_min, money_sum, percent_of
+from ..functions.money import money_avg, money_max, money_min, money_sum, percent_of, wide
 
 TOP_PRODUCTS = 20
 
@@ -100,6 +100,21 @@ def valor_medio_mensal(notas: DataFrame, sort: bool = True) -> DataFrame:
     return out.orderBy("ano_mes") if sort else out
 
 
+def conferencia_emitente(notas: DataFrame, itens: DataFrame) -> DataFrame:
+    """E2 with R3: revenue per issuer from headers and from items, and the notes whose product total is not that of its items.
+
+    Items are summed per note and joined to it by key; with both tables in buckets of the key, the sum
+    per issuer is the only shuffle.
+    """
+    sums = itens.groupBy("chNFe").agg(F.count(F.lit(1)).alias("n"), F.sum(wide("vProd")).alias("itens"))
+    n = notas.join(sums, "chNFe", "left")
+    same = F.coalesce(wide("total_vProd"), F.lit(0)) == F.coalesce("itens", F.lit(0))
+    return n.groupBy(F.col("emit_CNPJ").alias("cnpj_emitente")).agg(
+        F.count(F.lit(1)).alias("total_notas"), F.sum(F.coalesce("n", F.lit(0))).alias("total_itens"),
+        money_sum("total_vProd").alias("valor_notas"), F.round(F.coalesce(F.sum("itens"), F.lit(0)), 2).cast("double").alias("valor_itens"),
+        F.sum(F.when(same, 0).otherwise(1)).alias("notas_divergentes"))
+
+
 # name -> (result table, input table, function)
 REPORTS: dict[str, tuple[str, str, Callable[..., DataFrame]]] = {
     "notas_por_uf": ("resultado_notas_por_uf", "notas", notas_por_uf),

@@ -300,6 +300,13 @@ ORACLE_SQL["persisted_itens"] = notas_cte(False, True, with_itens=True) + f"""
 SELECT n.chNFe, i.nNF, nItem, cProd, xProd, '' AS NCM, CFOP, uCom, qCom, vUnCom, vProd, vDesc, vTotTrib
 FROM itens i JOIN notas n ON i.l_orderkey = n.o_orderkey WHERE {_GOOD}"""
 
+ORACLE_SQL["bucketed_issuer_check"] = notas_cte(True, False, with_itens=True) + f""",
+  sums AS (SELECT l_orderkey, COUNT(*) AS n, SUM({dec('vProd')}) AS v FROM itens GROUP BY l_orderkey)
+SELECT emit_CNPJ AS cnpj_emitente, COUNT(*) AS total_notas, CAST(SUM(COALESCE(n, 0)) AS BIGINT) AS total_itens, {money_sum('total_vProd')} AS valor_notas,
+  CAST(ROUND(COALESCE(SUM(v), 0), 2) AS DOUBLE) AS valor_itens,
+  CAST(SUM(CASE WHEN {dec('total_vProd')} = COALESCE(v, 0) THEN 0 ELSE 1 END) AS BIGINT) AS notas_divergentes
+FROM notas LEFT JOIN sums ON l_orderkey = o_orderkey WHERE {_GOOD} GROUP BY emit_CNPJ"""
+
 ORACLE_SQL["persisted_rejects"] = f"""
 SELECT 'order ' || o_orderkey AS key, {_MESSAGE_REASON} AS reason FROM orders WHERE NOT ({_GOOD})"""
 

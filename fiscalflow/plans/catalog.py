@@ -53,7 +53,7 @@ def _replaceable(spark: SparkSession, df: DataFrame, name: str, db: str, partiti
     described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(db, name)}").collect()}
     columns = lambda x: [(f.name, f.dataType) for f in x.schema.fields]
     same = [(n, t.simpleString()) for n, t in columns(df)] == [(n, t.simpleString()) for n, t in columns(spark.table(qualified(db, name)))]
-    return (same and not partition_by and "# Partition Information" not in described and described.get("Provider", "").lower() == fmt
+    return (same and not partition_by and "# Partition Information" not in described and "Num Buckets" not in described and described.get("Provider", "").lower() == fmt
             and described.get("Type") == "MANAGED")
 
 
@@ -71,10 +71,12 @@ def finish_swap(spark: SparkSession, name: str, db: str) -> None:
 
 
 def save_table(df: DataFrame, name: str, db: str | None = None, partition_by: Sequence[str] = (),
-               fmt: str = "parquet") -> str:
+               fmt: str = "parquet", buckets: tuple[str, int] | None = None) -> str:
     """Overwrite managed table ``name`` of database ``db`` (default: the current one).
 
-    ``df`` may read the table, by name or by path, and a failed write leaves the old one.
+    ``df`` may read the table, by name or by path, and a failed write leaves the old one.  ``buckets``: (column, number)
+    by which rows are dealt to files and sorted; tables dealt alike are joined and grouped by the column without a
+    shuffle.
     """
     spark = df.sparkSession
     db = db or spark.catalog.currentDatabase()
@@ -84,6 +86,8 @@ def save_table(df: DataFrame, name: str, db: str | None = None, partition_by: Se
         w = df.write.format(fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
+        if buckets:
+            w = w.bucketBy(buckets[1], buckets[0]).sortBy(buckets[0])
         w.saveAsTable(table)
 
     finish_swap(spark, name, db)
@@ -91,7 +95,7 @@ def save_table(df: DataFrame, name: str, db: str | None = None, partition_by: Se
         write(target)
         return target
     mark = uuid.uuid4().hex[:8]
-    if _replaceable(spark, df, name, db, partition_by, fmt):
+    if not buckets and _replaceable(spark, df, name, db, partition_by, fmt):
         before = location(spark, name, db)
         folder = f"{before.split(VERSION)[0]}{VERSION}{mark}"
         df.write.format(fmt).save(folder)

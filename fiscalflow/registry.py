@@ -292,7 +292,7 @@ def _damaged_messages(t: star.Tables, with_items: bool) -> DataFrame:
 
 
 def _persisted(spark: SparkSession, sf_dir: str, damaged: bool, result: Callable[[str], DataFrame],
-               with_items: bool = True, reports_too: bool = False) -> DataFrame:
+               with_items: bool = True, reports_too: bool = False, buckets: int | None = None) -> DataFrame:
     """Messages -> log -> persisted tables (-> reports) in a database and folder of its own,
     which are dropped once ``result`` has been read."""
     t = _tables(spark, sf_dir)
@@ -300,7 +300,7 @@ def _persisted(spark: SparkSession, sf_dir: str, damaged: bool, result: Callable
     db = "fiscalflow_" + uuid.uuid4().hex[:12]
     log = FileLog(root)
     log.write(_damaged_messages(t, with_items) if damaged else records.to_messages(star.records(t, with_items=with_items)))
-    pipeline.run_persist(spark, log, db=db)
+    pipeline.run_persist(spark, log, db=db, buckets=buckets)
     if reports_too:
         pipeline.run_reports(spark, db)
     out = _kept(result(db))
@@ -315,6 +315,14 @@ def q_persisted_notas_por_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _persisted(spark, sf_dir, False, lambda db: pipeline.read_report(spark, "resultado_notas_por_uf", db), reports_too=True)
 
 
+def q_bucketed_issuer_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2, R3, S8 over header and item tables in buckets of the key: one shuffle, for the sum per issuer."""
+    def result(db: str) -> DataFrame:
+        return reports.conferencia_emitente(*(catalog.read_table(spark, t, db) for t in (pipeline.NOTAS_TABLE, pipeline.ITENS_TABLE)))
+
+    return _persisted(spark, sf_dir, True, result, buckets=16)
+
+
 def q_persisted_notas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 34 columns of the saved header table, with damaged messages in the log."""
     return _persisted(spark, sf_dir, True, lambda db: catalog.read_table(spark, pipeline.NOTAS_TABLE, db), with_items=False)
@@ -551,6 +559,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "persisted_notas_por_uf": q_persisted_notas_por_uf,
     "incremental_persist_latest": q_incremental_persist_latest,
     "incremental_reports": q_incremental_reports,
+    "bucketed_issuer_check": q_bucketed_issuer_check,
     "persisted_notas": q_persisted_notas,
     "persisted_itens": q_persisted_itens,
     "persisted_rejects": q_persisted_rejects,
