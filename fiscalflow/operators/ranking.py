@@ -86,3 +86,19 @@ def ranked(df: DataFrame, order: Order, out: str = "place", dense: bool = False)
     for i, c in enumerate(names):
         same &= F.col(f"`{c}`").eqNullSafe(F.col(f"__k{i}"))
     return df.join(right, same).drop(*[f"__k{i}" for i in range(len(names))])
+
+
+def numbered_within(df: DataFrame, key: str, out: str = "number") -> DataFrame:
+    """``df`` with ``out``: a number from 0 without gaps within each value of ``key``, in any order, and no shuffle of its rows.
+
+    Each partition is sorted by key and saved; a row's number is its place in the key's piece of that partition plus
+    the length of the pieces before, of which a key has at most one a partition.
+    """
+    saved = _saved(df.sortWithinPartitions(key)).withColumn("__id", F.monotonically_increasing_id())
+    saved = saved.withColumn("__part", F.shiftright("__id", POSITION_BITS))
+    pieces = saved.groupBy(key, "__part").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = _saved(pieces.withColumn("__begins", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n"))
+    right = maybe_broadcast(pieces.select(F.col(key).alias("__key"), F.col("__part").alias("__p"), "__first", "__begins"))
+    joined = saved.join(right, F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (F.col("__part") == F.col("__p")))
+    return joined.withColumn(out, F.col("__begins") + F.col("__id") - F.col("__first")).drop("__id", "__part", "__key", "__p", "__first", "__begins")

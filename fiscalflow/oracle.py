@@ -307,6 +307,13 @@ SELECT emit_CNPJ AS cnpj_emitente, COUNT(*) AS total_notas, CAST(SUM(COALESCE(n,
   CAST(SUM(CASE WHEN {dec('total_vProd')} = COALESCE(v, 0) THEN 0 ELSE 1 END) AS BIGINT) AS notas_divergentes
 FROM notas LEFT JOIN sums ON l_orderkey = o_orderkey WHERE {_GOOD} GROUP BY emit_CNPJ"""
 
+ORACLE_SQL["parts_persist"] = notas_cte(False, True, with_itens=True) + f""",
+  sums AS (SELECT l_orderkey, COUNT(*) AS n, {money_sum('vProd')} AS v FROM itens GROUP BY l_orderkey)
+SELECT chNFe, CASE WHEN o_orderstatus = 'P' THEN '2P' WHEN o_orderstatus = 'O' AND COALESCE(n, 0) <= 3 THEN '2O' ELSE '1' END AS publicacao,
+  CASE WHEN o_orderstatus = 'P' THEN CAST(CAST(CAST(total_vNF AS VARCHAR) AS DECIMAL(18,2)) + 1 AS DOUBLE) ELSE total_vNF END AS total_vNF,
+  COALESCE(n, 0) AS n_itens, v AS soma, CASE WHEN o_orderstatus = 'O' AND n > 3 THEN '2O' END AS incompleta
+FROM notas LEFT JOIN sums ON l_orderkey = o_orderkey"""
+
 ORACLE_SQL["persisted_rejects"] = f"""
 SELECT 'order ' || o_orderkey AS key, {_MESSAGE_REASON} AS reason FROM orders WHERE NOT ({_GOOD})"""
 

@@ -13,7 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import normalize, quality, ranking, records, reports
+from .functions.money import money_sum
+from .operators import normalize, parts, quality, ranking, records, reports
 from .operators.audit import AuditTable
 from .plans import catalog, pipeline
 from .schemas import ITEM_PATH_SCHEMA, XML_CHECK_SCHEMA, XML_ITEM_SCHEMA, XML_PROTOCOL_SCHEMA
@@ -260,12 +261,12 @@ def q_topic_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch, status in enumerate("FOP"):
         log.write(rec.where(F.col("o_orderstatus") == status).select("key", "value"), batch=batch)
         ends.append(log.end_offsets(spark))
-    parts = []
+    shots = []
     for n in (1, 2):
         rows = log.read(spark, ends[n - 1], ends[n])
         runs = rows.groupBy("partition").agg((F.max("offset") - F.min("offset") + 1 == F.countDistinct("offset")).alias("gapless"))
-        parts.append(rows.join(runs, "partition").select("key", F.lit(n).alias("snapshot"), "gapless"))
-    out = _kept(parts[0].union(parts[1]))
+        shots.append(rows.join(runs, "partition").select("key", F.lit(n).alias("snapshot"), "gapless"))
+    out = _kept(shots[0].union(shots[1]))
     remove_folder(spark, root)
     return out
 
@@ -323,6 +324,31 @@ def q_bucketed_issuer_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _persisted(spark, sf_dir, True, result, buckets=16)
 
 
+def q_parts_persist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5, P14, R4, R6 in parts: all invoices published in parts of at most three items, then again those of status P,
+    with a higher value, and of status O without their second part; each note's newest complete publication."""
+    t = _tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/fiscalflow-log/{uuid.uuid4().hex}"
+    log = FileLog(root)
+    rec = _kept(star.records(t, with_items=False, extra=("o_orderstatus",)))
+    items = _kept(star.item_records(t))
+    r, status = F.col("nfe"), F.col("o_orderstatus")
+    higher = r.withField("total", r.getField("total").withField("vNF", (r.getField("total").getField("vNF").cast("decimal(18,2)") + 1).cast("string")))
+    again = rec.where("o_orderstatus in ('P', 'O')").select(F.when(status == "P", higher).otherwise(r).alias("nfe"), status)
+    log.write(parts.to_part_messages(rec, items, F.lit("1"), max_items=3), batch=1)
+    second = parts.to_part_messages(again, items, F.concat(F.lit("2"), status), max_items=3)
+    value = lambda f: F.get_json_object("value", f"$.{f}")
+    log.write(second.where((value("publicacao") != "2O") | (value("parte") != "1")), batch=2)
+    parsed = _kept(parts.parsed_parts(log.read(spark)))
+    notas, itens = parts.tables_of(parts.newest_parts(parsed))
+    sums = itens.groupBy("chNFe").agg(F.count(F.lit(1)).alias("n_itens"), money_sum("vProd").alias("soma"))
+    lost = parts.incomplete(parsed).select(F.col("key").alias("chNFe"), F.col("publicacao").alias("incompleta"))
+    out = notas.select("chNFe", "publicacao", "total_vNF").join(sums, "chNFe", "left").join(lost, "chNFe", "left")
+    out = _kept(out.select("chNFe", "publicacao", "total_vNF", F.coalesce("n_itens", F.lit(0)).alias("n_itens"), "soma", "incompleta"))
+    remove_folder(spark, root)
+    return out
+
+
 def q_persisted_notas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 34 columns of the saved header table, with damaged messages in the log."""
     return _persisted(spark, sf_dir, True, lambda db: catalog.read_table(spark, pipeline.NOTAS_TABLE, db), with_items=False)
@@ -342,11 +368,11 @@ def q_persisted_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the five saved result tables in their order: a row number and the first column."""
     def result(db: str) -> DataFrame:
-        parts = []
+        placed = []
         for table in reports.REPORT_ORDER:
             df = pipeline.read_report_places(spark, table, db)
-            parts.append(df.select(F.lit(table).alias("table_name"), "place", F.col(df.columns[0]).alias("name")))
-        return reduce(DataFrame.union, parts)
+            placed.append(df.select(F.lit(table).alias("table_name"), "place", F.col(df.columns[0]).alias("name")))
+        return reduce(DataFrame.union, placed)
 
     return _persisted(spark, sf_dir, False, result, reports_too=True)
 
@@ -510,12 +536,12 @@ def q_incremental_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         log.write(records.to_messages(some), batch=batch)
         persist_available(spark, log, f"{root}/tables", f"{root}/checkpoint", state=state)
     state.compact(spark)
-    parts = []
+    long = []
     for name, group, values in _LONG_REPORTS:
         df = state.report(spark, name)
-        parts.append(df.select(F.lit(name).alias("report"), F.concat_ws("|", *group).alias("grp"),
+        long.append(df.select(F.lit(name).alias("report"), F.concat_ws("|", *group).alias("grp"),
                                *[(F.col(v) if v else F.lit(None)).cast("double").alias(f"v{i}") for i, v in enumerate(values)]))
-    out = _kept(reduce(DataFrame.union, parts))
+    out = _kept(reduce(DataFrame.union, long))
     remove_folder(spark, root)
     return out
 
@@ -560,6 +586,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_persist_latest": q_incremental_persist_latest,
     "incremental_reports": q_incremental_reports,
     "bucketed_issuer_check": q_bucketed_issuer_check,
+    "parts_persist": q_parts_persist,
     "persisted_notas": q_persisted_notas,
     "persisted_itens": q_persisted_itens,
     "persisted_rejects": q_persisted_rejects,

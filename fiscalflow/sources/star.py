@@ -216,6 +216,17 @@ def _item_struct() -> Column:
     )
 
 
+def item_records(t: Tables) -> DataFrame:
+    """``(chNFe, item)``: a row for each item, as it stands in a record, with the key of its note."""
+    li = item_money(t["lineitem"].select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    p = t["part"].select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_retailprice")
+    li = li.join(p, on="l_partkey", how="left").select("l_orderkey", _item_struct().alias("item"))
+    o = t["orders"].select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    keys = add_access_key(o.join(issuers(t), o.o_custkey == F.col("c_custkey"), "left")).select("o_orderkey", "chNFe")
+    return li.join(keys, li.l_orderkey == keys.o_orderkey).select("chNFe", "item")
+
+
 def item_groups(t: Tables) -> DataFrame:
     """Items of each order as a list: ``(l_orderkey, itens, sums)``.
 
