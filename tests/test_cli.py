@@ -17,7 +17,7 @@ def test_cli_all(spark, tmp_path, capsys):
     assert cli.main(["all", "--xml-dir", xml_dir, "--log", str(tmp_path / "log"), "--db", db]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["ingest"]["messages"] == 10
-    assert out["ingest"]["rejects"] == 5
+    assert out["ingest"]["rejects"] == 6
     assert out["persist"] == {"notas": 10, "itens": 14, "rejects": 0}
     assert out["reports"]["resultado_notas_por_uf"] == 2
 
