@@ -53,7 +53,16 @@ WORD = 1 << 64
 RNG = np.random.default_rng(20240607)
 BYTE = RNG.integers(0, 2**64, 256, U)
 BASE = int(RNG.integers(0, 2**62)) * 4 + 3
-_POWERS: dict[int, np.ndarray] = {}
+
+
+class Cache(dict):
+    """A dict that is empty again wherever it is sent, so that closures stay small."""
+
+    def __reduce__(self) -> tuple:
+        return Cache, ()
+
+
+_POWERS = Cache()
 
 
 def powers(base: int, n: int) -> np.ndarray:
