@@ -282,6 +282,12 @@ ORACLE_SQL["incremental_persist_latest"] = notas_cte(True, True) + """
 SELECT chNFe, ide_nNF, emit_UF, total_vNF, total_vTotTrib FROM notas"""
 
 
+ORACLE_SQL["stream_latest_state"] = notas_cte(False, True) + """
+SELECT chNFe, total_vNF, CAST(CASE o_orderstatus WHEN 'P' THEN 2 ELSE 0 END AS BIGINT) AS batch FROM notas"""
+
+ORACLE_SQL["stream_reconciliation"] = ORACLE_SQL["totals_reconciliation"]
+
+
 # --- damaged messages and files: by order priority ---------------------------------------
 
 _GOOD = "o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"

@@ -23,6 +23,8 @@ from .sources import star
 from .sources import xml as xml_source
 from .sources.messages import FileLog, normalize_kafka
 from .streaming.incremental import all_rejects, ingest_available, latest_itens, latest_notas, persist_available
+from .streaming.latest_state import latest_available, latest_state
+from .streaming.reconcile import place_in_file, reconcile_available, reconciled
 from .streaming.report_state import ReportState
 
 
@@ -518,6 +520,50 @@ def q_incremental_persist_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_notas(spark, f"{root}/tables").select("chNFe", "ide_nNF", "emit_UF", "total_vNF", "total_vTotTrib")
 
 
+def q_stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All invoices published, then those of status P again with a higher value, then with the given one; three
+    runs keep the newest message of each key in the streaming state, from which it is read and parsed."""
+    t = _tables(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/fiscalflow-state/{uuid.uuid4().hex}"
+    log = FileLog(f"{root}/log")
+    rec = _kept(star.records(t, with_items=False, extra=("o_orderstatus",)))
+    r = F.col("nfe")
+    higher = (r.getField("total").getField("vNF").cast("decimal(18,2)") + 1).cast("string")
+    some = rec.where("o_orderstatus = 'P'")
+    for batch, given in enumerate((rec, some.select(r.withField("total", r.getField("total").withField("vNF", higher)).alias("nfe")), some)):
+        log.write(records.to_messages(given), batch=batch)
+        latest_available(spark, log, f"{root}/checkpoint")
+    parsed = normalize.parse_messages(latest_state(spark, f"{root}/checkpoint"), keep=("batch",))
+    out = _kept(parsed.select(F.col("nfe.chNFe").alias("chNFe"), normalize.typed(F.col("nfe.total.vNF"), "double").alias("total_vNF"), "batch"))
+    remove_folder(spark, root)
+    return out
+
+
+def q_stream_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 over streams: headers and items arrive in three runs, some items long before their header, others after it was
+    closed; header totals against item sums from the rows of the stream-stream join."""
+    t = _tables(spark, sf_dir)
+    keys = ("ide_serie", "ide_nNF")
+    root = f"{checkpoint_dir(spark)}/fiscalflow-reconcile/{uuid.uuid4().hex}"
+    day = t["orders"].select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("timestamp").alias("event_time"))
+    notas = star.notas(t, with_key=False, with_issuer=False).select(
+        *keys, F.to_timestamp(F.substring("ide_dhEmi", 1, 10)).alias("event_time"), "total_vProd", "total_vDesc", "total_vTotTrib", "total_vNF", "o_orderstatus")
+    itens = star.itens(t, with_product=False).join(day, "l_orderkey", "left").select(
+        F.col("serie").alias("ide_serie"), F.col("nNF").alias("ide_nNF"), "nItem", "event_time", "vProd", "vDesc", "vTotTrib")
+    notas, itens = _kept(notas), _kept(itens)
+    runs = (("o_orderstatus <> 'P'", "nItem > 3", None), ("o_orderstatus = 'P'", "nItem = 2", "1996-01-01 00:00:00"),
+            ("false", "nItem in (1, 3)", "2100-01-01 00:00:00"))
+    for heads, items, until in runs:
+        notas.where(heads).drop("o_orderstatus").write.mode("append").parquet(f"{root}/headers")
+        itens.where(items).write.mode("append").parquet(f"{root}/items")
+        streams = [spark.readStream.schema(df.schema).parquet(f"{root}/{name}").select("*", place_in_file().alias("place"))
+                   for name, df in (("headers", notas.drop("o_orderstatus")), ("items", itens))]
+        reconcile_available(spark, *streams, f"{root}/out", f"{root}/checkpoint", keys=keys, number="place", until=until)
+    out = _kept(reconciled(spark, f"{root}/out", keys))
+    remove_folder(spark, root)
+    return out
+
+
 def q_incremental_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1-E5 incremental: all invoices published, published again, then those of status P published with another state,
     a higher value and no items; the reports as kept by the state, in long form."""
@@ -597,4 +643,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_single_files": q_xml_single_files,
     "audit_table": q_audit_table,
     "stream_persist_rejects": q_stream_persist_rejects,
+    "stream_latest_state": q_stream_latest_state,
+    "stream_reconciliation": q_stream_reconciliation,
 }
