@@ -117,7 +117,7 @@ def place_in_file() -> Column:
 def _newest(rows: DataFrame, part: str, by: Sequence[str]) -> DataFrame:
     """The part of the rows that have it, once for each ``by``: the one of the latest time, then of the greatest amounts."""
     return (rows.where(F.col(part).isNotNull()).groupBy(*by).agg(F.max(part).alias("newest"))
-            .select(*[c for c in by if "." not in c], "newest.*"))
+            .select(*by, "newest.*"))
 
 
 def joined_rows(spark: SparkSession, root: str) -> DataFrame:
