@@ -16,7 +16,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.audit import table_counts
-from ..session import list_folders, remove_folder
+from ..session import CODEC, list_folders, remove_folder
 
 
 def ensure_database(spark: SparkSession, db: str) -> None:
@@ -82,8 +82,12 @@ def save_table(df: DataFrame, name: str, db: str | None = None, partition_by: Se
     db = db or spark.catalog.currentDatabase()
     target = qualified(db, name)
 
-    def write(table: str) -> None:
+    def written():
         w = df.write.format(fmt)
+        return w.options(**CODEC) if fmt == "parquet" else w
+
+    def write(table: str) -> None:
+        w = written()
         if partition_by:
             w = w.partitionBy(*partition_by)
         if buckets:
@@ -98,7 +102,7 @@ def save_table(df: DataFrame, name: str, db: str | None = None, partition_by: Se
     if not buckets and _replaceable(spark, df, name, db, partition_by, fmt):
         before = location(spark, name, db)
         folder = f"{before.split(VERSION)[0]}{VERSION}{mark}"
-        df.write.format(fmt).save(folder)
+        written().save(folder)
         _point(spark, target, folder)
         remove_folder(spark, before)
         return target
