@@ -67,3 +67,12 @@ def test_single_files_lie_in_one_folder(spark, monkeypatch):
     out = registry.q_xml_single_files(spark, "/root/testdata/sf0.001")
     assert len(seen) == 1 and seen[0][1] == out.count()
     assert out.where("customer is null").isEmpty() and out.where("outcome = 'malformed'").count() > 0
+
+
+def test_invoices_of_a_repeated_customer_share_a_file(spark, scratch):
+    given = "/root/testdata/sf0.001"
+    for name in ("nation", "orders", "lineitem", "customer"):
+        df = spark.read.parquet(f"{given}/{name}.parquet")
+        (df.union(df) if name == "customer" else df).write.parquet(f"{scratch}/{name}.parquet")
+    buyers = spark.read.parquet(f"{given}/orders.parquet").select("o_custkey").distinct().count()
+    assert registry.q_xml_single_files(spark, scratch).count() == buyers + spark.read.parquet(f"{given}/nation.parquet").count()
