@@ -49,7 +49,7 @@ def test_words_of_one_ending_part_by_their_neighbours(spark, monkeypatch):
     assert len({lm.unit_of(f"x{i}ing".encode(), top, 4) for i in range(50)}) == 1
     profiles = lm.word_profiles(d, start, 3000)
     found = {}
-    for r in lm.words_by_class(profiles, lm.clustered(profiles, start, 10)).collect():
+    for r in lm.words_by_class(profiles, lm.clustered(lm.alike(profiles), start, 10)).collect():
         w = bytes(r["word"]).decode()
         if w.endswith("ing"):
             found.setdefault(int(w[1:-3]) % 4 < 2, set()).add(r["cls"])
@@ -63,10 +63,11 @@ def test_words_of_one_ending_part_by_their_neighbours(spark, monkeypatch):
 def test_sweeps_raise_the_likelihood(spark):
     d = columns(documents(spark))
     start = start_of(d, {}, 200, 12, 2_000_000)
-    profiles = lm.word_profiles(d, start, 2_000_000).cache()
+    alikes = lm.alike(lm.word_profiles(d, start, 2_000_000)).cache()
+    assert alikes.agg(F.sum("words")).first()[0] > alikes.count()
     sums, worth = lm.Sums(start.bigrams, start.bigrams.T), []
     for _ in range(4):
-        sums, now = lm.swept(profiles, sums)
+        sums, now = lm.swept(alikes, sums)
         worth.append(now)
     assert worth[1] > worth[0] and worth[3] > worth[1] and sums.tokens[0] == 0
 
