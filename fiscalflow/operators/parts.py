@@ -34,24 +34,25 @@ PART_SCHEMA = T.StructType(INVOICE_SCHEMA.fields + [T.StructField(f, T.StringTyp
 MAX_ITEMS = 1000
 
 
-def item_parts(items: DataFrame, key: str = "chNFe", item: str = "item", max_items: int = MAX_ITEMS) -> DataFrame:
+def item_parts(items: DataFrame, key: str = "chNFe", item: str = "item", max_items: int = MAX_ITEMS, folder: str | None = None) -> DataFrame:
     """(key, parte, partes, itens) of (key, item): lists of at most ``max_items``.
 
-    Only the keys with more items than that, which are few, are numbered; the others are one list each.
+    Only the keys with more items than that, which are few, are numbered; the others are one list each.  ``folder``: see ``numbered_within``.
     """
     counts = items.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_items)
     large = maybe_broadcast(counts.select(F.col(key).alias("__key"), F.ceil(F.col("n") / F.lit(max_items)).cast("int").alias("partes")))
     marked = items.join(large, items[key] == F.col("__key"), "left").drop("__key")
-    split = numbered_within(marked.where("partes is not null"), key, "__number")
+    split = numbered_within(marked.where("partes is not null"), key, "__number", folder)
     split = split.withColumn("parte", (F.col("__number") / F.lit(max_items)).cast("int")).drop("__number")
     whole = marked.where("partes is null").withColumn("partes", F.lit(1)).withColumn("parte", F.lit(0))
     both = split.select(key, "parte", "partes", item).union(whole.select(key, "parte", "partes", item))
     return both.groupBy(key, "parte", "partes").agg(F.collect_list(item).alias("itens"))
 
 
-def to_part_messages(records: DataFrame, items: DataFrame, publication: Column, max_items: int = MAX_ITEMS, record: str = RECORD) -> DataFrame:
+def to_part_messages(records: DataFrame, items: DataFrame, publication: Column, max_items: int = MAX_ITEMS, record: str = RECORD,
+                     folder: str | None = None) -> DataFrame:
     """``(key, value)`` messages in parts: ``records`` without items, ``items`` (chNFe, item), the name of the publication of each record."""
-    parts = item_parts(items, max_items=max_items)
+    parts = item_parts(items, max_items=max_items, folder=folder)
     r = F.col(record)
     head = records.select(r.alias(record), r.getField("chNFe").alias("key"), publication.cast("string").alias("publicacao"))
     j = head.join(parts, head["key"] == parts["chNFe"], "left")
