@@ -13,6 +13,10 @@ which would start a listing job per path.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -20,6 +24,7 @@ from pyspark.sql.types import StructType
 from ..functions.text import parsed_once
 from ..operators.records import DOC, RECORD, document_to_record, reject_reason
 from ..schemas import CORRUPT_COLUMN, XML_SCHEMA
+from ..session import local_path
 
 XML_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -40,21 +45,51 @@ def read_xml_documents(spark: SparkSession, path: str, glob: str = "*.xml",
     return parse_xml_text(text.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw")))
 
 
-def files_without_rows(spark: SparkSession, path: str, read: DataFrame, glob: str = "*.xml", recursive: bool = False) -> DataFrame:
+def files_without_rows(spark: SparkSession, path: str, read: DataFrame, glob: str = "*.xml", recursive: bool = False,
+                       scan: DataFrame | None = None) -> DataFrame:
     """The files below ``path`` (``file``) that ``read`` (``file``) has no row of, such as those of no bytes.
 
     No file source gives a row for a file of no bytes, so the names come from the listing that Spark's file index
-    holds on the driver for any scan of the folder; the names alone become a frame, which is anti-joined.
+    holds on the driver for any scan of the folder; the names alone become a frame, which is anti-joined.  ``scan``: the frame that
+    scanned the folder, whose listing is taken then, without another one.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    names = reader.load(path).inputFiles()
-    listed = spark.createDataFrame([(n,) for n in names], "file string").withColumn("__name", _one_slash("file"))
+    if scan is None:
+        reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+        if recursive:
+            reader = reader.option("recursiveFileLookup", "true")
+        scan = reader.load(path)
+    # as one text, since a list would cross to Python name by name; names are encoded, so no line break is in them
+    names = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", scan._jdf.inputFiles())
+    listed = spark.createDataFrame(pa.table({"file": pa.array(names.split("\n") if names else [], pa.string())})).withColumn("__name", _one_slash("file"))
     seen = read.select(_one_slash("file").alias("__name")).distinct()
     return listed.join(seen, "__name", "left_anti").select("file")
 
 
+def write_single_files(texts: DataFrame, folder: str) -> None:
+    """Each row of ``texts`` (name, value) as a text file of its own in ``folder``; names differ.
+
+    In a local or mounted folder the tasks write the files themselves: Hadoop's local file system, without its native library, starts
+    two processes for each file it makes.  A task that is tried again writes the same names.  Elsewhere Spark's writer makes a file a row, under
+    names of its own, put into place by the tasks, as the driver would move one after the other.
+    """
+    local = local_path(texts.sparkSession, folder)
+    if local is None:
+        texts.select("value").write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
+        return
+    os.makedirs(local, exist_ok=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        for b in batches:
+            for name, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                with open(f"{local}/{name}", "w", encoding="utf-8", newline="") as f:
+                    f.write((value or "") + "\n")
+            n += len(b)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    texts.select("name", "value").mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
 def _one_slash(file: str) -> Column:
     """``file:///a`` and ``file:/a`` are one name."""
     return F.regexp_replace(file, "^([a-z0-9]+):/+", "$1:/")
